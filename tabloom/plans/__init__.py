@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ("scans", "selection", "joins", "aggregates", "sorts_and_sets")
+SECTIONS = ("scans", "selection", "joins", "aggregates", "sorts_and_sets", "subqueries", "windows", "scalars")
 
 
 def sections():

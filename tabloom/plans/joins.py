@@ -285,11 +285,12 @@ def apply_table_function(t):
             RETURN SELECT o_orderkey, o_totalprice FROM parquet.`{t.file_of("orders")}`
                    WHERE o_custkey = customer AND o_totalprice >= least"""
     )
-    return t.sql(
-        """SELECT c_custkey, o_orderkey, o_totalprice FROM {customer}, LATERAL (
-             SELECT * FROM large_orders_of(c_custkey, 200000D) ORDER BY o_totalprice DESC, o_orderkey LIMIT 1)""",
+    found = t.sql(
+        """SELECT c_custkey, o.o_orderkey, o.o_totalprice
+           FROM {customer}, LATERAL large_orders_of(c_custkey, 200000D) AS o""",
         "customer",
     )
+    return J.first_per_key(found, ["c_custkey"], [F.col("o_totalprice").desc(), F.col("o_orderkey")], 1)
 
 
 @section.query(
