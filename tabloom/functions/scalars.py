@@ -48,9 +48,9 @@ def format_amount(column: str | Column) -> Column:
 
 def format_money(column: str | Column) -> Column:
     """US dollars: '$1,234.50', negative amounts in parentheses."""
-    amount = _col(column).cast("decimal(38,4)")
-    shown = F.printf(F.lit("$%,.2f"), F.abs(amount))
-    return F.when(F.round(amount, 2) < 0, F.concat(F.lit("("), shown, F.lit(")"))).otherwise(shown)
+    amount = F.round(_col(column).cast("decimal(38,4)"), 2)
+    shown = F.concat(F.lit("$"), F.format_number(F.abs(amount), 2))
+    return F.when(amount < 0, F.concat(F.lit("("), shown, F.lit(")"))).otherwise(shown)
 
 
 def quote_name(column: str | Column) -> Column:

@@ -76,3 +76,29 @@ def join_many_to_one(many: DataFrame, one: DataFrame, keys: Sequence[str], how:
 def join_with(left: DataFrame, right: DataFrame, on, strategy: str, how: str = "inner") -> DataFrame:
     """Join by a named strategy; without a name, adaptive execution decides."""
     return left.join(right.hint(STRATEGIES[strategy]), on, how)
+
+
+def salted_join(
+    big: DataFrame, small: DataFrame, key: str, hot_share: float = 0.05, salts: int = 32, how: str = "inner"
+) -> DataFrame:
+    """Equi join in which the rows of hot keys are spread over ``salts`` tasks.
+
+    A key is hot when it holds ``hot_share`` of the big side, so there are at most
+    1 / hot_share of them. Only the hot rows of the small side are repeated.
+    Adaptive execution splits skewed partitions too; this form does not depend on
+    its thresholds.
+    """
+    rows = big.agg(F.count(F.lit(1))).scalar()
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") >= rows * hot_share).select(F.col(key).alias("_hot"))
+    is_hot = F.col("_hot").isNotNull()
+
+    # at most 1 / hot_share rows
+    marked_big = big.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")).otherwise(0)
+    spread_big = marked_big.withColumn("_salt", salt).drop("_hot")
+
+    marked_small = small.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread_small = marked_small.withColumn("_salt", F.explode(copies)).drop("_hot")
+    return spread_big.join(spread_small, [key, "_salt"], how).drop("_salt")

@@ -277,6 +277,21 @@ def page(
     )
 
 
+def among_first(df: DataFrame, order_by: Sequence[str], n: int) -> Column:
+    """True for the first ``n`` rows of ``df``: they do not stand after the n-th row.
+
+    Only the n-th row is looked up; the rows themselves are neither numbered nor
+    shuffled.
+    """
+    keys = order_keys(order_by)
+    names = [k.name for k in keys]
+    last = page(df, order_by, n - 1, 1).select(F.struct(*names).alias("_last")).scalar()
+    is_last = F.lit(True)
+    for name in names:
+        is_last = is_last & F.col(name).eqNullSafe(last[name])
+    return F.coalesce(~_reaches(last, keys) | is_last, F.lit(True)) if n > 0 else F.lit(False)
+
+
 def top_with_ties(df: DataFrame, n: int, by: str) -> DataFrame:
     """The first ``n`` rows by ``by`` descending, and every row tied with the last."""
     edge = (
