@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ("scans", "selection", "joins", "aggregates", "sorts_and_sets", "subqueries", "windows", "scalars", "table_changes", "data_rules", "routines", "layouts", "log_reports")
+SECTIONS = ("scans", "selection", "joins", "aggregates", "sorts_and_sets", "subqueries", "windows", "scalars", "table_changes", "data_rules", "routines", "layouts", "log_reports", "streams")
 
 
 def sections():
