@@ -35,8 +35,11 @@ def growth_report(
     """Revenue and growth per group and period, with the ``top`` products of each.
 
     The lines are aggregated once to (group, period, product); the totals per
-    period are built from that smaller table.
+    period are built from that smaller table. Lines without a group or period have
+    no place in the report; dropping them first keeps the plans of both uses of
+    that table equal, so that Spark computes it once.
     """
+    lines = lines.where(F.col(group).isNotNull() & F.col(period).isNotNull())
     per_product = lines.groupBy(group, period, product).agg(F.sum(amount).cast(AMOUNT).alias("product_revenue"))
     per_period = per_product.groupBy(group, period).agg(F.sum("product_revenue").cast(AMOUNT).alias("revenue"))
     grown = add_growth(per_period, [group], period, "revenue")

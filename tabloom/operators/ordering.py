@@ -18,6 +18,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tabloom.session import cut_lineage
+
 ROWS_PER_RANGE = 250_000
 FEWEST_RANGES = 8
 MOST_RANGES = 10_000
@@ -217,11 +219,12 @@ def rank_rows(
     """RANK and DENSE_RANK: ties are allowed and share their rank.
 
     The distinct keys are ranked, not the rows, so a value held by many rows is
-    counted before any shuffle. Adaptive execution splits such a value when the
-    ranks are joined back.
+    counted before any shuffle, and the counts are written once for the passes of
+    the ordered calculation. Adaptive execution splits such a value when the ranks
+    are joined back.
     """
     names = [*partition_by, *[k.name for k in order_keys(order_by)]]
-    counts = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
+    counts = cut_lineage(df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")))
     ranked = running(
         counts, order_by, partition_by, row_number="_dense", totals={"_up_to": "_copies"}, ranges=ranges
     )
@@ -235,17 +238,22 @@ def rank_rows(
     return df.join(side, match, "inner").select(*out)
 
 
-def tile_rows(df: DataFrame, tiles: int, order_by: Sequence[str], name: str = "tile", **options) -> DataFrame:
-    """NTILE(tiles) over all rows; the first rows % tiles tiles get one row more."""
+def tile_rows(
+    df: DataFrame, tiles: Mapping[str, int], order_by: Sequence[str], ranges: int | None = None
+) -> DataFrame:
+    """NTILE over all rows, one column per entry; the first rows % n tiles get one row more."""
     rows = df.count()
-    size, larger = divmod(rows, tiles)
-    numbered = running(df, order_by, row_number="_at", rows=rows, **options)
+    numbered = running(df, order_by, row_number="_at", rows=rows, ranges=ranges)
     at = F.col("_at") - 1
-    head = larger * (size + 1)
-    tile = F.when(at < head, F.floor(at / F.lit(size + 1)))
-    if size:
-        tile = tile.otherwise(larger + F.floor((at - head) / F.lit(size)))
-    return numbered.select(*df.columns, (tile + 1).cast("int").alias(name))
+    columns = []
+    for name, n in tiles.items():
+        size, larger = divmod(rows, n)
+        head = larger * (size + 1)
+        tile = F.when(at < head, F.floor(at / F.lit(size + 1)))
+        if size:
+            tile = tile.otherwise(larger + F.floor((at - head) / F.lit(size)))
+        columns.append((tile + 1).cast("int").alias(name))
+    return numbered.select(*df.columns, *columns)
 
 
 def page(

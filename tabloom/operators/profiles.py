@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.operators.ordering import running
+from tabloom.session import cut_lineage
 
 
 def profile_columns(df: DataFrame, exact_distinct: bool = True) -> DataFrame:
@@ -62,10 +63,12 @@ def column_histogram(df: DataFrame, column: str, steps: int = 200, ranges: int |
     Values are counted first, so a value held by very many rows is one row of the
     ordered pass. NULL is left out.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
-        F.count(F.lit(1)).alias("n")
+    values = cut_lineage(
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    rows = df.agg(F.count(column)).scalar()
+    rows = values.agg(F.sum("n")).scalar()
     placed = running(values, ["value"], totals={"up_to": "n"}, ranges=ranges).withColumn(
         "step", F.call_function("div", (F.col("up_to") - F.col("n")) * steps, rows).cast("int")
     )

@@ -66,6 +66,14 @@ def compaction_report(t):
     return stored.unionByName(cut)
 
 
+@section.query("compact_files", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem")
+def compact_files(t):
+    """Many small files rewritten as few: the content is the same."""
+    path = scratch_path(t.spark, "small-files")
+    t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").repartition(48).write.parquet(path)
+    return L.compact_files(t.spark.read.parquet(path), scratch_path(t.spark, "compacted"))
+
+
 def _histogram_sql(source, column, steps):
     return f"""SELECT step, MAX(value) AS high_value, max_by(n, value) AS eq_rows,
           CAST(SUM(n) - max_by(n, value) AS BIGINT) AS range_rows, COUNT(*) - 1 AS distinct_range_rows,

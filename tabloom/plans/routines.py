@@ -1,6 +1,8 @@
 """Views, SQL functions, table functions and parameterised procedures."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions import routines as R
 from tabloom.plans.registry import Section, line_amount, total
@@ -156,3 +158,33 @@ def safe_divide_report(t):
     return t.lineitem.select(
         "l_orderkey", "l_linenumber", *R.safe_divide(F.col("l_tax"), F.col("l_discount"), "ratio", "error")
     )
+
+
+@section.query(
+    "raise_custom_error",
+    """SELECT 'balance' AS rule, 50001 AS error_number, 'Insufficient balance' AS error_message, COUNT(*) AS n_rows
+       FROM customer HAVING COUNT(CASE WHEN c_acctbal < 0 THEN 1 END) > 0
+       UNION ALL SELECT 'size', CAST(NULL AS INTEGER), CAST(NULL AS VARCHAR), COUNT(*) FROM part""",
+)
+def raise_custom_error(t):
+    """A broken condition raises an error with a number; the caller reports it and goes on."""
+    checks = {
+        "balance": (t.customer, F.col("c_acctbal") >= 0, 50001, "Insufficient balance"),
+        "size": (t.part, F.col("p_size") >= 0, 50002, "Negative size"),
+    }
+    reports = []
+    for rule, (df, condition, number, message) in checks.items():
+        raised = None
+        try:
+            R.require(df, condition, number, message)
+        except R.DataError as error:
+            raised = error
+        reports.append(
+            df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(rule).alias("rule"),
+                F.lit(raised.number if raised else None).cast("int").alias("error_number"),
+                F.lit(raised.message if raised else None).cast("string").alias("error_message"),
+                "n_rows",
+            )
+        )
+    return reduce(DataFrame.unionByName, reports)

@@ -6,7 +6,11 @@ from tabloom.functions import predicates as P
 from tabloom.plans.registry import Section
 
 section = Section()
-part_with_gaps = F.nullif(F.col("p_type"), F.lit("ECONOMY"))
+
+
+def part_with_gaps():
+    """A color that is NULL for some parts; the tables themselves hold no NULL."""
+    return F.nullif(F.col("p_type"), F.lit("ECONOMY"))
 
 
 @section.query(
@@ -68,7 +72,7 @@ def filter_like_ci(t):
        WHERE p_name NOT LIKE '%ring%' AND NULLIF(p_type, 'ECONOMY') IS NOT NULL""",
 )
 def filter_not_like(t):
-    parts = t.part.select("p_partkey", "p_name", part_with_gaps.alias("color"))
+    parts = t.part.select("p_partkey", "p_name", part_with_gaps().alias("color"))
     return parts.where(~F.col("p_name").like("%ring%") & F.col("color").isNotNull())
 
 
@@ -109,17 +113,17 @@ def filter_half_open_range(t):
 
 @section.query("filter_is_null", "SELECT p_partkey, p_brand FROM part WHERE NULLIF(p_type, 'ECONOMY') IS NULL")
 def filter_is_null(t):
-    return t.part.where(part_with_gaps.isNull()).select("p_partkey", "p_brand")
+    return t.part.where(part_with_gaps().isNull()).select("p_partkey", "p_brand")
 
 
 @section.query("filter_eq_null_empty", "SELECT p_partkey FROM part WHERE NULLIF(p_type, 'ECONOMY') = NULL")
 def filter_eq_null_empty(t):
-    return t.part.where(part_with_gaps == F.lit(None).cast("string")).select("p_partkey")
+    return t.part.where(part_with_gaps() == F.lit(None).cast("string")).select("p_partkey")
 
 
 @section.query("distinct_values", "SELECT DISTINCT NULLIF(p_type, 'ECONOMY') AS color FROM part")
 def distinct_values(t):
-    return t.part.select(part_with_gaps.alias("color")).distinct()
+    return t.part.select(part_with_gaps().alias("color")).distinct()
 
 
 @section.query(
@@ -203,7 +207,7 @@ def filter_month_sargable(t):
     "SELECT p_partkey FROM part WHERE COALESCE(NULLIF(p_type, 'ECONOMY'), 'PROMO') = 'PROMO'",
 )
 def filter_isnull_rewrite(t):
-    parts = t.part.select("p_partkey", part_with_gaps.alias("color"))
+    parts = t.part.select("p_partkey", part_with_gaps().alias("color"))
     return parts.where(P.equals_or_null("color", "PROMO")).select("p_partkey")
 
 

@@ -26,7 +26,8 @@ def region_months(t):
     )
 
 
-per_region = Window.partitionBy("r_name").orderBy("order_month")
+def per_region():
+    return Window.partitionBy("r_name").orderBy("order_month")
 
 
 def as_double(column, name):
@@ -60,9 +61,8 @@ def win_rank_dense_global(t):
 )
 def win_ntile_global(t):
     parts = t.part.select("p_partkey", "p_retailprice")
-    order = ["p_retailprice desc", "p_partkey"]
-    quartiles = O.tile_rows(parts, 4, order, "quartile")
-    return O.tile_rows(quartiles, 7, order, "seventh").select("p_partkey", "quartile", "seventh")
+    tiles = {"quartile": 4, "seventh": 7}
+    return O.tile_rows(parts, tiles, ["p_retailprice desc", "p_partkey"]).drop("p_retailprice")
 
 
 @section.query(
@@ -97,13 +97,13 @@ def win_dense_rank_part(t):
 def win_lag_lead_default(t):
     """With a default of 0 the first change of a region equals its revenue."""
     zero = F.lit(0).cast("decimal(24,2)")
-    before = F.coalesce(F.lag("revenue").over(per_region), zero)
+    before = F.coalesce(F.lag("revenue").over(per_region()), zero)
     return region_months(t).select(
         "r_name",
         "order_month",
         as_double(F.col("revenue"), "revenue"),
         as_double(before, "before"),
-        as_double(F.coalesce(F.lead("revenue").over(per_region), zero), "after"),
+        as_double(F.coalesce(F.lead("revenue").over(per_region()), zero), "after"),
         as_double(F.col("revenue") - before, "change"),
     )
 
@@ -124,7 +124,7 @@ def win_lag_null(t):
                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running_total FROM ({MONTHS})""",
 )
 def win_running_sum(t):
-    so_far = per_region.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    so_far = per_region().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return region_months(t).select("r_name", "order_month", as_double(F.sum("revenue").over(so_far), "running_total"))
 
 
@@ -153,7 +153,7 @@ def _frame_sql(bounds, name):
     f"SELECT r_name, order_month, {_frame_sql('2 PRECEDING AND CURRENT ROW', 'moving_average')} FROM ({MONTHS})",
 )
 def win_moving_avg(t):
-    frame = per_region.rowsBetween(-2, Window.currentRow)
+    frame = per_region().rowsBetween(-2, Window.currentRow)
     return region_months(t).select("r_name", "order_month", _frame_average(frame).alias("moving_average"))
 
 
@@ -164,11 +164,11 @@ def win_moving_avg(t):
         FROM ({MONTHS})""",
 )
 def win_centered_frame(t):
-    ahead = per_region.rowsBetween(Window.currentRow, 2)
+    ahead = per_region().rowsBetween(Window.currentRow, 2)
     return region_months(t).select(
         "r_name",
         "order_month",
-        _frame_average(per_region.rowsBetween(-1, 1)).alias("centered_average"),
+        _frame_average(per_region().rowsBetween(-1, 1)).alias("centered_average"),
         as_double(F.sum("revenue").over(ahead), "next_three"),
     )
 
@@ -182,7 +182,7 @@ WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
                CAST(LAST_VALUE(revenue) OVER ({PER_REGION} {WHOLE}) AS DOUBLE) AS last_revenue FROM ({MONTHS})""",
 )
 def win_first_last(t):
-    whole = per_region.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = per_region().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return region_months(t).select(
         "r_name",
         "order_month",
@@ -199,7 +199,7 @@ def win_first_last(t):
 def win_last_value_default(t):
     """Without a frame the window ends at the current row, so this is the row's own value."""
     return region_months(t).select(
-        "r_name", "order_month", as_double(F.last("revenue").over(per_region), "last_revenue")
+        "r_name", "order_month", as_double(F.last("revenue").over(per_region()), "last_revenue")
     )
 
 
