@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import NamedTuple
@@ -11,13 +12,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabloom.operators.ordering import number_rows
 
 REASONS = "_reasons"
+NUMERIC = re.compile(r"tinyint|smallint|int|bigint|float|double|decimal")
 
 
 @dataclass(frozen=True)
 class NotNull:
     column: str
 
-    def broken(self) -> Column:
+    def broken(self, types: Mapping[str, str]) -> Column:
         return F.col(self.column).isNull()
 
     @property
@@ -30,7 +32,7 @@ class MaxLength:
     column: str
     length: int
 
-    def broken(self) -> Column:
+    def broken(self, types: Mapping[str, str]) -> Column:
         return F.length(self.column) > self.length
 
     @property
@@ -40,13 +42,22 @@ class MaxLength:
 
 @dataclass(frozen=True)
 class FitsType:
-    """The value converts to the type, for example decimal(7,2); NULL passes."""
+    """The value converts to the type, for example decimal(7,2); NULL passes.
+
+    Numbers are compared with the largest value of a decimal type: a failing cast
+    costs an exception per row.
+    """
 
     column: str
     type: str
 
-    def broken(self) -> Column:
-        return F.col(self.column).isNotNull() & F.col(self.column).try_cast(self.type).isNull()
+    def broken(self, types: Mapping[str, str]) -> Column:
+        value = F.col(self.column)
+        decimal = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", self.type)
+        if decimal and NUMERIC.match(types[self.column]):
+            precision, scale = (int(x) for x in decimal.groups())
+            return F.abs(F.round(value, scale)) >= F.lit(10 ** (precision - scale))
+        return value.isNotNull() & value.try_cast(self.type).isNull()
 
     @property
     def reason(self) -> str:
@@ -60,7 +71,7 @@ class Check:
     name: str
     condition: str
 
-    def broken(self) -> Column:
+    def broken(self, types: Mapping[str, str]) -> Column:
         return ~F.expr(self.condition)
 
     @property
@@ -121,10 +132,11 @@ def with_reasons(df: DataFrame, rules: Sequence) -> DataFrame:
     key with very many copies is not gathered in one task; a reference is a left
     join with the distinct parent keys.
     """
+    types = dict(df.dtypes)
     marked = df.withColumn(
         REASONS,
         F.array_compact(
-            F.array(*[F.when(F.coalesce(r.broken(), F.lit(False)), r.reason) for r in rules if isinstance(r, ROW_RULES)])
+            F.array(*[F.when(F.coalesce(r.broken(types), F.lit(False)), r.reason) for r in rules if isinstance(r, ROW_RULES)])
         ).cast("array<string>"),
     )
 

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tabloom.functions.amounts import sum_amount, sum_units, units
 from tabloom.functions.predicates import in_month, in_year
 from tabloom.operators import aggregates as A
-from tabloom.plans.registry import Section, cents, line_amount, mean, month_of, total
+from tabloom.plans.registry import Section, line_total, mean, month_of, total
 
 section = Section()
 SUM_PRICE = "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
@@ -151,7 +152,7 @@ def agg_after_join(t):
     return (
         t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy("p_name")
-        .agg(F.sum(line_amount()).cast("double").alias("total_sold"))
+        .agg(line_total().cast("double").alias("total_sold"))
     )
 
 
@@ -176,7 +177,7 @@ def agg_of_agg(t):
     monthly = (
         t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
         .groupBy("c_nationkey", month_of("o_orderdate").alias("m"))
-        .agg(F.sum(cents("o_totalprice")).alias("revenue"))
+        .agg(sum_amount("o_totalprice").alias("revenue"))
     )
     return (
         monthly.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
@@ -189,7 +190,7 @@ YEARS = (1996, 1997, 1998, 2002)
 
 
 def _priced_by_year(t):
-    return t.orders.select("o_orderstatus", F.year("o_orderdate").alias("y"), cents("o_totalprice").alias("price"))
+    return t.orders.select("o_orderstatus", F.year("o_orderdate").alias("y"), units("o_totalprice").alias("price"))
 
 
 @section.query(
@@ -202,7 +203,7 @@ def _priced_by_year(t):
     + ", COUNT(*) AS n_orders FROM orders GROUP BY 1",
 )
 def agg_conditional_sum(t):
-    per_year = [F.sum(F.when(F.col("y") == y, F.col("price"))).cast("double").alias(f"y{y}") for y in YEARS]
+    per_year = [sum_units(F.when(F.col("y") == y, F.col("price"))).cast("double").alias(f"y{y}") for y in YEARS]
     return _priced_by_year(t).groupBy("o_orderstatus").agg(*per_year, count_rows().alias("n_orders"))
 
 
@@ -228,7 +229,7 @@ def agg_conditional_count(t):
     + " FROM orders GROUP BY 1",
 )
 def pivot_sum(t):
-    wide = _priced_by_year(t).groupBy("o_orderstatus").pivot("y", list(YEARS)).agg(F.sum("price"))
+    wide = _priced_by_year(t).groupBy("o_orderstatus").pivot("y", list(YEARS)).agg(sum_units("price"))
     return wide.select("o_orderstatus", *[F.col(str(y)).cast("double").alias(str(y)) for y in YEARS])
 
 
@@ -347,5 +348,5 @@ def agg_filtered_join(t):
         t.orders.where(in_month("o_orderdate", "1997-07"))
         .join(t.lineitem, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_orderkey")
-        .agg(F.sum(line_amount()).cast("double").alias("order_total"))
+        .agg(line_total().cast("double").alias("order_total"))
     )

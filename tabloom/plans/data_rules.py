@@ -95,7 +95,7 @@ def rule_not_null_type(t):
 )
 def rule_default(t):
     """Explicit NULLs stay NULL; only columns an insert leaves out get the default."""
-    target = t.spark.createDataFrame([], "p_partkey bigint, kind string, stock_qty int")
+    target = t.part.where(F.lit(False)).select("p_partkey", F.col("p_type").alias("kind"), F.col("p_size").alias("stock_qty"))
     defaults = {"kind": F.lit("unknown"), "stock_qty": F.lit(0)}
     explicit = t.part.select("p_partkey", F.nullif("p_type", F.lit("ECONOMY")).alias("kind"))
     sized = t.part.where("p_size > 45").select(

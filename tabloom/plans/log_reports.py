@@ -2,14 +2,15 @@
 
 from pyspark.sql import functions as F
 
+from tabloom.functions.amounts import sum_amount, units
 from tabloom.operators import graphs as G, logs as L
-from tabloom.plans.registry import Section, cents
+from tabloom.plans.registry import Section
 
 section = Section()
 
 
 def millis():
-    return (cents("value") * 100).cast("bigint")
+    return units("value")
 
 
 EXACT_MILLIS = "CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT)"
@@ -75,7 +76,7 @@ def blocking_chain(t):
           SELECT user_id, cycle_id, n_members, rn = 1 AS is_victim FROM m""",
 )
 def deadlock_cycles(t):
-    costs = t.events.groupBy("user_id").agg(F.sum(cents("value")).alias("cost"))
+    costs = t.events.groupBy("user_id").agg(sum_amount("value").alias("cost"))
     cycles = G.wait_cycles(wait_edges(t), "user_id", "blocker")
     return G.deadlock_victims(cycles, costs, "user_id", "cost")
 

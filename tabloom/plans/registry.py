@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tabloom.functions.amounts import sum_amount, sum_units, units
 from tabloom.sources.tables import Tables
 
 Plan = Callable[[Tables], DataFrame]
@@ -45,7 +46,7 @@ def cents(column: str | Column) -> Column:
 
 
 def total(column: str | Column) -> Column:
-    return F.sum(cents(column)).cast("double")
+    return sum_amount(column).cast("double")
 
 
 def mean(column: str | Column) -> Column:
@@ -57,8 +58,13 @@ def month_of(column: str | Column) -> Column:
     return F.trunc(F.col(column) if isinstance(column, str) else column, "month")
 
 
-def line_amount() -> Column:
-    """Exact price of an order line after discount."""
-    return F.col("l_extendedprice").cast("decimal(18,2)") * (
-        F.lit(1) - F.col("l_discount").cast("decimal(4,2)")
-    )
+LINE_SCALE = 4
+
+
+def line_units() -> Column:
+    """Exact price of an order line after discount, in ten-thousandths."""
+    return units("l_extendedprice") * (F.lit(100) - units("l_discount"))
+
+
+def line_total() -> Column:
+    return sum_units(line_units(), LINE_SCALE)

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tabloom.functions import routines as R
-from tabloom.plans.registry import Section, line_amount, total
+from tabloom.plans.registry import Section, line_total, total
 
 section = Section()
 SPENT = "CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE)"
@@ -37,7 +37,7 @@ def view_customer_summary(t):
         GROUP BY 1, 2 ORDER BY sold DESC, p_partkey LIMIT 20""",
 )
 def view_top_products(t):
-    sold = t.lineitem.groupBy("l_partkey").agg(F.sum(line_amount()).cast("double").alias("sold"))
+    sold = t.lineitem.groupBy("l_partkey").agg(line_total().cast("double").alias("sold"))
     top = sold.orderBy(F.col("sold").desc(), "l_partkey").limit(20)
     named = t.part.join(F.broadcast(top), F.col("l_partkey") == F.col("p_partkey"))
     named.select("p_partkey", "p_name", "sold").createOrReplaceTempView("top_products")

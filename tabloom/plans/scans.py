@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tabloom.operators.ordering import number_rows
 from tabloom.operators.profiles import profile_columns
-from tabloom.plans.registry import Section, cents, month_of, total
+from tabloom.plans.registry import Section, cents, mean, month_of, total
 from tabloom.sources import tables
 
 section = Section()
@@ -95,7 +95,7 @@ def temp_result_reuse(t):
             total("o_totalprice").alias("revenue")
         )
     )
-    average = monthly.agg(F.sum(cents("revenue")).cast("double") / F.count(F.lit(1)))
+    average = monthly.agg(mean("revenue"))
     return monthly.where(F.col("revenue") > average.scalar())
 
 

@@ -63,7 +63,7 @@ def filter_like_suffix(t):
 
 @section.query("filter_like_ci", "SELECT p_partkey, p_type FROM part WHERE p_type ILIKE '%rom%'")
 def filter_like_ci(t):
-    return t.part.where(F.expr("p_type COLLATE UTF8_LCASE LIKE '%rom%'")).select("p_partkey", "p_type")
+    return t.part.where(F.col("p_type").ilike("%rom%")).select("p_partkey", "p_type")
 
 
 @section.query(

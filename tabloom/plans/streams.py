@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tabloom.functions.amounts import units
 from tabloom.operators import rules as R
-from tabloom.plans.registry import Section, cents
+from tabloom.plans.registry import Section, total
 from tabloom.plans.table_changes import SOURCE, TARGET, stock_target
 from tabloom.streaming import aggregates as A, feeds, tables
 from tabloom.streaming.balances import debit_stream
@@ -15,7 +16,7 @@ EXACT = "CAST(value AS DECIMAL(18,2))"
 
 
 def _measures():
-    return {"n": F.count(F.lit(1)), "amount": F.sum(cents("value")).cast("double")}
+    return {"n": F.count(F.lit(1)), "amount": total("value")}
 
 
 def event_stream(t):
@@ -124,7 +125,7 @@ def stream_balance(t):
         F.col("user_id").alias("account_id"),
         F.col("event_id").alias("entry_id"),
         F.col("ts").alias("at"),
-        (cents("value") * 100).cast("bigint").alias("amount_cents"),
+        units("value").alias("amount_cents"),
     )
     return debit_stream(debits, OPENING_CENTS)
 

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from tabloom.functions.amounts import sum_units
 from tabloom.operators import recursion as R
 from tabloom.operators.growth import add_growth
-from tabloom.plans.registry import Section, cents, line_amount, mean, month_of, total
+from tabloom.plans.registry import LINE_SCALE, Section, cents, line_total, line_units, mean, month_of, total
 
 section = Section()
 PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
@@ -62,7 +63,7 @@ def subq_corr_sum(t):
     sold = (
         t.lineitem.where("l_quantity >= 45")
         .groupBy(F.col("l_partkey").alias("p_partkey"))
-        .agg(F.sum(line_amount()).cast("double").alias("total_sold"))
+        .agg(line_total().cast("double").alias("total_sold"))
     )
     return t.part.join(sold, "p_partkey", "left").select("p_partkey", "p_name", "total_sold")
 
@@ -102,19 +103,19 @@ def flat_lines(t):
     return (
         t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
         .join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
-        .select("c_nationkey", month_of("o_orderdate").alias("order_month"), "l_partkey", line_amount().alias("amount"))
+        .select("c_nationkey", month_of("o_orderdate").alias("order_month"), "l_partkey", line_units().alias("amount"))
     )
 
 
 def by_month(lines):
-    return lines.groupBy("c_nationkey", "order_month").agg(F.sum("amount").cast("decimal(24,4)").alias("revenue"))
+    return lines.groupBy("c_nationkey", "order_month").agg(sum_units("amount", LINE_SCALE).alias("revenue"))
 
 
 @section.query(
     "cte_steps_flat", f"SELECT c_nationkey, order_month, l_partkey, CAST(amount AS DOUBLE) AS amount FROM ({FLAT})"
 )
 def cte_steps_flat(t):
-    return flat_lines(t).withColumn("amount", F.col("amount").cast("double"))
+    return flat_lines(t).withColumn("amount", F.col("amount") / F.lit(10000.0))
 
 
 @section.query(
@@ -142,7 +143,7 @@ def cte_steps_growth(t):
         WHERE sold > (SELECT SUM(sold) / COUNT(*) FROM s)""",
 )
 def cte_reused(t):
-    sold = t.lineitem.groupBy("l_partkey").agg(F.sum(line_amount()).cast("decimal(24,4)").alias("sold"))
+    sold = t.lineitem.groupBy("l_partkey").agg(line_total().alias("sold"))
     average = sold.agg(F.avg("sold")).scalar()
     return (
         sold.where(F.col("sold") > average)

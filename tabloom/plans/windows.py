@@ -2,10 +2,11 @@
 
 from pyspark.sql import Window, functions as F
 
+from tabloom.functions.amounts import sum_amount
 from tabloom.operators import ordering as O, windows as W
 from tabloom.operators.growth import add_growth, growth_report, percent
 from tabloom.operators.joins import first_per_key
-from tabloom.plans.registry import Section, cents, line_amount, mean, month_of, total
+from tabloom.plans.registry import Section, cents, line_units, mean, month_of, total
 
 section = Section()
 PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
@@ -22,7 +23,7 @@ def region_months(t):
         .join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
         .join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
         .groupBy("r_name", month_of("o_orderdate").alias("order_month"))
-        .agg(F.sum(cents("o_totalprice")).cast("decimal(24,2)").alias("revenue"))
+        .agg(sum_amount("o_totalprice").alias("revenue"))
     )
 
 
@@ -216,7 +217,7 @@ def win_last_value_default(t):
 def win_range_vs_rows(t):
     """Years tie across the three statuses: RANGE gives all of them the same total."""
     yearly = t.orders.groupBy("o_orderpriority", F.year("o_orderdate").alias("y"), "o_orderstatus").agg(
-        F.sum(cents("o_totalprice")).alias("revenue")
+        sum_amount("o_totalprice").alias("revenue")
     )
     one = Window.partitionBy("o_orderpriority")
     by_range = one.orderBy("y").rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -266,7 +267,7 @@ def win_pct_of_partition(t):
 )
 def win_pct_of_total(t):
     price = cents("o_totalprice")
-    whole = t.orders.agg(F.sum(price).cast("decimal(24,2)")).scalar()
+    whole = t.orders.agg(sum_amount("o_totalprice")).scalar()
     return t.orders.select("o_orderkey", percent(price, whole, "decimal(9,6)").alias("pct"))
 
 
@@ -379,7 +380,7 @@ def longest_streak(t):
 def running_total_and_share(t):
     """Months only reach the one-partition window: their number is bounded by the calendar."""
     monthly = t.orders.groupBy(month_of("o_orderdate").alias("order_month")).agg(
-        F.sum(cents("o_totalprice")).cast("decimal(24,2)").alias("revenue")
+        sum_amount("o_totalprice").alias("revenue")
     )
     line = Window.orderBy("order_month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = F.sum("revenue").over(Window.partitionBy()).cast("decimal(24,2)")
@@ -423,7 +424,7 @@ def case_study_sales(t):
         .join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
         .join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
         .join(t.part, F.col("p_partkey") == F.col("l_partkey"))
-        .select("n_name", month_of("o_orderdate").alias("month"), "p_name", line_amount().alias("amount"))
+        .select("n_name", month_of("o_orderdate").alias("month"), "p_name", line_units().alias("amount"))
     )
     return growth_report(lines, "n_name", "month", "p_name", "amount", top=3)
 
@@ -437,6 +438,6 @@ def case_study_vendor(t):
     lines = (
         t.lineitem.join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
         .join(t.part, F.col("p_partkey") == F.col("l_partkey"))
-        .select("s_name", month_of("l_shipdate").alias("month"), "p_name", line_amount().alias("amount"))
+        .select("s_name", month_of("l_shipdate").alias("month"), "p_name", line_units().alias("amount"))
     )
     return growth_report(lines, "s_name", "month", "p_name", "amount", top=2)

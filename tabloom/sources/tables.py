@@ -38,18 +38,17 @@ class Tables:
 def register_tables(spark: SparkSession, path: str) -> DataFrame:
     """Register one temp view per table; returns (table_name, n_columns, n_rows)."""
     tables = Tables(spark, path)
-    rows = []
+    widths, rows = [], []
     for name in TABLE_NAMES:
         df = getattr(tables, name)
         df.createOrReplaceTempView(name)
-        rows.append(
-            df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(name).alias("table_name"),
-                F.lit(len(df.columns)).alias("n_columns"),
-                "n_rows",
-            )
-        )
-    return reduce(DataFrame.unionByName, rows)
+        widths.append(F.struct(F.lit(name).alias("table_name"), F.lit(len(df.columns)).alias("n_columns")))
+        rows.append(df.select(F.lit(name).alias("table_name")))
+    counts = reduce(DataFrame.unionByName, rows).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    listed = spark.range(1).select(F.inline(F.array(*widths)))
+    return listed.join(counts, "table_name", "left").select(
+        "table_name", "n_columns", F.coalesce("n", F.lit(0)).alias("n_rows")
+    )
 
 
 def select_into(df: DataFrame, path: str | None = None) -> DataFrame:

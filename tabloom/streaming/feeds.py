@@ -48,10 +48,11 @@ def run_windowed(
     second run of the same query reads an end-of-feed row that moves the watermark.
     Rows later than ``lateness`` are dropped and counted by the progress reports.
     """
-    schema = spark.read.parquet(path).schema
+    table = spark.read.parquet(path)
+    schema = table.schema
     base = scratch_path(spark, "stream")
     end_dir, out, progress = f"{base}/end", f"{base}/out", f"{base}/progress"
-    spark.createDataFrame([], schema).write.parquet(end_dir)
+    table.where(F.lit(False)).coalesce(1).write.parquet(end_dir)
 
     def query() -> DataStreamWriter:
         feed = stream_files(spark, path, schema, files_per_batch).unionByName(stream_files(spark, end_dir, schema))
