@@ -48,6 +48,11 @@ def order_keys(spec: Sequence[str]) -> list[OrderKey]:
     return keys
 
 
+def _within(spec: Sequence[str], partition_by: Sequence[str]) -> list[OrderKey]:
+    """The order keys that vary inside a group."""
+    return [k for k in order_keys(spec) if k.name not in partition_by]
+
+
 def _reaches(bound: Column, keys: Sequence[OrderKey]) -> Column:
     """True when a row stands at or after ``bound`` in the order of the keys."""
     if not any(k.descending for k in keys):
@@ -92,7 +97,7 @@ def with_range(
     rows: int | None = None,
 ) -> DataFrame:
     """Add the number of the range each row falls into, increasing with the order."""
-    keys = [OrderKey(p) for p in partition_by] + order_keys(order_by)
+    keys = [OrderKey(p) for p in partition_by] + _within(order_by, partition_by)
     if rows is None:
         rows = df.count()
     if ranges is None:
@@ -126,7 +131,9 @@ def running(
     ``totals`` and ``previous`` map a new column to the column it is taken from.
     """
     totals, previous = dict(totals or {}), dict(previous or {})
-    keys = order_keys(order_by)
+    keys = _within(order_by, partition_by)
+    if not keys:
+        raise ValueError("the order needs a column that is not in partition_by")
     if previous and len({k.descending for k in keys}) > 1:
         raise ValueError("previous values need all order keys in one direction")
     spread = with_range(df, order_by, partition_by, ranges, rows)
@@ -291,13 +298,15 @@ def among_first(df: DataFrame, order_by: Sequence[str], n: int) -> Column:
     Only the n-th row is looked up; the rows themselves are neither numbered nor
     shuffled.
     """
+    if n <= 0:
+        return F.lit(False)
     keys = order_keys(order_by)
     names = [k.name for k in keys]
     last = page(df, order_by, n - 1, 1).select(F.struct(*names).alias("_last")).scalar()
     is_last = F.lit(True)
     for name in names:
         is_last = is_last & F.col(name).eqNullSafe(last[name])
-    return F.coalesce(~_reaches(last, keys) | is_last, F.lit(True)) if n > 0 else F.lit(False)
+    return F.coalesce(~_reaches(last, keys) | is_last, F.lit(True))
 
 
 def top_with_ties(df: DataFrame, n: int, by: str) -> DataFrame:

@@ -81,7 +81,8 @@ class Check:
 
 @dataclass(frozen=True)
 class Key:
-    """Primary or unique key. ``order`` decides which copy is the first and stays.
+    """Primary or unique key. ``order`` decides which copy is the first and stays
+    (without it, the order of the other columns); it should tell all copies apart.
 
     A primary key refuses NULL. A unique key treats NULL as one more value, or
     ignores NULL with ``nulls_distinct``.
@@ -145,7 +146,7 @@ def with_reasons(df: DataFrame, rules: Sequence) -> DataFrame:
 
     for rule in rules:
         if isinstance(rule, Key):
-            others = [c for c in rule.order if c not in rule.columns] or list(rule.columns)
+            others = list(rule.order) or [c for c in df.columns if c not in rule.columns]
             marked = number_rows(marked, others, partition_by=rule.columns, name="_copy")
             null_key = _any_null(rule.columns)
             repeated = F.col("_copy") > 1

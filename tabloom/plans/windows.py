@@ -422,11 +422,11 @@ def case_study_sales(t):
     lines = (
         t.lineitem.join(t.orders, F.col("o_orderkey") == F.col("l_orderkey"))
         .join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
-        .join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
         .join(t.part, F.col("p_partkey") == F.col("l_partkey"))
-        .select("n_name", month_of("o_orderdate").alias("month"), "p_name", line_units().alias("amount"))
+        .select("c_nationkey", month_of("o_orderdate").alias("month"), "p_name", line_units().alias("amount"))
     )
-    return growth_report(lines, "n_name", "month", "p_name", "amount", top=3)
+    report = growth_report(lines, "c_nationkey", "month", "p_name", "amount", top=3)
+    return report.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey")).select("n_name", *report.columns[1:])
 
 
 @section.query(
@@ -435,9 +435,8 @@ def case_study_sales(t):
 )
 def case_study_vendor(t):
     """The same report for suppliers by month of shipment, with two products."""
-    lines = (
-        t.lineitem.join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
-        .join(t.part, F.col("p_partkey") == F.col("l_partkey"))
-        .select("s_name", month_of("l_shipdate").alias("month"), "p_name", line_units().alias("amount"))
+    lines = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).select(
+        "l_suppkey", month_of("l_shipdate").alias("month"), "p_name", line_units().alias("amount")
     )
-    return growth_report(lines, "s_name", "month", "p_name", "amount", top=2)
+    report = growth_report(lines, "l_suppkey", "month", "p_name", "amount", top=2)
+    return report.join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey")).select("s_name", *report.columns[1:])
