@@ -135,14 +135,18 @@ def merge(
     insert: Mapping[str, Column],
     changed: Column | None = None,
     delete_unmatched: bool = False,
+    source_is_unique: bool = False,
 ) -> Change:
     """MERGE with update, insert and, if asked for, delete of rows the source lacks.
 
     Expressions name target columns as ``t.x`` and source columns as ``s.x``.
     ``changed`` limits the update; when it is NULL the row is kept. The output has
-    the action, and the key of the row after and before the change.
+    the action, and the key of the row after and before the change. A source key
+    that occurs twice is an error; the check is a job of its own that
+    ``source_is_unique`` saves.
     """
-    require_unique(source, keys)
+    if not source_is_unique:
+        require_unique(source, keys)
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     s = source.withColumn("_in_source", F.lit(True)).alias("s")
     both = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full")

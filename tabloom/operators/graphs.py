@@ -11,32 +11,41 @@ def _followed(edges: DataFrame, waiter: str, blocker: str) -> DataFrame:
     """Follow the pointers of all nodes by doubling: log2(nodes) joins in all.
 
     The result has for every node the node reached (``at``), the steps taken to a
-    root (``hops``), whether it is a root, and the lowest node passed (``low``).
+    root (``hops``), whether it ended there (``ends``), and the lowest node passed
+    (``low``). Nodes that have reached their root are not joined again, so a root
+    that blocks very many nodes is not a hot key of the later rounds.
     """
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     links = edges.select(F.col(waiter).alias("node"), F.col(blocker).alias("at"))
     roots = links.select(F.col("at").alias("node")).distinct().join(links, "node", "left_anti")
     state = cut_lineage(
-        links.select("node", "at", F.lit(1).cast("bigint").alias("hops"), F.col("node").alias("low"))
-        .unionByName(roots.select("node", F.col("node").alias("at"), F.lit(0).cast("bigint").alias("hops"), F.col("node").alias("low")))
+        links.select("node", "at", one.alias("hops"), F.col("node").alias("low"), F.lit(False).alias("ends"))
+        .unionByName(
+            roots.select(
+                "node", F.col("node").alias("at"), zero.alias("hops"), F.col("node").alias("low"), F.lit(True).alias("ends")
+            )
+        )
     )
-    nodes = state.count()
-    for _ in range(max(1, nodes.bit_length())):
+    for _ in range(max(1, state.count().bit_length())):
+        walking = state.where(~F.col("ends"))
+        if walking.isEmpty():
+            break
         onward = state.select(
             F.col("node").alias("at"),
             F.col("at").alias("_next"),
             F.col("hops").alias("_hops"),
             F.col("low").alias("_low"),
+            F.col("ends").alias("_ends"),
         )
-        state = cut_lineage(
-            state.join(onward, "at").select(
-                "node",
-                F.col("_next").alias("at"),
-                (F.col("hops") + F.col("_hops")).alias("hops"),
-                F.least("low", "_low").alias("low"),
-            )
+        moved = walking.join(onward, "at").select(
+            "node",
+            F.col("_next").alias("at"),
+            (F.col("hops") + F.col("_hops")).alias("hops"),
+            F.least("low", "_low").alias("low"),
+            F.col("_ends").alias("ends"),
         )
-    root_nodes = roots.select(F.col("node").alias("at"), F.lit(True).alias("ends"))
-    return state.join(root_nodes, "at", "left").withColumn("ends", F.coalesce("ends", F.lit(False)))
+        state = cut_lineage(state.where("ends").unionByName(moved))
+    return state
 
 
 def blocking_chains(edges: DataFrame, waiter: str, blocker: str) -> DataFrame:

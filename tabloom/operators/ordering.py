@@ -8,7 +8,9 @@ run the plain window inside each range, and carry counts, sums and last values
 from range to range through a table with one row per range.
 
 The order keys must make every row unique; ties would be numbered arbitrarily.
-NULL is the lowest value, as in an ordinary ORDER BY.
+NULL is the lowest value, as in an ordinary ORDER BY. The input is read several
+times (count, sample, ranges, rows) and must give the same rows each time; an
+expensive input is better written first (``tabloom.session.cut_lineage``).
 """
 
 from __future__ import annotations

@@ -19,8 +19,8 @@ def _measures():
     return {"n": F.count(F.lit(1)), "amount": total("value")}
 
 
-def event_stream(t):
-    return feeds.stream_files(t.spark, t.file_of("events"), t.events.schema)
+def event_stream(t, **options):
+    return feeds.stream_files(t.spark, t.file_of("events"), t.events.schema, **options)
 
 
 @section.query(
@@ -121,7 +121,7 @@ OPENING_CENTS = 20_000
         SELECT user_id AS account_id, event_id AS entry_id, cents AS amount_cents, accepted, balance AS balance_cents FROM b""",
 )
 def stream_balance(t):
-    debits = event_stream(t).where("event_type = 'purchase'").select(
+    debits = event_stream(t, bytes_per_batch=256 * 1024**2).where("event_type = 'purchase'").select(
         F.col("user_id").alias("account_id"),
         F.col("event_id").alias("entry_id"),
         F.col("ts").alias("at"),

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,20 @@ def shared_dir(spark: SparkSession) -> str:
     return configured
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Change a session setting for the length of a block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -19,8 +19,8 @@ def debit_stream(entries: DataFrame, opening_cents: int) -> DataFrame:
     """Debits (account_id, entry_id, at, amount_cents) in order of (at, entry_id) per account.
 
     Whether a debit is accepted depends on all before it, so the debits of one
-    account in one micro-batch are decided by one task; the size of a micro-batch
-    (``files_per_batch`` of the feed) bounds them. Only their numbers are held.
+    account in one micro-batch are decided by one task. The size of a micro-batch
+    bounds them (see ``stream_files``), and only three numbers per debit are held.
     """
 
     def decide(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

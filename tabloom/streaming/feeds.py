@@ -8,13 +8,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructType
 
-from tabloom.session import scratch_path
+from tabloom.session import scratch_path, setting
 
 END_OF_TIME = "9999-01-01 00:00:00"
+BYTES_PER_BATCH = 16 * 1024**3
+MERGE_SESSIONS_EARLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
-def stream_files(spark: SparkSession, path: str, schema: StructType, files_per_batch: int | None = None) -> DataFrame:
-    """Parquet files of a table as a stream; ``files_per_batch`` bounds a micro-batch.
+def stream_files(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int = BYTES_PER_BATCH,
+) -> DataFrame:
+    """Parquet files of a table as a stream, in micro-batches of bounded size.
 
     Spark takes a plain path for a folder. A table may be a single file, so its
     name is given as a pattern that matches just that name.
@@ -25,6 +33,8 @@ def stream_files(spark: SparkSession, path: str, schema: StructType, files_per_b
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     return reader.parquet(path)
 
 
@@ -65,7 +75,9 @@ def run_windowed(
             .option("checkpointLocation", progress)
         )
 
-    finish(query())
+    # sessions of one key are merged before the shuffle as well as after it
+    with setting(spark, MERGE_SESSIONS_EARLY, "true"):
+        finish(query())
     end = spark.range(1).select(
         *[
             (F.lit(END_OF_TIME) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name)
@@ -73,7 +85,8 @@ def run_windowed(
         ]
     )
     end.coalesce(1).write.mode("append").parquet(end_dir)
-    finish(query())
+    with setting(spark, MERGE_SESSIONS_EARLY, "true"):
+        finish(query())
     return spark.read.parquet(out)
 
 

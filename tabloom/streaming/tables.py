@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.operators.changes import merge
+from tabloom.operators.joins import require_unique
 from tabloom.operators.rules import REASONS, with_reasons
 from tabloom.operators.windows import latest_per_key
 from tabloom.session import scratch_path
@@ -14,12 +15,21 @@ from tabloom.sources.snapshots import SnapshotTable
 from tabloom.streaming.feeds import finish, run_batches
 
 
-def first_of_copies(stream: DataFrame, time: str, lateness: str, keys: Sequence[str]) -> DataFrame:
-    """The first row of each key is passed on at once; later copies within ``lateness`` are dropped."""
+def first_of_copies(
+    stream: DataFrame, time: str, lateness: str, keys: Sequence[str], salts: int = 16
+) -> DataFrame:
+    """The first row of each key is passed on at once; later copies within ``lateness`` are dropped.
+
+    Copies are dropped in two steps, the first over (key, salt): a key with very
+    many copies is spread over ``salts`` tasks, and at most that many of its rows
+    reach the task that decides.
+    """
     timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
+    salted = timed.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)))
+    few = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
     path = scratch_path(stream.sparkSession, "stream")
     finish(
-        timed.dropDuplicatesWithinWatermark(list(keys))
+        few.dropDuplicatesWithinWatermark(list(keys))
         .writeStream.outputMode("append")
         .format("parquet")
         .option("path", f"{path}/out")
@@ -28,6 +38,26 @@ def first_of_copies(stream: DataFrame, time: str, lateness: str, keys: Sequence[
     return stream.sparkSession.read.parquet(f"{path}/out").withColumn(time, F.col(time).cast("timestamp_ntz"))
 
 
+def fold_changes(
+    table: SnapshotTable, changes: str, keys: Sequence[str], changed: Column, newest: Sequence[str] = ()
+) -> DataFrame:
+    """Merge the change files the current version does not hold yet; returns the new table.
+
+    Version n holds the batches before n. Of several changes to a key the newest
+    counts: by ``newest``, else by batch.
+    """
+    done = table.current_version()
+    pending = table.spark.read.parquet(changes).where(F.col("batch") >= done)
+    last = pending.agg(F.max("batch")).first()[0]
+    if last is None:
+        return table.read(done)
+    state = table.read(done)
+    latest = latest_per_key(pending, list(keys), [*newest, "batch"]).select(*state.columns)
+    values = {c: F.col(f"s.{c}") for c in state.columns}
+    merged = merge(state, latest, keys, update=values, insert=values, changed=changed, source_is_unique=True)
+    return table.read(table.publish(merged.state, version=last + 1))
+
+
 def upsert_stream(
     stream: DataFrame,
     start: DataFrame,
@@ -35,25 +65,24 @@ def upsert_stream(
     changed: Column,
     newest: Sequence[str] = (),
 ) -> DataFrame:
-    """Apply a feed to a table, batch by batch; returns the final table.
+    """Apply a feed to a table; returns the table after the feed.
 
-    Batch n turns version n into version n + 1, so a repeated batch writes the same
-    version again. With ``newest`` only the newest row of a key in a batch counts.
-    ``changed`` compares ``s`` (feed) with ``t`` (table).
+    Every batch writes its own changes only, under its id, so a repeated batch
+    replaces them; one merge folds them into the table, which is therefore
+    rewritten once and not once per batch. ``changed`` compares ``s`` (feed) with
+    ``t`` (table). Without ``newest`` a key may occur once per batch.
     """
     spark = stream.sparkSession
     path = scratch_path(spark, "upsert")
     table = SnapshotTable(spark, f"{path}/table")
     table.publish(start, version=0)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_per_key(batch, list(keys), list(newest)) if newest else batch
-        values = {c: F.col(f"s.{c}") for c in start.columns}
-        change = merge(table.read(batch_id), rows, keys, update=values, insert=values, changed=changed)
-        table.publish(change.state, version=batch_id + 1)
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        rows = latest_per_key(batch, list(keys), list(newest)) if newest else require_unique(batch, list(keys))
+        rows.write.mode("overwrite").parquet(f"{path}/changes/batch={batch_id}")
 
-    run_batches(stream, apply, f"{path}/progress")
-    return table.read()
+    run_batches(stream, keep, f"{path}/progress")
+    return fold_changes(table, f"{path}/changes", keys, changed, newest)
 
 
 def quarantine_stream(stream: DataFrame, rules: Sequence) -> DataFrame:
