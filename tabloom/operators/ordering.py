@@ -15,9 +15,11 @@ expensive input is better written first (``tabloom.session.cut_lineage``).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tabloom.session import cut_lineage
@@ -70,27 +72,63 @@ def _reaches(bound: Column, keys: Sequence[OrderKey]) -> Column:
     return bound.isNotNull() & result
 
 
-def range_bounds(df: DataFrame, keys: Sequence[OrderKey], ranges: int, rows: int) -> list[str]:
-    """At most ``ranges - 1`` bounds, as JSON, from a sample of fixed expected size.
+# Columns of these types keep their order as doubles, at least weakly.
+_AS_DOUBLE = {
+    "date": lambda c: F.unix_date(c).cast("double"),
+    "timestamp": lambda c: F.unix_micros(c).cast("double"),
+    "timestamp_ntz": lambda c: F.unix_micros(c.cast("timestamp")).cast("double"),
+}
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def _leading_number(key: OrderKey, column_type: str) -> Column | None:
+    """The leading key as a double that rises with the order; None for texts and others."""
+    if column_type in _AS_DOUBLE:
+        number = _AS_DOUBLE[column_type](F.col(key.name))
+    elif column_type.startswith(_NUMBERS):
+        number = F.col(key.name).cast("double")
+    else:
+        return None
+    # adding 0.0 turns -0.0, which the lookup would put below 0.0, into 0.0
+    return (-number if key.descending else number) + F.lit(0.0)
+
+
+def range_bounds(df: DataFrame, keys: Sequence[OrderKey], ranges: int, rows: int) -> list[tuple[str, float | None]]:
+    """At most ``ranges - 1`` bounds from a sample of fixed expected size: JSON and leading number.
 
     The sample is chosen by a hash of the keys, so it does not depend on how the
     rows happen to be partitioned.
     """
     names = [k.name for k in keys]
+    number = _leading_number(keys[0], dict(df.dtypes)[keys[0].name])
     share = min(1.0, ranges * SAMPLES_PER_RANGE / max(rows, 1))
     wheel = 1 << 40
     sample = df.select(*names)
     if share < 1.0:
         sample = sample.where(F.pmod(F.xxhash64(*names), F.lit(wheel)) < int(share * wheel))
     picked = [
-        r[0]
+        (r.bound, r.number)
         for r in sample.orderBy(*[k.sort for k in keys])
-        .select(F.to_json(F.struct(*names), {"ignoreNullFields": "true"}))
+        .select(
+            F.to_json(F.struct(*names), {"ignoreNullFields": "true"}).alias("bound"),
+            (F.lit(None).cast("double") if number is None else number).alias("number"),
+        )
         .collect()
     ]
     return [picked[len(picked) * i // ranges] for i in range(1, ranges)] if picked else []
 
 
+def _search(bounds: list[str], keys: Sequence[OrderKey], schema: str) -> Column:
+    """How many bounds a row has reached, by binary search over all keys."""
+    table = F.from_json(F.lit("[" + ",".join(bounds) + "]"), f"array<{schema}>")
+    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]),
+        F.lit(0),
+        lambda at, step: F.when(_reaches(F.get(table, at + step - 1), keys), at + step).otherwise(at),
+    )
+
+
 def with_range(
     df: DataFrame,
     order_by: Sequence[str],
@@ -98,7 +136,12 @@ def with_range(
     ranges: int | None = None,
     rows: int | None = None,
 ) -> DataFrame:
-    """Add the number of the range each row falls into, increasing with the order."""
+    """Add the number of the range each row falls into, increasing with the order.
+
+    A leading number or date is looked up among the bounds first, which settles
+    all rows but those equal to the leading value of a bound; only these compare
+    all their keys.
+    """
     keys = [OrderKey(p) for p in partition_by] + _within(order_by, partition_by)
     if rows is None:
         rows = df.count()
@@ -107,15 +150,28 @@ def with_range(
     bounds = range_bounds(df, keys, ranges, rows)
     if not bounds:
         return df.withColumn(RANGE, F.lit(0))
-    schema = df.select(*[k.name for k in keys]).schema
-    table = F.from_json(F.lit("[" + ",".join(bounds) + "]"), f"array<{schema.simpleString()}>")
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    found = F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(_reaches(F.get(table, at + step - 1), keys), at + step).otherwise(at),
+    schema = df.select(*[k.name for k in keys]).schema.simpleString()
+    found = _search([b for b, _ in bounds], keys, schema)
+    number = _leading_number(keys[0], dict(df.dtypes)[keys[0].name])
+    numbers = sorted({n for _, n in bounds if n is not None and math.isfinite(n)})
+    if number is None or not numbers:
+        return df.withColumn(RANGE, found)
+
+    # bounds passed once a row is beyond each leading value; NULL, NaN and infinity compare all keys
+    first = sum(n is None or n == -math.inf for _, n in bounds) if not keys[0].descending else sum(
+        n is not None and (n == -math.inf or math.isnan(n)) for _, n in bounds
+    )
+    passed = [first] + [first + sum(n is not None and -math.inf < n <= edge for _, n in bounds) for edge in numbers]
+    splits = [-math.inf, *numbers, math.inf]
+    placed = Bucketizer(splits=splits, inputCol="_number", outputCol="_cell", handleInvalid="keep").transform(
+        df.withColumn("_number", number)
     )
-    return df.withColumn(RANGE, found)
+    cell = F.col("_cell").cast("int")
+    edge = F.get(F.array(*[F.lit(x) for x in splits]), cell)
+    finite = F.abs("_number") < F.lit(math.inf)
+    settled = F.coalesce(finite & (F.col("_number") != edge), F.lit(False))
+    direct = F.get(F.array(*[F.lit(n) for n in passed]), cell)
+    return placed.withColumn(RANGE, F.when(settled, direct).otherwise(found)).drop("_number", "_cell")
 
 
 def running(

@@ -46,6 +46,21 @@ def test_running_equals_plain_window(spark, same, partition, order):
     same(found, plain)
 
 
+@pytest.mark.parametrize("order", [["x", "id"], ["x desc", "id"]])
+def test_extreme_doubles(spark, same, order):
+    """NaN is the greatest double, NULL the lowest value; integers may exceed a double's precision."""
+    i = F.col("id")
+    special = F.element_at(
+        F.array(*[F.lit(v).cast("double") for v in (float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1.5)]),
+        (i % 6 + 1).cast("int"),
+    )
+    df = spark.range(700).select(i, F.when(i % 7 == 0, None).when(i % 5 == 0, i * 1.0).otherwise(special).alias("x"))
+    window = Window.orderBy(*[k.sort for k in O.order_keys(order)])
+    same(O.number_rows(df, order, ranges=9), df.withColumn("rn", F.row_number().over(window)))
+    big = spark.range(500).select(i, (F.lit(2**53) + i / 4).cast("bigint").alias("x"))
+    same(O.number_rows(big, order, ranges=9), big.withColumn("rn", F.row_number().over(window)))
+
+
 def test_mixed_directions_refuse_previous(spark):
     with pytest.raises(ValueError):
         O.running(skewed(spark, 10), ["price", "id desc"], previous={"p": "price"})
