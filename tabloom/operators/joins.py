@@ -83,11 +83,14 @@ def salted_join(
 ) -> DataFrame:
     """Equi join in which the rows of hot keys are spread over ``salts`` tasks.
 
-    A key is hot when it holds ``hot_share`` of the big side, so there are at most
+    Kinds: inner, left, left_semi, left_anti; the others would show repeated rows of
+    the small side. A key is hot when it holds ``hot_share`` of the big side, so there are at most
     1 / hot_share of them. Only the hot rows of the small side are repeated.
     Adaptive execution splits skewed partitions too; this form does not depend on
     its thresholds.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"no salted {how} join")
     rows = big.agg(F.count(F.lit(1))).scalar()
     counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") >= rows * hot_share).select(F.col(key).alias("_hot"))
@@ -95,7 +98,9 @@ def salted_join(
 
     # at most 1 / hot_share rows
     marked_big = big.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
-    salt = F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")).otherwise(0)
+    # NULL keys match nothing, so any salt does for them
+    spread = is_hot | F.col(key).isNull()
+    salt = F.when(spread, F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int")).otherwise(0)
     spread_big = marked_big.withColumn("_salt", salt).drop("_hot")
 
     marked_small = small.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")

@@ -70,10 +70,14 @@ def generate_ids(t):
     return numbered.select("c_custkey", (F.col("rn") * 10).alias("generated_id"))
 
 
-@section.query("row_provenance")
+@section.query(
+    "row_provenance",
+    """SELECT o_orderkey, 'orders.parquet' AS file_name, ROW_NUMBER() OVER (ORDER BY o_orderkey) - 1 AS row_index
+       FROM orders""",
+)
 def row_provenance(t):
-    return tables.row_provenance(t.orders.select("o_orderkey", "_metadata"))\
-        .select("o_orderkey", "file_name", "row_index")
+    """The test table is one file in order of its key, so the position can be checked."""
+    return tables.row_provenance(t.orders).select("o_orderkey", "file_name", "row_index")
 
 
 @section.query("file_layout_report")

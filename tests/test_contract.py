@@ -32,7 +32,7 @@ def test_query(spark, duck, name):
 def test_checks_belong_to_queries():
     assert set(CHECKS) <= set(PLANS)
     assert sorted(set(PLANS) - set(CHECKS)) == [
-        "compaction_report", "file_layout_report", "fn_now", "fn_random", "limit_any", "row_provenance",
+        "compaction_report", "file_layout_report", "fn_now", "fn_random", "limit_any",
     ]
 
 

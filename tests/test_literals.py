@@ -72,7 +72,11 @@ def test_join_many_to_one_refuses_copies(values):
 def test_salted_join_equals_join(spark, same):
     big = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("k"))
     small = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    same(J.salted_join(big, small, "k"), big.join(small, "k"))
+    big = big.withColumn("k", F.when(F.col("id") % 7 != 0, F.col("k")))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        same(J.salted_join(big, small, "k", how=how), big.join(small, "k", how))
+    with pytest.raises(ValueError):
+        J.salted_join(big, small, "k", how="full")
 
 
 def test_text_functions(spark):
