@@ -72,11 +72,17 @@ def _reaches(bound: Column, keys: Sequence[OrderKey]) -> Column:
     return bound.isNotNull() & result
 
 
+def _naive_seconds(column: Column) -> Column:
+    """Whole seconds of a naive timestamp, whatever the zone of the session."""
+    days = F.unix_date(F.to_date(column)).cast("bigint")
+    return days * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+
+
 # Columns of these types keep their order as doubles, at least weakly.
 _AS_DOUBLE = {
     "date": lambda c: F.unix_date(c).cast("double"),
     "timestamp": lambda c: F.unix_micros(c).cast("double"),
-    "timestamp_ntz": lambda c: F.unix_micros(c.cast("timestamp")).cast("double"),
+    "timestamp_ntz": lambda c: _naive_seconds(c).cast("double"),
 }
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 

@@ -12,6 +12,7 @@ from tabloom.session import scratch_path, setting
 
 END_OF_TIME = "9999-01-01 00:00:00"
 BYTES_PER_BATCH = 16 * 1024**3
+TIME_ZONE = "spark.sql.session.timeZone"
 MERGE_SESSIONS_EARLY = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 
 
@@ -75,17 +76,18 @@ def run_windowed(
             .option("checkpointLocation", progress)
         )
 
+    # naive times are taken as UTC, so that windows do not depend on the session's zone;
     # sessions of one key are merged before the shuffle as well as after it
-    with setting(spark, MERGE_SESSIONS_EARLY, "true"):
+    with setting(spark, TIME_ZONE, "UTC"), setting(spark, MERGE_SESSIONS_EARLY, "true"):
         finish(query())
-    end = spark.range(1).select(
-        *[
-            (F.lit(END_OF_TIME) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
-    end.coalesce(1).write.mode("append").parquet(end_dir)
-    with setting(spark, MERGE_SESSIONS_EARLY, "true"):
+    with setting(spark, TIME_ZONE, "UTC"), setting(spark, MERGE_SESSIONS_EARLY, "true"):
+        end = spark.range(1).select(
+            *[
+                (F.lit(END_OF_TIME) if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schema.fields
+            ]
+        )
+        end.coalesce(1).write.mode("append").parquet(end_dir)
         finish(query())
     return spark.read.parquet(out)
 

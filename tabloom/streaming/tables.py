@@ -10,9 +10,9 @@ from tabloom.operators.changes import merge
 from tabloom.operators.joins import require_unique
 from tabloom.operators.rules import REASONS, with_reasons
 from tabloom.operators.windows import latest_per_key
-from tabloom.session import scratch_path
+from tabloom.session import scratch_path, setting
 from tabloom.sources.snapshots import SnapshotTable
-from tabloom.streaming.feeds import finish, run_batches
+from tabloom.streaming.feeds import TIME_ZONE, finish, run_batches
 
 
 def first_of_copies(
@@ -24,18 +24,20 @@ def first_of_copies(
     many copies is spread over ``salts`` tasks, and at most that many of its rows
     reach the task that decides.
     """
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
-    salted = timed.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)))
-    few = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
-    path = scratch_path(stream.sparkSession, "stream")
-    finish(
-        few.dropDuplicatesWithinWatermark(list(keys))
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{path}/out")
-        .option("checkpointLocation", f"{path}/progress")
-    )
-    return stream.sparkSession.read.parquet(f"{path}/out").withColumn(time, F.col(time).cast("timestamp_ntz"))
+    spark = stream.sparkSession
+    path = scratch_path(spark, "stream")
+    with setting(spark, TIME_ZONE, "UTC"):  # there and back without a gap in the clock
+        timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
+        salted = timed.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)))
+        few = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+        finish(
+            few.dropDuplicatesWithinWatermark(list(keys))
+            .writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", f"{path}/out")
+            .option("checkpointLocation", f"{path}/progress")
+        )
+        return spark.read.parquet(f"{path}/out").withColumn(time, F.col(time).cast("timestamp_ntz"))
 
 
 def fold_changes(

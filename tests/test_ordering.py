@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from tabloom.operators import ordering as O
+from tabloom.session import setting
 
 
 def skewed(spark, rows=4000):
@@ -61,6 +62,15 @@ def test_extreme_doubles(spark, same, order):
     same(O.number_rows(big, order, ranges=9), big.withColumn("rn", F.row_number().over(window)))
 
 
+def test_naive_times_across_a_clock_change(spark, same):
+    """2024-03-10 02:00 to 03:00 does not exist in New York; naive times do not care."""
+    start = F.lit("2024-03-10 00:30:00").cast("timestamp_ntz")
+    with setting(spark, "spark.sql.session.timeZone", "America/New_York"):
+        df = spark.range(300).select("id", F.timestamp_add("SECOND", F.col("id") * 53, start).alias("x"))
+        window = Window.orderBy("x", "id")
+        same(O.number_rows(df, ["x", "id"], ranges=20), df.withColumn("rn", F.row_number().over(window)))
+
+
 def test_mixed_directions_refuse_previous(spark):
     with pytest.raises(ValueError):
         O.running(skewed(spark, 10), ["price", "id desc"], previous={"p": "price"})
