@@ -6,16 +6,17 @@ each; the answers return to the block, where chunks are replaced by position. Ro
 are compressed Arrow packets, one per block and bucket, so that a chunk that stands
 in every text travels once per block and no key is hot.
 
-Blocks are cut in the order of the input's partitions. Should a recomputed input come
-in another order, a block may miss an answer; users of ``answered`` must then work
-the chunk out themselves (``Answers`` calls ``missing`` for it), so results never
-depend on where blocks end.
+Blocks are cut in the order of the input's partitions. Answers come back without their
+chunks, in the order of the block's sorted chunks of the bucket, and with a checksum of
+them. Should a recomputed input come in another order, checksums differ and the block
+lacks those answers (``Found.columns`` tells which chunks have one), so that no answer
+is ever given to another chunk.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from tabloom.llm.storage import pack, unpack
 
 #: Characters of text after which a block ends; one longer text is a block of its own.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 32_000_000
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list, list[str]]]:
@@ -56,15 +57,25 @@ def text_blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(cut, "block string, packet binary")
 
 
+def _dealt(chunks: Iterable[str], buckets: int) -> dict[int, list[str]]:
+    """Sorted chunks by the bucket of their hash."""
+    parts: dict[int, list[str]] = {}
+    for chunk in sorted(chunks):
+        parts.setdefault(zlib.crc32(chunk.encode()) % buckets, []).append(chunk)
+    return parts
+
+
+def _checksum(chunks: list[str]) -> int:
+    return zlib.crc32(repr(chunks).encode("utf-8", "backslashreplace"))
+
+
 def chunk_packets(docs: DataFrame, split: Callable[[list, list[str]], dict[str, int]], buckets: int) -> DataFrame:
     """(bucket, block, packet): the distinct chunks of every block with a count, ``split(ids, texts)``, by bucket."""
 
     def cut(batches):
         for block, ids, texts in _blocks(batches):
             counts = split(ids, texts)
-            parts: dict[int, list[str]] = {}
-            for chunk in sorted(counts):
-                parts.setdefault(zlib.crc32(chunk.encode()) % buckets, []).append(chunk)
+            parts = _dealt(counts, buckets)
             keys = list(parts)
             packets = [pack(chunk=pa.array(c, pa.string()), count=pa.array([counts[x] for x in c], pa.int64())) for c in parts.values()]
             yield pa.RecordBatch.from_arrays(
@@ -83,7 +94,7 @@ def answered(
     answer: Callable[[dict[str, int]], dict[str, pa.Array]],
     summary: Callable[[dict[str, int], dict[str, pa.Array]], bytes] | None = None,
 ) -> DataFrame:
-    """(block, packet, summary): per block and bucket, chunks beside the columns of ``answer``.
+    """(block, bucket, checksum, packet, summary): per block and bucket, the columns of ``answer``.
 
     ``answer`` gets the distinct chunks of a bucket with their counts over all blocks
     and returns columns in the same order. What ``summary`` makes of both stands on one
@@ -99,26 +110,51 @@ def answered(
                 counts[chunk] = counts.get(chunk, 0) + n
         columns = answer(counts)
         place = {chunk: k for k, chunk in enumerate(counts)}
-        out = []
+        out, sums = [], []
         for packet in packets:
-            chunk = unpack(packet)["chunk"].combine_chunks()
-            at = pa.array([place[c] for c in chunk.to_pylist()], pa.int64())
-            out.append(pack(chunk=chunk, **{name: column.take(at) for name, column in columns.items()}))
+            chunks = unpack(packet)["chunk"].to_pylist()
+            at = pa.array([place[c] for c in chunks], pa.int64())
+            out.append(pack(**{name: column.take(at) for name, column in columns.items()}))
+            sums.append(_checksum(chunks))
         told = [summary(counts, columns) if summary else None, *[None] * (len(out) - 1)]
-        return pa.table({"block": table["block"], "packet": pa.array(out, pa.binary()), "summary": pa.array(told, pa.binary())})
+        return pa.table(
+            {
+                "block": table["block"],
+                "bucket": table["bucket"],
+                "checksum": pa.array(sums, pa.int64()),
+                "packet": pa.array(out, pa.binary()),
+                "summary": pa.array(told, pa.binary()),
+            }
+        )
+
+    return packets.groupBy("bucket").applyInArrow(fill, "block string, bucket int, checksum bigint, packet binary, summary binary")
+
+
+class Found:
+    """The answers that came back to a block."""
+
+    def __init__(self, table: pa.Table, buckets: int):
+        self.buckets = buckets
+        self.parts = {row["bucket"]: (row["checksum"], row["packet"]) for row in table.to_pylist()}
 
-    return packets.groupBy("bucket").applyInArrow(fill, "block string, packet binary, summary binary")
+    def columns(self, chunks: Iterable[str]) -> Iterator[tuple[list[str], pa.Table]]:
+        """Chunks of a bucket beside their answers, for all buckets whose answers are for exactly these chunks."""
+        for bucket, part in _dealt(chunks, self.buckets).items():
+            checksum, packet = self.parts.get(bucket, (None, b""))
+            if checksum == _checksum(part):
+                yield part, unpack(packet)
 
 
-def by_block(texts: DataFrame, answers: DataFrame, use: Callable[[list, list[str], list[pa.Table]], pa.Table], schema: str) -> DataFrame:
-    """``use(ids, texts, answer tables)`` for every block, where texts and answers meet."""
+def by_block(texts: DataFrame, answers: DataFrame, use: Callable[[list, list[str], Found], pa.Table], buckets: int, schema: str) -> DataFrame:
+    """``use(ids, texts, answers)`` for every block, where texts and answers meet."""
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        found = [unpack(p) for p in right["packet"].to_pylist()]
+        found = Found(right.select(["bucket", "checksum", "packet"]), buckets)
         out = []
         for packet in left["packet"].to_pylist():
             part = unpack(packet)
             out.append(use(part["id"].to_pylist(), part["text"].to_pylist(), found))
-        return pa.concat_tables(out) if out else use([], [], [])
+        return pa.concat_tables(out) if out else use([], [], found)
 
-    return texts.groupBy("block").cogroup(answers.select("block", "packet").groupBy("block")).applyInArrow(meet, schema)
+    kept = answers.select("block", "bucket", "checksum", "packet")
+    return texts.groupBy("block").cogroup(kept.groupBy("block")).applyInArrow(meet, schema)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.llm.storage import written
+from tabloom.llm.storage import small, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEAD_CHARS = 64
@@ -50,6 +50,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         .where("group_size > 1")
     )
+    groups = written(groups, "dedup-groups")  # a join of two plain shuffles can split a hot digest
     joined = read.join(groups, "text_sha256", "left")
     grouped = F.col("group_size").isNotNull()
     keep = F.when(grouped, F.col("keep_id")).otherwise(F.col("doc_id"))
@@ -66,7 +67,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """The rows of ``docs`` that stay, with all their columns."""
     gone = exact_groups(docs, id_col, text_col).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone"))
     gone = written(gone.distinct(), "dedup-gone")
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return docs.join(small(gone), docs[id_col] == gone["_gone"], "left_anti")
 
 
 SQL = """

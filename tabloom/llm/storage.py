@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tabloom.session import scratch_path
 
@@ -19,11 +19,20 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of ids that may be broadcast: 16 MB for two bigints.
+SMALL_ROWS = 1_000_000
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if it is counted to be small; else Spark shuffles both sides."""
+    return F.broadcast(table) if table.count() <= SMALL_ROWS else table
+
+
 def pack(**columns: pa.Array) -> bytes:
     """Columns of equal length as one compressed Arrow stream."""
     batch = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 
