@@ -92,7 +92,7 @@ def judge_urls(
     links = page_links(pages, url_col, html_col)
     if redirects is not None:
         links = links.unionByName(redirects.select(node_of(F.col("src")).alias("src"), node_of(F.col("dst")).alias("dst")))
-    linked = components(links, "src", "dst")
+    linked = written(components(links, "src", "dst"), "url-aliases")
     # addresses that only links name have a rule as well
     nodes = seen.select("node", "own").unionByName(
         linked.select("node", _fitting(host_of(F.col("node")), path_of(F.col("node")), rules)[1].alias("own"))
@@ -105,6 +105,7 @@ def judge_urls(
         .groupBy("alias_id")
         .agg(F.min("own").alias("class_verdict"))  # "allow" sorts before "block"
     )
+    decided = written(decided, "url-verdicts")  # a join of two plain shuffles can split a hot class
     out = seen.join(linked, "node", "left").select("page_id", "host", "path", "rule", "own", alias)
     return out.join(decided, "alias_id", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("own", "class_verdict", F.lit("allow")).alias("verdict"), "alias_id"
