@@ -79,29 +79,28 @@ def _encoded(docs: DataFrame, path: str | None, finish, schema: str) -> DataFram
         plain = [" " + w.replace(MARK, " ") for w in words]
         return {
             "ids": pa.array([" ".join(map(str, ids)) for ids in segmented], pa.string()),
-            "n": pa.array(list(map(len, segmented)), pa.int32()),
             "spelt": pa.array([None if s == p else s for s, p in zip(spelt, plain)], pa.string()),
         }
 
     def use(ids, texts, found):
         model = marked_words(_path(path))
+        distinct: set[str] = set()
+        for text in texts:  # split twice rather than keep all words of the block
+            distinct.update(model.split(text))
         coded: dict[str, str] = {}
         odd: dict[str, str] = {}
-        for table in found:
-            words = table["chunk"].to_pylist()
+        for words, table in found.columns(distinct):
             coded.update(zip(words, table["ids"].to_pylist()))
             if table["spelt"].null_count < len(words):
                 odd.update((w, s) for w, s in zip(words, table["spelt"].to_pylist()) if s is not None)
+        fresh = sorted(distinct - coded.keys())  # only if the input changed its order between two reads
+        if fresh:
+            segmented = model.segment(fresh)
+            coded.update((w, " ".join(map(str, ids))) for w, ids in zip(fresh, segmented))
+            odd.update((w, s) for w, s in zip(fresh, model.spell(fresh, segmented)) if s != " " + w.replace(MARK, " "))
         end = str(model.end)
         strings, sizes, decoded = [], [], []
-        for text in texts:
-            words = model.split(text)
-            missing = {w for w in words if w not in coded}
-            if missing:
-                fresh = sorted(missing)
-                segmented = model.segment(fresh)
-                coded.update((w, " ".join(map(str, s))) for w, s in zip(fresh, segmented))
-                odd.update((w, s) for w, s in zip(fresh, model.spell(fresh, segmented)) if s != " " + w.replace(MARK, " "))
+        for words in map(model.split, texts):
             row = " ".join([*map(coded.__getitem__, words), end])
             strings.append(row)
             sizes.append(row.count(" ") + 1)
@@ -111,8 +110,9 @@ def _encoded(docs: DataFrame, path: str | None, finish, schema: str) -> DataFram
                 decoded.append(" ".join(words).replace(MARK, " "))
         return finish(ids, strings, sizes, decoded)
 
-    packets = answered(chunk_packets(docs, split, bucket_count(docs)), answer)
-    return by_block(text_blocks(docs), packets, use, schema)
+    buckets = bucket_count(docs)
+    packets = answered(chunk_packets(docs, split, buckets), answer)
+    return by_block(text_blocks(docs), packets, use, buckets, schema)
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str, pa.DataType]:
