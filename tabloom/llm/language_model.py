@@ -32,7 +32,7 @@ from tabloom.llm.storage import pack, unpack, written
 
 MODEL = "piece_bpe_32k.model"
 #: Words of a training window, words of a text for each window, rounds of training.
-WINDOW_WORDS, WORDS_PER_WINDOW, ROUNDS = 32, 400, 2
+WINDOW_WORDS, WORDS_PER_WINDOW, ROUNDS = 32, 800, 2
 #: Preceding ids that are groups of their own when ids are classed, and groups of the rest.
 COMMON, RESTS = 96, 32
 #: Block lengths of the outer model (words) and of the inner model (ids).
@@ -258,7 +258,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         some = np.flatnonzero(mass)
         return pack(first=pa.array(some), mass=pa.array(mass[some].astype(np.int64)), kinds=pa.array(kinds[some].astype(np.int64)))
 
-    table = written(answered(chunk_packets(source, split, bucket_count(source)), answer, summary), "lm-words")
+    buckets = bucket_count(source)
+    table = written(answered(chunk_packets(source, split, buckets), answer, summary), "lm-words")
     told = table.where("summary IS NOT NULL").select("summary").mapInArrow(_unpacked, "first bigint, mass bigint, kinds bigint")
     mass, kinds = np.zeros(size), np.zeros(size)
     for row in told.groupBy("first").agg(F.sum("mass").alias("mass"), F.sum("kinds").alias("kinds")).collect():
@@ -269,10 +270,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def use(ids, texts, found):
         place: dict[str, int] = {}
-        for part in found:
-            words = part["chunk"].to_pylist()
+        tables = []
+        for words, table in found.columns(set().union([END], *map(words_of, texts))):
             place.update(zip(words, range(len(place), len(place) + len(words))))
-        of = {n: np.concatenate([p[n].to_numpy() for p in found]) if found else np.zeros(0, np.int64) for n in ("n", "first", "inside")}
+            tables.append(table)
+        of = {n: np.concatenate([t[n].to_numpy() for t in tables]) if tables else np.zeros(0, np.int64) for n in ("n", "first", "inside")}
         count, first, outer = of["n"], of["first"].astype(np.int64), sent_outer.value
         mass, kinds = (x[first] for x in sent_first.value)
         base = np.log10(count + 0.1) - norm
@@ -313,4 +315,4 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         )
 
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return by_block(text_blocks(source), table, use, schema)
+    return by_block(text_blocks(source), table, use, buckets, schema)
