@@ -99,6 +99,10 @@ def _leading_number(key: OrderKey, column_type: str) -> Column | None:
     return (-number if key.descending else number) + F.lit(0.0)
 
 
+# Bounds travel as JSON, which by default keeps timestamps to the millisecond only.
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def range_bounds(df: DataFrame, keys: Sequence[OrderKey], ranges: int, rows: int) -> list[tuple[str, float | None]]:
     """At most ``ranges - 1`` bounds from a sample of fixed expected size: JSON and leading number.
 
@@ -116,7 +120,7 @@ def range_bounds(df: DataFrame, keys: Sequence[OrderKey], ranges: int, rows: int
         (r.bound, r.number)
         for r in sample.orderBy(*[k.sort for k in keys])
         .select(
-            F.to_json(F.struct(*names), {"ignoreNullFields": "true"}).alias("bound"),
+            F.to_json(F.struct(*names), {"ignoreNullFields": "true", **_EXACT}).alias("bound"),
             (F.lit(None).cast("double") if number is None else number).alias("number"),
         )
         .collect()
@@ -126,7 +130,7 @@ def range_bounds(df: DataFrame, keys: Sequence[OrderKey], ranges: int, rows: int
 
 def _search(bounds: list[str], keys: Sequence[OrderKey], schema: str) -> Column:
     """How many bounds a row has reached, by binary search over all keys."""
-    table = F.from_json(F.lit("[" + ",".join(bounds) + "]"), f"array<{schema}>")
+    table = F.from_json(F.lit("[" + ",".join(bounds) + "]"), f"array<{schema}>", _EXACT)
     steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]),

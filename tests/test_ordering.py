@@ -152,3 +152,21 @@ def test_small_inputs(spark, rows, ranges):
             row = next(r for r in found if r.id == i)
             assert (row.rn, row.s) == (n, total)
     assert len(found) == len(rows)
+
+
+@pytest.mark.parametrize("order", [["at", "id"], ["at desc", "id"]])
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("ranges", [None, 40])
+def test_timestamps_a_microsecond_apart(spark, order, zone, ranges):
+    with setting(spark, "spark.sql.session.timeZone", zone):
+        i = F.col("id")
+        # half past one in New York, on the day when that hour occurs twice
+        at = F.when(i % 97 == 0, None).otherwise(F.timestamp_micros(F.lit(1730611800000000) + i * 7919 % 2000))
+        df = spark.range(2000).select("id", at.alias("at"))
+        keys = O.order_keys(order)
+        plain = F.row_number().over(Window.orderBy(*[k.sort for k in keys]))
+        wrong = O.number_rows(df, order, ranges=ranges).withColumn("plain", plain).where("rn <> plain")
+        assert wrong.count() == 0
+        first = O.page(df, order, offset=700, fetch=5)
+        wanted = df.orderBy(*[k.sort for k in keys]).limit(705).collect()[700:]
+        assert sorted(r["id"] for r in first.collect()) == sorted(r["id"] for r in wanted)
