@@ -186,10 +186,14 @@ def framed(sequences: np.ndarray, lengths: np.ndarray, begins: np.ndarray, block
     return read.reshape(-1, block), target.reshape(-1, block), place, starts
 
 
-def train(params: dict, words: Vocabulary, sequences: list[np.ndarray], begins: np.ndarray, block: int, rate: float, tokens: int = 1500) -> dict:
-    """One pass of Adagrad over the sequences, about ``tokens`` ids a step; a copy of ``params`` further on."""
+def train(params: dict, words: Vocabulary, sequences: list[np.ndarray], begins: np.ndarray, block: int, rate: float, tokens: int = 1500, memory: dict | None = None) -> dict:
+    """One pass of Adagrad over the sequences, about ``tokens`` ids a step; a copy of ``params`` further on.
+
+    ``memory`` holds the sums of squares; given again, the next pass goes on from them.
+    """
     params = {n: p.copy() for n, p in params.items()}
-    memory = {n: np.full(p.shape if n != "embedding" else (len(p), 1), 0.1, np.float32) for n, p in params.items()}
+    memory = {} if memory is None else memory
+    memory |= {} if memory else {n: np.full(p.shape if n != "embedding" else (len(p), 1), 0.1, np.float32) for n, p in params.items()}
     lengths = np.array([len(s) for s in sequences], np.int64)
     cuts = np.searchsorted(np.cumsum(lengths), np.arange(tokens, lengths.sum() + tokens, tokens))
     at = 0

@@ -8,9 +8,9 @@ once per distinct word. Among the words that open with an id, training counts de
 with absolute discounting; the discounted mass goes to the inner model. A copy head
 attends evenly to all earlier words of the text that equal the next one.
 
-Training reads windows of all training documents, in rounds: every partition goes on
-from the common weights over its own windows, and the weights are averaged by the
-number of windows. Scoring brings the counts of every distinct word to the texts
+Training reads all training texts, cut into windows without gaps, in rounds: every
+partition goes on from the common weights over its own windows, and the weights are
+averaged by the number of windows. Scoring brings the counts of every distinct word to the texts
 (``chunks``).
 """
 
@@ -19,6 +19,7 @@ from __future__ import annotations
 import math
 import zlib
 from dataclasses import dataclass
+from itertools import batched
 
 import numpy as np
 import public_tokenizers
@@ -31,8 +32,10 @@ from tabloom.llm.chunks import answered, bucket_count, by_block, chunk_packets,
 from tabloom.llm.storage import pack, unpack, written
 
 MODEL = "piece_bpe_32k.model"
-#: Words of a training window, words of a text for each window, rounds of training.
-WINDOW_WORDS, WORDS_PER_WINDOW, ROUNDS = 32, 800, 2
+#: Words of a training window, rounds of training.
+WINDOW_WORDS, ROUNDS = 32, 2
+#: Windows of a record batch.
+WINDOWS = 4096
 #: Preceding ids that are groups of their own when ids are classed, and groups of the rest.
 COMMON, RESTS = 96, 32
 #: Block lengths of the outer model (words) and of the inner model (ids).
@@ -69,36 +72,36 @@ def is_held_out(key) -> bool:
 
 
 def training_windows(docs: DataFrame) -> DataFrame:
-    """(first, words): of training documents, runs of words, one in each ``WORDS_PER_WINDOW``.
+    """(before, first, words): the words of every training document, in windows that tile it.
 
-    ``first`` holds the first ids of the run's words (and the end, where the text ends),
-    ``words`` the ids of each word. Where a run lies depends on the document's id alone.
+    ``before`` is the first id of the word before the window (the begin, at the text's
+    start), ``first`` holds the first ids of its words (and the end, where the text
+    ends), ``words`` the ids of each word.
     """
+    fields = (("before", pa.int32()), ("first", pa.list_(pa.int32())), ("words", pa.list_(pa.list_(pa.int32()))))
+
+    def windows(batch, model):
+        begin, end = model.bos_id(), model.eos_id()
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if is_held_out(key):
+                continue
+            words = words_of(text)
+            kinds = list(dict.fromkeys(words))
+            of = dict(zip(kinds, model.encode(kinds, num_threads=1)))
+            before = begin
+            for low in range(0, max(1, len(words)), WINDOW_WORDS):
+                part = [of[w] for w in words[low : low + WINDOW_WORDS]]
+                first = [ids[0] for ids in part]
+                yield before, first + [end] * (low + WINDOW_WORDS >= len(words)), part
+                before = first[-1] if first else begin
 
     def cut(batches):
         model = _model()
-        end = model.eos_id()
         for batch in batches:
-            runs, ends = [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if is_held_out(key):
-                    continue
-                words = words_of(text)
-                for low in range(0, max(1, len(words)), WORDS_PER_WINDOW):
-                    high = min(low + WORDS_PER_WINDOW, len(words))
-                    at = low + zlib.crc32(f"{low} of {key}".encode()) % max(1, high - low - WINDOW_WORDS + 1)
-                    runs.append(words[at : at + WINDOW_WORDS])
-                    ends.append(at + WINDOW_WORDS >= len(words))
-            flat = model.encode([w for run in runs for w in run], num_threads=1)
-            first, words, at = [], [], 0
-            for run, last in zip(runs, ends):
-                part = flat[at : at + len(run)]
-                first.append([ids[0] for ids in part] + [end] * last)
-                words.append(part)
-                at += len(run)
-            yield pa.RecordBatch.from_arrays([pa.array(first, pa.list_(pa.int32())), pa.array(words, pa.list_(pa.list_(pa.int32())))], names=["first", "words"])
-
-    return docs.mapInArrow(cut, "first array<int>, words array<array<int>>")
+            for rows in batched(windows(batch, model), WINDOWS):
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+
+    return docs.mapInArrow(cut, "before int, first array<int>, words array<array<int>>")
 
 
 def _pairs(ids: Column, before: Column) -> Column:
@@ -106,16 +109,17 @@ def _pairs(ids: Column, before: Column) -> Column:
 
 
 def _started(steps: DataFrame, block: int) -> Attention:
-    """Classes from the counts of (before, id) over all windows, bounded by the model's vocabulary; weights at their start."""
+    """Classes from the counts of (before, id) over all training ids, bounded by the model's vocabulary; weights at their start."""
     size = _model().get_piece_size()
+    steps = written(steps.groupBy("id", "before").agg(F.count(F.lit(1)).alias("n")), "lm-steps")
     counts = np.zeros(size)
-    for row in steps.groupBy("id").agg(F.count(F.lit(1)).alias("n")).collect():
+    for row in steps.groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[row["id"]] = row["n"]
     common = np.argsort(-counts, kind="stable")[:COMMON]
     group = F.create_map(*[F.lit(int(x)) for k, i in enumerate(common) for x in (i, k)])
-    known = steps.select("id", F.coalesce(group[F.col("before")], F.lit(COMMON) + F.pmod("before", F.lit(RESTS))).alias("g"))
+    known = steps.select("id", "n", F.coalesce(group[F.col("before")], F.lit(COMMON) + F.pmod("before", F.lit(RESTS))).alias("g"))
     followers = np.zeros((size, COMMON + RESTS), np.float32)
-    for row in known.groupBy("id", "g").agg(F.count(F.lit(1)).alias("n")).collect():
+    for row in known.groupBy("id", "g").agg(F.sum("n").alias("n")).collect():
         followers[row["id"], row["g"]] = row["n"]
     vocabulary = attention.vocabulary(counts, followers)
     return Attention(attention.start(vocabulary, counts, block), vocabulary, block)
@@ -136,19 +140,20 @@ def _shaped(flat: np.ndarray, like: dict) -> dict:
 def _round(windows: DataFrame, outer: Attention, inner: Attention, rate: float) -> list[dict]:
     """Averages over partitions of the weights after each one's own pass; empty partitions do not count."""
     sent = windows.sparkSession.sparkContext.broadcast((outer, inner))
-    begin, end = _model().bos_id(), _model().eos_id()
+    end = _model().eos_id()
 
     def learn(batches):
         outer, inner = sent.value
         over, within, n = outer.params, inner.params, 0
+        over_memory, within_memory = {}, {}
         for batch in batches:
-            first = [np.array(ids, np.int64) for ids in batch.column(0).to_pylist()]
-            over = attention.train(over, outer.vocabulary, first, np.full(len(first), begin), OUTER, rate)
-            kinds = sorted({tuple(word) for words in batch.column(1).to_pylist() for word in words})
+            first = [np.array(ids, np.int64) for ids in batch.column(1).to_pylist()]
+            over = attention.train(over, outer.vocabulary, first, batch.column(0).to_numpy().astype(np.int64), OUTER, rate, memory=over_memory)
+            kinds = sorted({tuple(word) for words in batch.column(2).to_pylist() for word in words})
             rest = [np.array([*word[1:], end], np.int64) for word in kinds]
             mixed = np.random.default_rng(len(kinds)).permutation(len(kinds))
             opening = np.array([kinds[k][0] for k in mixed], np.int64)
-            within = attention.train(within, inner.vocabulary, [rest[k] for k in mixed], opening, INNER, rate)
+            within = attention.train(within, inner.vocabulary, [rest[k] for k in mixed], opening, INNER, rate, memory=within_memory)
             n += len(first)
         if n:
             flat = np.concatenate([_flat(over), _flat(within)])
@@ -172,9 +177,9 @@ def _round(windows: DataFrame, outer: Attention, inner: Attention, rate: float)
 
 def train_model(docs: DataFrame) -> tuple[Attention, Attention]:
     """Outer and inner model from the training documents of ``docs`` (id, text)."""
-    begin, end = _model().bos_id(), _model().eos_id()
+    end = _model().eos_id()
     windows = written(training_windows(docs), "lm-windows")
-    behind = F.concat(F.array(F.lit(begin)), F.slice("first", 1, F.size("first") - 1))
+    behind = F.concat(F.array("before"), F.slice("first", 1, F.size("first") - 1))
     outer = _started(windows.where("size(first) > 0").select(_pairs(F.col("first"), behind)), OUTER)
     word = windows.select(F.explode("words").alias("word"))
     onward = F.concat(F.slice("word", 2, F.size("word")), F.array(F.lit(end)))

@@ -156,6 +156,21 @@ def test_language_model(spark):
         assert r["n_known"] == sum(w in counts for w in tokens) and r["score"] < 0
 
 
+def test_language_model_trains_on_every_word(docs):
+    key = next(k for k in range(100) if not language_model.is_held_out(k))
+    held = next(k for k in range(100) if language_model.is_held_out(k))
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(language_model.MODEL))
+    source = docs((key, LONG), (held, "never")).select("doc_id", "text").coalesce(1)
+    rows = language_model.training_windows(source).collect()
+    words = model.encode(language_model.words_of(LONG))
+    first = [*(ids[0] for ids in words), model.eos_id()]
+    assert [ids for r in rows for ids in r["words"]] == words and [x for r in rows for x in r["first"]] == first
+    assert [r["before"] for r in rows] == [model.bos_id(), *first[language_model.WINDOW_WORDS - 1 : -2 : language_model.WINDOW_WORDS]]
+    outer, _ = language_model.train_model(source)
+    share = outer.vocabulary.inside - outer.vocabulary.inside.min()  # ids that stand nowhere have the lowest share
+    assert all(share[i] > 0 for i in set(first[:-1]))
+
+
 def test_language_model_beats_word_shares(spark):
     rows = language_model.score_texts(Tables(spark, "/root/testdata/sf0.01").documents).collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
