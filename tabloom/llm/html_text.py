@@ -1,8 +1,10 @@
 """Main text of web pages by a maximum-scoring subsequence over words and tags.
 
-Words score by where they stand, tags score against the text; the weights are
-log-odds counted over all labelled pages by one grouped aggregation. One linear scan
-finds the best contiguous region; what is marked as boilerplate inside it is left out.
+Words score by the block they stand in (its tag, link share and length), tags score
+against the text; the weights are log-odds counted over all labelled pages by one
+grouped aggregation. Labels come from the article element, features do not name it, so
+that the weights hold for pages without one. One linear scan finds the best contiguous
+region; what is marked as boilerplate inside it is left out.
 """
 
 from __future__ import annotations
@@ -30,10 +32,14 @@ WORDS_OF_BOILERPLATE = frozenset(
     "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside widget widgets footer masthead comment comments reply replies respond disqus "
     "share sharing social newsletter subscribe subscription signup login related recommended pagination pager toolbar skip form search contentinfo complementary".split()
 )
-#: Counts that stand for pages nobody labelled: (holder, tag, in a link) -> (inside, outside).
-PRIOR = {(h, t, 0): (3.0, 1.0) for h in ("article", "main") for t in ("p", "h1", "h2", "h3", "li", "td", "pre", "blockquote", "div", "article", "main", "section")}
-PRIOR |= {("body", t, 0): (2.0, 1.0) for t in ("p", "h1", "h2", "pre", "blockquote")}
-TAG_COST = 0.05
+#: Share of words inside the main text, by whether they are mostly links, before any page is counted.
+PRIOR = {0: 0.75, 1: 0.25}
+#: Words that the share of all tags (or the prior) stands for beside what is counted.
+STRENGTH = 100.0
+#: Bounds of a word's weight and of a tag's cost; what a page's own article says about a word.
+HIGHEST, TAG_COST, TAG_MOST, HELD = 2.0, 0.05, 0.5, 3.0
+#: Blocks of 2**LONG words and more are counted as one length.
+LONG = 6
 
 
 def _marked(attributes: str) -> bool:
@@ -43,7 +49,7 @@ def _marked(attributes: str) -> bool:
 
 
 class Page:
-    """A page as one sequence: tags ("t", name, counts), and blocks ("b", place, text, inside, counts)."""
+    """A page as one sequence: tags ("t", name, dead), and blocks ("b", place, text, inside, dead)."""
 
     def __init__(self, html: str | None):
         self.tokens: list[tuple] = []
@@ -88,7 +94,8 @@ class Page:
             tag = next((t for t, _ in reversed(self.stack) if t not in INLINE), "body")
             holder = next((t for t, _ in reversed(self.stack) if t in ("article", "main")), "body")
             dead = bool(self.stack) and self.stack[-1][1]
-            self.tokens.append(("b", (holder, tag, int(self.links > self.plain)), text, holder != "body" and not dead, dead))
+            long = min(len(text.split()).bit_length(), LONG)
+            self.tokens.append(("b", (tag if tag in KNOWN_TAGS else "other", int(self.links > self.plain), long), text, holder != "body" and not dead, dead))
         self.parts, self.links, self.plain = [], 0, 0
 
     def _open(self, name: str, attributes: str) -> None:
@@ -98,8 +105,8 @@ class Page:
                 self._leave(name, HOLDERS)
         within = any(t in ("article", "main") for t, _ in self.stack)
         dead = bool(self.stack) and self.stack[-1][1]
-        self.tokens.append(("t", name, dead))
         if name in VOID or attributes.endswith("/") and name in ("svg", "path"):
+            self.tokens.append(("t", name, dead))
             return
         if name in ("article", "main"):
             self.article += 1
@@ -108,6 +115,7 @@ class Page:
             dead = dead and (self.article > 1 or any(t in NEVER for t, _ in self.stack))
         else:
             marked = name in NEVER or name == "header" and not within or name not in ("html", "body") and _marked(attributes)
+        self.tokens.append(("t", name, dead or marked))
         self.stack.append((name, dead or marked))
 
     def _leave(self, name: str, until: frozenset) -> None:
@@ -126,27 +134,30 @@ class Page:
         self._leave(name, frozenset() if name in HOLDERS or name in NEVER else HOLDERS)
 
 
-def _tag_feature(name: str) -> tuple[str, str, int]:
-    return ("", name.lstrip("/"), 0)
+    @property
+    def labelled(self) -> bool:
+        """Exactly one article or main element, with text that is no boilerplate."""
+        return self.article == 1 and any(t[0] == "b" and t[3] for t in self.tokens)
 
 
-#: Names beyond these are counted as one, which bounds the table of weights.
-KNOWN_TAGS = RAW | VOID | INLINE | NEVER | HOLDERS | frozenset("html h1 h2 h3 h4 h5 h6 p li td th tr dt dd pre blockquote figure figcaption center hgroup address thead tbody tfoot caption details summary".split())
+def _tag_feature(name: str) -> tuple[str, int, int]:
+    name = name.lstrip("/")
+    return (name if name in KNOWN_TAGS else "other", 0, 0)  # no block has no words
 
 
-def _feature(place: tuple[str, str, int]) -> tuple[str, str, int]:
-    return (place[0], place[1] if place[1] in KNOWN_TAGS else "other", place[2])
+#: Names beyond these are counted as one, which bounds the table of weights.
+KNOWN_TAGS = RAW | VOID | INLINE | NEVER | HOLDERS | frozenset("html h1 h2 h3 h4 h5 h6 p li td th tr dt dd pre blockquote figure figcaption center hgroup address thead tbody tfoot caption details summary".split())
 
 
 def counted(pages: DataFrame, html_col: str) -> DataFrame:
-    """(holder, tag, in_link, inside, n) over all self-labelled pages: those with one article or main element."""
+    """(tag, in_link, long, inside, n) over all self-labelled pages: words by place, tags at length 0."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
             for html in batch.column(0).to_pylist():
                 page = Page(html)
-                if page.article != 1:
+                if not page.labelled:
                     continue
                 open_article = False
                 for token in page.tokens:
@@ -154,46 +165,62 @@ def counted(pages: DataFrame, html_col: str) -> DataFrame:
                         if token[1] in ("article", "main", "/article", "/main"):
                             open_article = token[1][0] != "/"
                         elif not token[2]:
-                            seen[(*_feature(_tag_feature(token[1])), open_article)] += 1
+                            seen[(*_tag_feature(token[1]), open_article)] += 1
                     elif not token[4]:
-                        seen[(*_feature(token[1]), token[3])] += len(token[2].split())
+                        seen[(*token[1], token[3])] += len(token[2].split())
             rows = [(*key, n) for key, n in seen.items()]
             columns = list(zip(*rows)) or [()] * 5
-            kinds = (pa.string(), pa.string(), pa.int32(), pa.bool_(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["holder", "tag", "in_link", "inside", "n"])
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["tag", "in_link", "long", "inside", "n"])
 
-    made = pages.select(html_col).mapInArrow(count, "holder string, tag string, in_link int, inside boolean, n bigint")
-    return made.groupBy("holder", "tag", "in_link", "inside").agg(F.sum("n").alias("n"))
+    made = pages.select(html_col).mapInArrow(count, "tag string, in_link int, long int, inside boolean, n bigint")
+    return made.groupBy("tag", "in_link", "long", "inside").agg(F.sum("n").alias("n"))
 
 
-def weights(pages: DataFrame, html_col: str = "html") -> dict[tuple[str, str, int], float]:
-    """Log-odds of words by place and of tags; at most a few hundred, whatever the number of pages."""
+def _odds(inside: float, outside: float, share: float) -> tuple[float, float]:
+    """Log-odds, and share inside, where ``share`` counts as much as ``STRENGTH`` words."""
+    inside, outside = inside + STRENGTH * share, outside + STRENGTH * (1 - share)
+    return math.log(inside / outside), inside / (inside + outside)
+
+
+def weights(pages: DataFrame, html_col: str = "html") -> dict[tuple[str, int, int], float]:
+    """Log-odds of words by place and of tags; at most some hundred, whatever the number of pages.
+
+    The odds of a tag's blocks start from those of all blocks with the same link share
+    and length, which stand under the empty tag.
+    """
     inside, outside = Counter(), Counter()
-    for (key, (a, b)) in PRIOR.items():
-        inside[key] += a
-        outside[key] += b
     for row in counted(pages, html_col).collect():
-        (inside if row["inside"] else outside)[(row["holder"], row["tag"], row["in_link"])] += row["n"]
-    out = {}
-    for key in inside | outside:
-        odds = math.log((inside[key] + 0.5) / (outside[key] + 0.5))
-        out[key] = min(odds, -TAG_COST) if key[0] == "" else odds
+        for tag in ("", row["tag"]):
+            (inside if row["inside"] else outside)[(tag, row["in_link"], row["long"])] += row["n"]
+    bounded = lambda odds: max(-HIGHEST, min(odds, HIGHEST))
+    share, out = {}, {}
+    for link in PRIOR:
+        for long in range(1, LONG + 1):
+            key = ("", link, long)
+            odds, share[key] = _odds(inside[key], outside[key], PRIOR[link])
+            out[key] = bounded(odds)
+    for key in inside.keys() | outside.keys():
+        if key[0] and key[2] == 0:
+            out[key] = max(-TAG_MOST, min(_odds(inside[key], outside[key], 0.5)[0], -TAG_COST))
+        elif key[0]:
+            out[key] = bounded(_odds(inside[key], outside[key], share[("", *key[1:])])[0])
     return out
 
 
-def main_text(html: str | None, weight: dict[tuple[str, str, int], float]) -> tuple[str, float]:
+def main_text(html: str | None, weight: dict[tuple[str, int, int], float]) -> tuple[str, float]:
     """Text of the best contiguous region, without the boilerplate inside it, and the region's score."""
     page = Page(html)
     best, best_range, running, first = 0.0, (0, 0), 0.0, 0
+    labelled = page.labelled
     for k, token in enumerate(page.tokens):
         if token[0] == "t":
-            gain = 0.0 if token[2] else max(-2.0, weight.get(_feature(_tag_feature(token[1])), -TAG_COST))
-            if token[1] in ("article", "main"):
-                gain = 0.0
+            free = token[2] or labelled or token[1] in ("article", "main")
+            gain = 0.0 if free else weight.get(_tag_feature(token[1]), -TAG_COST)
         else:
-            place = _feature(token[1])
-            unknown = -1.0 if place[2] or place[0] == "body" else 1.0
-            gain = 0.0 if token[4] else len(token[2].split()) * weight.get(place, unknown)
+            place = token[1]
+            held = 0.0 if not labelled and not token[3] else HELD if token[3] else -HELD
+            gain = 0.0 if token[4] else len(token[2].split()) * (held + weight.get(place, weight[("", *place[1:])]))
         if running <= 0:
             running, first = 0.0, k
         running += gain
@@ -207,7 +234,8 @@ def extract_text(pages: DataFrame, labelled: DataFrame | None = None, id_col: st
     """One row per page: page_id, url, text, n_chars, score.
 
     Weights come from ``labelled`` pages (by default ``pages``): pages with exactly one
-    article or main element label their own words. NULL or empty html, and pages
+    article or main element label their own words, and their text is that element's. On
+    other pages the weights decide, words in one of several articles preferred. NULL or empty html, and pages
     without a region of positive score, give the empty text. Broken markup, unclosed
     elements and truncated pages are read as far as they go; repeated pages give
     repeated rows; an empty table gives none. Whole pages are read, whatever their length.

@@ -113,6 +113,19 @@ def test_html_text(spark):
     assert got[1] == "A & B First bold line <x>. Second. Last one." and got[2] == got[3] == "" and len(got[4]) == 20_000 * 5 - 1
 
 
+def test_html_text_without_article(spark):
+    long = " ".join(f"w{k}" for k in range(40))
+    menu = "<ul>" + "".join(f"<li><a href=/{k}>Go {k}</a></li>" for k in range(9)) + "</ul>"
+    article = f"<article><h1>Title</h1><p>{long}</p></article></body>"
+    labelled = [f"<body><p>Two words</p><td>by us</td><ul><li>See also</li></ul>{article}", *[f"<body>{article}"] * 39]
+    main = f"<div id=content><h3>Head</h3><ul><li>First point</li><li>Second</li></ul><table><tr><td>Cell one</td><td>2</td></tr></table><section>Part</section><div>{long}</div><p>End.</p></div>"
+    plain = f"<body><nav>Menu</nav>{menu}{main}{menu}<footer>Foot</footer></body>"
+    rows = [(k, "u", html) for k, html in enumerate([plain, *labelled, "<body><div>A few words only</div></body>", "<body><article></article><td>Cell</td></body>"])]
+    got = {r["page_id"]: r["text"] for r in html_text.extract_text(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert got[0] == f"Head First point Second Cell one 2 Part {long} End."
+    assert got[1] == f"Title {long}" and got[41] == "A few words only" and got[42] == "Cell"
+
+
 def test_url_aliases(spark):
     canon = '<link rel="canonical" href="{}">'
     rows = [
