@@ -8,6 +8,10 @@ line, where one-line licence statements stand.
 
 from __future__ import annotations
 
+import re
+from itertools import product
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -25,6 +29,61 @@ BSD2 = """Redistribution and use in source and binary forms, with or without mod
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+#: Clause that BSD-3-Clause has before the last paragraph.
+BSD3 = BSD2.replace(
+    "\n\nTHIS SOFTWARE",
+    "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\nTHIS SOFTWARE",
+)
+#: Files with the whole texts: licence -> (family, where the text begins behind its heading, where an appendix begins).
+TEXTS = {
+    "0BSD": ("permissive", "Permission to use", None),
+    "Apache-2.0": ("permissive", "TERMS AND CONDITIONS FOR USE", "APPENDIX: How to apply"),
+    "Artistic-1.0-Perl": ("permissive", "Preamble", None),
+    "BSD-3-Clause": ("permissive", "Redistribution and use", None),
+    "CC0-1.0": ("permissive", "Statement of Purpose", None),
+    "GFDL-1.2": ("copyleft", "0. PREAMBLE", "ADDENDUM: How to use"),
+    "GFDL-1.3": ("copyleft", "0. PREAMBLE", "ADDENDUM: How to use"),
+    "GPL-1.0": ("copyleft", "Preamble", "Appendix: How to Apply"),
+    "GPL-2.0": ("copyleft", "Preamble", "How to Apply These Terms to Your New"),
+    "GPL-3.0": ("copyleft", "Preamble", "How to Apply These Terms to Your New"),
+    "LGPL-2.0": ("copyleft", "Preamble", "How to Apply These Terms to Your New"),
+    "LGPL-2.1": ("copyleft", "Preamble", "How to Apply These Terms to Your New"),
+    "LGPL-3.0": ("copyleft", "This version of the GNU Lesser", None),
+    "MPL-1.1": ("copyleft", "1. Definitions", "EXHIBIT A -Mozilla"),
+    "MPL-2.0": ("copyleft", "1. Definitions", "Exhibit A - Source Code Form"),
+    "Unlicense": ("permissive", "This is free and unencumbered", None),
+    "Zlib": ("permissive", "This software is provided", None),
+}
+END_LINE = "END OF TERMS AND CONDITIONS"
+#: The GNU licences' address over the years; a text with the first is known with each.
+ADDRESS = re.compile(r"51 Franklin St(?:reet)?, Fifth Floor, Boston,? +MA +02110-1301,? +USA")
+ADDRESSES = (
+    "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA",
+    "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA",
+    "675 Mass Ave, Cambridge, MA 02139, USA",
+)
+
+
+def _forms(body: str, begin: str, appendix: str | None) -> set[str]:
+    """The text as published, without its heading, without its appendix and the line before it, and with other addresses."""
+    starts = [body, body[body.index(begin) :]]
+    if appendix:
+        short = [t[: t.index(appendix)] for t in starts]
+        starts += short + [t[: t.index(END_LINE)] for t in short if END_LINE in t]
+    links = [t.replace(found, kept) for t in starts for found, kept in (("http://", "https://"), ("https://", "http://"))]
+    starts = {*starts, *links}
+    return starts | {ADDRESS.sub(address, t) for t, address in product(starts, ADDRESSES)}
+
+
+def _whole() -> list[tuple[str, str, str]]:
+    folder = Path(__file__).parent / "license_texts"
+    return [
+        (name, family, form)
+        for name, (family, begin, appendix) in TEXTS.items()
+        for form in sorted(_forms((folder / f"{name}.txt").read_text(encoding="utf-8"), begin, appendix))
+    ]
+
+
 #: Fixed values: (licence, family, known text).
 KNOWN = (
     ("MIT", "permissive", MIT),
@@ -34,6 +93,9 @@ KNOWN = (
     ("ISC", "permissive", "ISC License\n" + ISC),
     ("BSD-2-Clause", "permissive", BSD2),
     ("BSD-2-Clause", "permissive", "BSD 2-Clause License\n" + BSD2),
+    ("BSD-3-Clause", "permissive", BSD3),
+    ("BSD-3-Clause", "permissive", "BSD 3-Clause License\n" + BSD3),
+    *_whole(),
     ("MIT", "permissive", "Released under the MIT License."),
     ("Apache-2.0", "permissive", "Licensed under the Apache License, Version 2.0."),
     ("GPL-3.0", "copyleft", "This work is licensed under the GNU General Public License, version 3."),

@@ -143,6 +143,19 @@ def test_licenses(docs):
     assert got == {1: ("MIT", []), 2: (None, ["MIT"]), 3: (None, []), 4: (None, [])}
 
 
+def test_licenses_whole_texts(docs):
+    texts = {name: (licenses.Path(licenses.__file__).parent / "license_texts" / f"{name}.txt").read_text() for name in licenses.TEXTS}
+    rows = list(enumerate(texts.values()))
+    apache = texts["Apache-2.0"]
+    apache = apache[apache.index("TERMS AND") : apache.index("APPENDIX")].replace("http:", "https:").upper()
+    gpl = texts["GPL-2.0"].replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")
+    bsd = "Copyright 2001 X\n\n" + licenses.BSD3.replace("copyright holder nor", "copyright owner nor")
+    more = [apache, gpl, bsd, texts["MPL-2.0"][: texts["MPL-2.0"].index("Exhibit A - S")], texts["GPL-3.0"] + " more"]
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scan_licenses(docs(*rows, *enumerate(more, 100))).collect()}
+    assert [got[k] for k in range(len(rows))] == list(texts)
+    assert [got[k] for k in range(100, 105)] == ["Apache-2.0", "GPL-2.0", "BSD-3-Clause", "MPL-2.0", None]
+
+
 def test_chat_links_calls(spark):
     call = json.dumps({"content": None, "tool_calls": [{"id": "b", "name": "search", "arguments": {"limit": "x"}, "after": ["a"]}, {"id": "a", "name": "calculator", "arguments": "{\"expression\": \"1+1\"}"}]})
     rows = [(1, 0, "user", "hi"), (1, 1, "tool", '{"tool_call_id": "b", "content": "r"}'), (1, 2, "assistant", call), (1, 3, "tool", '{"tool_call_id": "a", "content": 2}'), (1, 4, "tool", '{"tool_call_id": "q"}'), (2, None, None, None), (1, 5, "assistant", "{broken")]
