@@ -10,7 +10,9 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from tabloom.llm.storage import written
 
 #: Tools of the production query: name -> JSON Schema of the arguments.
 SCHEMAS = {
@@ -102,7 +104,7 @@ def _topological(calls: list[dict]) -> list[dict]:
 
 FIELDS = (
     "conv_id {0}, turn {1}, role string, json string, result_of string, "
-    "calls array<struct<id: string, rank: int>>, n_calls int, argument_errors array<string>"
+    "calls array<struct<id: string, rank: int, after: array<string>>>, n_calls int, argument_errors array<string>"
 )
 
 
@@ -124,9 +126,11 @@ def parsed(messages: DataFrame, schemas: dict = SCHEMAS, conv_col: str = "conv_i
                 elif answered is not None:
                     message |= {"content": body.get("content"), "tool_call_id": answered}
                 wrong = [f"{c['id']} {e}" for c in calls or () for e in c["errors"]]
-                out.append((canonical(message), answered, [{"id": c["id"], "rank": k} for k, c in enumerate(calls or ())], len(calls or ()), wrong))
+                own = {c["id"] for c in calls or ()}
+                told = [{"id": c["id"], "rank": k, "after": [a for a in c["after"] if a not in own]} for k, c in enumerate(calls or ())]
+                out.append((canonical(message), answered, told, len(told), wrong))
             columns = list(zip(*out)) or [()] * 5
-            kinds = (pa.string(), pa.string(), pa.list_(pa.struct([("id", pa.string()), ("rank", pa.int32())])), pa.int32(), pa.list_(pa.string()))
+            kinds = (pa.string(), pa.string(), pa.list_(pa.struct([("id", pa.string()), ("rank", pa.int32()), ("after", pa.list_(pa.string()))])), pa.int32(), pa.list_(pa.string()))
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *arrays], names=["conv_id", "turn", "role", "json", "result_of", "calls", "n_calls", "argument_errors"])
 
@@ -135,29 +139,117 @@ def parsed(messages: DataFrame, schemas: dict = SCHEMAS, conv_col: str = "conv_i
     return source.mapInArrow(read, FIELDS.format(*kinds))
 
 
+def _links(calls: DataFrame, results: DataFrame) -> DataFrame:
+    """(conv_id, id, turn, call_turn, rank): the call that each result answers.
+
+    Calls of one id and the results up to the next call of it belong together: the last
+    results' worth of calls is paired with them in order, further results with the last
+    call. Results before any call of their id go to the first.
+    """
+    events = calls.select("conv_id", "id", "turn", "rank", F.lit(0).alias("is_result")).distinct()
+    events = events.unionByName(results.select("conv_id", "id", "turn", F.lit(0).alias("rank"), F.lit(1).alias("is_result")).distinct())
+    order = Window.partitionBy("conv_id", "id").orderBy("turn", "is_result", "rank")
+    begins = (F.col("is_result") == 0) & (F.coalesce(F.lag("is_result").over(order), F.lit(1)) == 1)
+    run = events.withColumn("begins", begins.cast("int")).withColumn("run", F.sum("begins").over(order))
+    run = run.withColumn("k", F.row_number().over(Window.partitionBy("conv_id", "id", "run", "is_result").orderBy("turn", "rank")))
+    size = run.groupBy("conv_id", "id", "run").agg(F.sum("is_result").alias("n"), F.sum(1 - F.col("is_result")).alias("m"))
+    both = F.least("m", "n")
+    goal = F.when(F.col("run") == 0, 1).when(F.col("k") <= both, F.col("m") - both + F.col("k")).otherwise(F.col("m")).cast("int")
+    asked = run.where("is_result = 1").join(size, ["conv_id", "id", "run"])
+    asked = asked.select("conv_id", "id", "turn", F.greatest("run", F.lit(1)).alias("run"), goal.alias("k"))
+    given = run.where("is_result = 0").select("conv_id", "id", "run", "k", F.col("turn").alias("call_turn"), "rank")
+    return asked.join(given, ["conv_id", "id", "run", "k"]).select("conv_id", "id", "turn", "call_turn", "rank")
+
+
+def _needs(calls: DataFrame) -> DataFrame:
+    """(conv_id, turn, need): turns of messages with calls, and of the other messages whose calls they name in ``after``.
+
+    A name means the latest call with that id before, else the earliest behind.
+    """
+    named = calls.select("conv_id", F.explode("after").alias("id"), "turn").distinct().withColumn("at", F.lit(None).cast("bigint"))
+    events = named.unionByName(calls.select("conv_id", "id", "turn", F.col("turn").alias("at")).distinct()).where("turn IS NOT NULL")
+    by = Window.partitionBy("conv_id", "id")
+    before = F.last("at", ignorenulls=True).over(by.orderBy("turn", F.col("at").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    behind = F.last("at", ignorenulls=True).over(by.orderBy(F.desc("turn"), F.col("at").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    found = events.select("conv_id", "turn", "at", F.coalesce(before, behind).alias("need"))
+    return found.where("at IS NULL AND need <> turn").select("conv_id", "turn", "need").distinct()
+
+
+def _moves(calls: DataFrame) -> DataFrame | None:
+    """(conv_id, call_turn, to_turn, step): messages that come behind a later one, as ``after`` wants; None if there are none.
+
+    Conversations that name a later call are ordered in rounds, a message when all it
+    needs are; what is left are cycles, and stays. Moved messages stand behind the
+    turn ``to_turn``, in the order of ``step``.
+    """
+    needs = written(_needs(calls), "chat-needs")
+    late = needs.where("need > turn").select("conv_id").distinct()
+    if late.isEmpty():
+        return None
+    needs = written(needs.join(late, "conv_id", "left_semi"), "chat-needs")
+    placed = needs.select("conv_id", F.col("need").alias("turn")).distinct().join(needs, ["conv_id", "turn"], "left_anti")
+    placed = written(placed.select("conv_id", "turn", F.col("turn").alias("to_turn"), F.lit(0).alias("step")), "chat-placed")
+    while not needs.isEmpty():
+        done = placed.select("conv_id", F.col("turn").alias("need"), F.struct("to_turn", (F.col("step") + 1).alias("step")).alias("behind"))
+        ready = needs.join(done, ["conv_id", "need"], "left").groupBy("conv_id", "turn")
+        ready = ready.agg(F.max("behind").alias("behind"), F.every(F.col("behind").isNotNull()).alias("all")).where("all")
+        moved = F.col("behind.to_turn") >= F.col("turn")
+        ready = ready.select(
+            "conv_id", "turn", F.when(moved, F.col("behind.to_turn")).otherwise(F.col("turn")).alias("to_turn"), F.when(moved, F.col("behind.step")).otherwise(0).alias("step")
+        )
+        ready = written(ready, "chat-ready")
+        if ready.isEmpty():
+            break
+        placed = written(placed.unionByName(ready), "chat-placed")
+        needs = written(needs.join(ready, ["conv_id", "turn"], "left_anti"), "chat-needs")
+    step = F.row_number().over(Window.partitionBy("conv_id", "to_turn").orderBy("step", "turn"))
+    return placed.where("step > 0").select("conv_id", F.col("turn").alias("call_turn"), "to_turn", step.cast("bigint").alias("step"))
+
+
 def format_chat(messages: DataFrame, schemas: dict = SCHEMAS, **columns: str) -> DataFrame:
     """One row per message: conv_id, turn, role, order_key, json, n_calls, argument_errors, link.
 
     An assistant text that is a JSON object with ``tool_calls`` (each with a string
     ``id``) holds calls; a tool text that is a JSON object with ``tool_call_id`` is a
-    result. Results are hash-joined to calls by conversation and id; if an id occurs in
-    several calls, the first (by turn, then place) counts. ``order_key`` sorts a
-    conversation: by turn, a linked result right behind its call in the order of the
-    calls, wherever it stood. ``link`` is ``linked`` or ``orphan`` for results, else
-    NULL. Everything that is no valid JSON of these forms is plain text. NULL text is
-    empty text, a NULL role stays NULL; messages without conversation are never linked.
-    Repeated messages give repeated rows; an empty table none.
+    result. Results are joined to calls by conversation and id; if an id occurs in
+    several calls, the latest at or before the result's turn counts, else the first
+    behind it, and several results are paired in order (``_links``). ``order_key``
+    sorts a conversation: by turn, a linked result right behind its call in the order of
+    the calls, wherever it stood; a message with a call that names one of a later
+    message in ``after`` comes behind that message and its results (``_moves``).
+    ``link`` is ``linked`` or ``orphan`` for results, else NULL. Everything that is no
+    valid JSON of these forms is plain text. NULL text is empty text, a NULL role stays
+    NULL; messages without conversation are never linked. Repeated messages give
+    repeated rows; an empty table none.
     """
     rows = parsed(messages, schemas, **columns)
-    calls = rows.where("n_calls > 0").select("conv_id", F.col("turn").alias("call_turn"), F.inline("calls"))
-    first = calls.groupBy("conv_id", F.col("id").alias("result_of")).agg(F.min(F.struct("call_turn", "rank")).alias("call"))
-    joined = rows.join(first, ["conv_id", "result_of"], "left")
-    linked = F.col("call").isNotNull()
-    turn = F.col("turn").cast("bigint")
+    conv, text = columns.get("conv_col", "conv_id"), columns.get("text_col", "text")
+    able = messages.where(F.col(conv).isNotNull() & F.col(text).cast("string").contains("{"))  # no other text is an object
+    able = parsed(able, schemas, **columns).where("n_calls > 0 OR result_of IS NOT NULL")
+    able = written(able.select("conv_id", F.col("turn").cast("bigint").alias("turn"), "result_of", "calls"), "chat-calls")
+    calls = able.select("conv_id", "turn", F.inline("calls"))
+    links = _links(calls, able.where("result_of IS NOT NULL").select("conv_id", F.col("result_of").alias("id"), "turn"))
+    moves = _moves(calls)
+    if moves is None:
+        links = links.withColumns({"to_turn": F.col("call_turn"), "step": F.lit(0).cast("bigint")})
+    else:
+        moves = written(moves, "chat-moves")
+        links = links.join(moves, ["conv_id", "call_turn"], "left")
+        links = links.withColumns({"to_turn": F.coalesce("to_turn", "call_turn"), "step": F.coalesce("step", F.lit(0))})
+    placed = links.select("conv_id", "turn", F.col("id").alias("result_of"), "to_turn", "step", (F.col("rank") + 1).alias("place"))
+    if moves is not None:
+        own = moves.select("conv_id", F.col("call_turn").alias("turn"), F.lit(None).cast("string").alias("result_of"), "to_turn", "step", F.lit(0).alias("place"))
+        placed = placed.unionByName(own)
+    placed = written(placed, "chat-links").alias("p")
+    turn = F.col("r.turn").cast("bigint")
+    same = (F.col("r.conv_id") == F.col("p.conv_id")) & turn.eqNullSafe(F.col("p.turn")) & F.col("r.result_of").eqNullSafe(F.col("p.result_of"))
+    joined = rows.alias("r").join(placed, same & ((F.col("r.n_calls") > 0) | F.col("r.result_of").isNotNull()), "left")
+    found = F.col("p.place").isNotNull()
     key = F.struct(
-        F.when(linked, F.col("call.call_turn").cast("bigint")).otherwise(turn).alias("turn"),
-        F.when(linked, F.col("call.rank") + 1).otherwise(F.lit(0)).alias("place"),
+        F.when(found, F.col("p.to_turn")).otherwise(turn).alias("turn"),
+        F.when(found, F.shiftleft("p.step", 32) + F.col("p.place")).otherwise(F.lit(0)).alias("place"),
         turn.alias("own_turn"),
     )
-    link = F.when(linked, F.lit("linked")).when(F.col("result_of").isNotNull(), F.lit("orphan"))
-    return joined.select("conv_id", "turn", "role", key.alias("order_key"), "json", "n_calls", "argument_errors", link.alias("link"))
+    result = F.col("r.result_of").isNotNull()
+    link = F.when(result & found, F.lit("linked")).when(result, F.lit("orphan"))
+    return joined.select("r.conv_id", "r.turn", "r.role", key.alias("order_key"), "r.json", "r.n_calls", "r.argument_errors", link.alias("link"))

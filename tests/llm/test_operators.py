@@ -166,6 +166,28 @@ def test_chat_links_calls(spark):
     assert one[1]["json"].startswith('{"content":"","role":"assistant","tool_calls":[{"arguments":{"expression":"1+1"},"id":"a"')
 
 
+def test_chat_repeated_ids_and_later_calls(spark):
+    def call(*ids, **after):
+        return json.dumps({"tool_calls": [{"id": i, "name": "search", "arguments": {"query": "q"}, "after": after.get(i, [])} for i in ids]})
+
+    def result(i):
+        return json.dumps({"tool_call_id": i, "content": "r"})
+
+    def order(*texts):
+        rows = [(1, k, "tool" if "tool_call_id" in t else "assistant", t) for k, t in enumerate(texts)]
+        got = chat.format_chat(spark.createDataFrame([*rows, *rows], "conv_id int, turn int, role string, text string")).collect()
+        assert len(got) == 2 * len(rows) and {r["link"] for r in got if r["role"] == "tool"} <= {"linked"}
+        return [r["turn"] for r in sorted(got, key=lambda r: r["order_key"])[::2]]
+
+    assert order("hi", call("a"), result("a"), call("a"), result("a")) == [0, 1, 2, 3, 4]
+    assert order(result("a"), call("a"), "x", call("a"), "y", result("a"), result("a")) == [1, 0, 5, 2, 3, 6, 4]
+    assert order(call("a"), call("a"), "x", result("a"), "y", result("b"), call("b")) == [0, 1, 3, 2, 4, 6, 5]
+    assert order(call("a", "a"), "x", result("a"), result("a"), result("a")) == [0, 2, 3, 4, 1]
+    # a names c, b names a, d names c of an earlier message; e and f name each other
+    assert order(call("a", a=["c"]), result("a"), call("b", b=["a", "none"]), call("c"), "x", call("d", d=["c"]), result("c"), result("b")) == [3, 6, 0, 1, 2, 7, 4, 5]
+    assert order(call("e", e=["f"]), "x", call("f", f=["e"]), result("e")) == [0, 3, 1, 2]
+
+
 def test_language_model(spark):
     rows = language_model.score_texts(Tables(spark, SMALL).documents).collect()
     texts = {r["doc_id"]: language_model.words_of(r["text"]) for r in Tables(spark, SMALL).documents.collect()}
