@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import html as entities
+import re
+from collections.abc import Iterator
+from urllib.parse import urljoin
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.llm.components import components
@@ -15,10 +21,13 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-HREF = r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-TARGET = r"""(?is)\burl\s*=\s*["']?([^"'>\s]+)"""
+#: Comments, elements whose content is text, and then the tags that declare links.
+PARTS = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<(script|style|textarea|title|xmp|iframe|noembed|noframes)\b[^>]*>.*?(?:</\1\b|\Z)|<(link|meta|base)\b((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.I | re.S
+)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+#: In the content of a refresh: seconds, then the address.
+TARGET = re.compile(r"""[\s\d.]*[;,\s]\s*(?:url\s*=\s*)?(?:"([^"]*)|'([^']*)|([^"'\s].*))""", re.I | re.S)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -41,25 +50,47 @@ def node_of(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(F.lower(F.substring_index(url, "://", 1)), F.lit("://"), host_of(url), rest))
 
 
+def _declared(url: str, html: str) -> Iterator[str]:
+    """Addresses, resolved, of all canonical and refresh tags."""
+    base, targets = "", []
+    for found in PARTS.finditer(html):
+        tag = (found[2] or "").lower()
+        own: dict[str, str] = {}
+        for name, *values in ATTRIBUTE.findall(found[3] or ""):
+            own.setdefault(name.lower(), entities.unescape("".join(values)))
+        if tag == "base":
+            base = base or own.get("href", "")
+        elif tag == "link" and "canonical" in own.get("rel", "").lower().split():
+            targets.append(own.get("href", ""))
+        elif tag == "meta" and own.get("http-equiv", "").strip().lower() == "refresh" and (to := TARGET.match(own.get("content", ""))):
+            targets.append(to[1] or to[2] or to[3] or "")
+    for to in targets:
+        to = to.strip()
+        if to and not to.startswith("#"):
+            try:
+                yield urljoin(urljoin(url, base.strip()), to)
+            except ValueError:  # an address that cannot be read, such as http://[
+                continue
+
+
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Edges (src, dst) that pages declare: ``rel=canonical`` and ``http-equiv=refresh``.
+    """Edges (src, dst) that pages declare: every ``rel=canonical`` and ``http-equiv=refresh``.
 
-    Targets that start with a scheme, ``//`` or ``/`` are resolved; other relative
-    targets name no host and are left out, as are pages without address or html.
+    Targets are resolved against the page's address, or its ``base``. Tags in comments
+    and scripts do not count; pages without address or html have none. Only pages that
+    hold one of the two words are read in Python.
     """
-    html = F.coalesce(F.col(html_col), F.lit(""))
-    link = F.regexp_extract(html, CANONICAL, 0)
-    href = F.concat(*(F.regexp_extract(link, HREF, k) for k in (1, 2, 3)))
-    meta = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TARGET, 1)
-    seen = pages.select(F.col(url_col).alias("url"), F.explode(F.array(href, meta)).alias("to")).where("url IS NOT NULL AND to <> ''")
-    site = F.substring_index("url", "://", 1)
-    to = F.regexp_replace(F.trim("to"), "&amp;", "&")
-    to = (
-        F.when(to.contains("://"), to)
-        .when(to.startswith("//"), F.concat(site, F.lit(":"), to))
-        .when(to.startswith("/"), F.concat(site, F.lit("://"), host_of(F.col("url")), to))
-    )
-    return seen.select(node_of(F.col("url")).alias("src"), node_of(to).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = [(url, to) for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for to in _declared(url, html)]
+            columns = list(zip(*pairs)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["url", "to"])
+
+    worded = F.col(html_col).rlike("(?i)canonical|refresh|&#")  # a value may be written in entities
+    able = pages.where(F.col(url_col).contains("://") & worded).select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    seen = able.mapInArrow(read, "url string, to string")
+    return seen.select(node_of(F.col("url")).alias("src"), node_of(F.col("to")).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct()
 
 
 def _fitting(host: Column, path: Column, rules) -> tuple[Column, Column]:

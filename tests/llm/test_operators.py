@@ -4,6 +4,8 @@ import hashlib
 import json
 import math
 import random
+from html.parser import HTMLParser
+from urllib.parse import urldefrag, urljoin, urlsplit
 
 import duckdb
 import public_tokenizers
@@ -137,6 +139,50 @@ def test_url_aliases(spark):
     assert got[2][:3] == ("a.net", "/x", None) and got[6][:3] == got[7][:3] == ("", "", None) and got[9][2] == "com/de/"
 
 
+def test_url_links_equal_brute_force(spark):
+    draw = random.Random(3)
+    targets = ["p1", "./p2", "../p3", "../../../es/p1", "?p=1", "/x/../en/1", "//b.example.org/es/", "http://c.com/fr/a", "sub/p4?q=../r", "#top", "mailto:a@b", "..", ".", "", "p2?a&amp;b#c"]
+    tags = ['<link rel="canonical" href="{}">', "<LINK data-href=z href='{}' rel='nofollow canonical'/>", '<meta http-equiv="Refresh" content="0; url={}">', "<meta content=\"3;URL='{}'\" http-equiv=refresh title='a>b'>",
+            '<!-- <link rel="canonical" href="http://c.com/fr/a"> -->', "<script>'<link rel=canonical href=/x/p1>'</script>", '<link rel="stylesheet" href="{}">', '<meta name="a" content="0; url={}">', "<p>{}</p>"]
+    urls = [f"http://{h}{p}" for h in ("a.net", "b.example.org", "c.com") for p in ("", "/", "/x/p1", "/x/p2", "/x/y/p3?k", "/es/p1", "/fr/a", "/p4", "/x/", "/x/p2?a&b")]
+    rows = [(k, draw.choice(urls), "".join(draw.choice(tags).format(draw.choice(targets)) for _ in range(draw.randrange(3))) if draw.random() < 0.6 else None) for k in range(60)]
+    rows += [(100, "http://a.net/q/w/e", '<base href="/r/s"><link rel=canonical href=t>'), (101, "http://a.net/r/t", "<link rel=canonical href=http://c.com/de/1>")]
+
+    class Links(HTMLParser):
+        def __init__(self, html):
+            super().__init__()
+            self.found, self.base = [], ""
+            self.feed(html)
+
+        def handle_starttag(self, tag, attrs):
+            at = dict(attrs)
+            if tag == "base":
+                self.base = self.base or at["href"]
+            if tag == "link" and "canonical" in at["rel"].lower().split():
+                self.found.append(at["href"])
+            if tag == "meta" and at.get("http-equiv", "").lower() == "refresh":
+                self.found.append(at["content"].split("=", 1)[1].strip("'"))
+
+    label = {u: u for _, u, _ in rows}
+
+    def own(url):
+        host, path = urlsplit(url).netloc, urlsplit(url).path
+        fits = [(len(h + p), kind) for kind, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[1] if fits else None
+
+    for _, url, html in rows:
+        page = Links(html or "")
+        for to in page.found:
+            full = urldefrag(urljoin(urljoin(url, page.base), to))[0]
+            if to and to[0] != "#" and full.startswith("http"):
+                one, two = label[url], label.setdefault(full, full)
+                label = {u: min(one, two) if c in (one, two) else c for u, c in label.items()}
+    want = {k: (own(u) or min((v for v in map(own, (x for x in label if label[x] == label[u])) if v), default="allow"), label[u]) for k, u, _ in rows}
+    got = url_filter.judge_urls(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()
+    assert {r["page_id"]: (r["verdict"], r["alias_id"]) for r in got} == want
+    assert len({c for _, c in want.values()}) > 5 and {v for v, _ in want.values()} == {"allow", "block"}
+
+
 def test_licenses(docs):
     text = "Copyright (c) 2020 Someone\n\n" + licenses.MIT.upper().replace(",", " ;").replace("SUBLICENSE", "sub-licence")
     got = {r["doc_id"]: (r["license_id"], r["line_licenses"]) for r in licenses.scan_licenses(docs((1, text), (2, "Words.\nreleased under the mit licence\n"), (3, None), (4, "!!"))).collect()}
