@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabloom.llm import chat, decontaminate, exact_dedup, html_text, jaccard, language_model, licenses, pieces, quality, url_filter
+from tabloom.llm import chat, collocations, decontaminate, exact_dedup, html_text, jaccard, language_model, licenses, personal_data, pieces, quality, url_filter
 from tabloom.sources.tables import Tables
 
 
@@ -55,11 +55,22 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", "turn", "role", key["turn"].alias("order_turn"), key["place"].alias("order_place"), "json", "n_calls", "argument_errors", "link")
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document, plain and disguised."""
+    return personal_data.find_personal_data(Tables(spark, sf_dir).documents)
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of every language."""
+    return collocations.collocations(Tables(spark, sf_dir).documents)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_lm_scoring, op3_quality_classifier, op4_ngram_jaccard_join, op5_url_filters,
         op6_exact_dedup, op7_benchmark_decontamination, op8_license_scans, op9_sentencepiece, op10_chat_formatting,
+        op12_pii, op13_phrase_collocations,
     )
 }
 CHECKS: dict[str, str] = {
@@ -68,4 +79,5 @@ CHECKS: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.SQL,
     "op7_benchmark_decontamination": decontaminate.SQL,
     "op8_license_scans": licenses.SQL,
+    "op13_phrase_collocations": collocations.SQL,
 }
