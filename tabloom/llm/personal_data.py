@@ -59,7 +59,6 @@ _HIDDEN = re.compile(f"[{INVISIBLE}]+")
 _DIGIT_WORD = rf"(?:(?:{'|'.join(TIMES)})[ -])?(?:{'|'.join(sorted(_VALUE, key=len, reverse=True))})"
 _SPELLED = re.compile(rf"(?<!\w)(?:{_DIGIT_WORD}|[0-9]+)(?:[ ,-]{{1,2}}(?:{_DIGIT_WORD}|[0-9]+))*(?!\w)", re.I)
 _DIGIT_TOKEN = re.compile(rf"{_DIGIT_WORD}|[0-9]+", re.I)
-_JOINED = re.compile(r"\w\.\w|\W*\w+\.\w")
 _LETTER_DIGITS = re.compile(r"(?<=[0-9])[oOlI|](?=[0-9])")
 _DOT = re.compile(
     rf"\s?[(\[{{<]\s?(?:{DOT_WORDS}|\.)\s?[)\]}}>]\s?|(?<=\w)(?:[ \t]+|_|-)(?:{PLAIN_DOT_WORDS})(?:[ \t]+|_|-)(?=\w)|&#(?:46|x2e);|&period;|(?<=\w)[ \t]\.[ \t](?=\w)", re.I
@@ -199,7 +198,8 @@ def _digits(m: re.Match, within: Rewritten) -> str | None:
             spelled += 1
         else:
             out.append(token)
-    if len(out) == 1 and not _JOINED.match(within.text, max(0, m.start() - 2), m.end() + 2):
+    before, after = within.text[max(0, m.start() - 2) : m.start()], within.text[m.end() : m.end() + 2]
+    if len(out) == 1 and not (after[:1] == "." and after[1:].isalnum() or before[1:] == "." and before[:1].isalnum()):
         return None
     return "".join(out) if spelled else None
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabloom.llm import chat, collocations, decontaminate, exact_dedup, html_text, jaccard, language_model, licenses, personal_data, pieces, quality, url_filter
+from tabloom.llm import chat, collocations, decontaminate, exact_dedup, html_text, jaccard, language_model, licenses, personal_data, pieces, prefix_trie, quality, url_filter
 from tabloom.sources.tables import Tables
 
 
@@ -55,6 +55,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("conv_id", "turn", "role", key["turn"].alias("order_turn"), key["place"].alias("order_place"), "json", "n_calls", "argument_errors", "link")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie.prefix_trie(Tables(spark, sf_dir).conversations)
+
+
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document, plain and disguised."""
     return personal_data.find_personal_data(Tables(spark, sf_dir).documents)
@@ -70,7 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_html_extraction, op2_lm_scoring, op3_quality_classifier, op4_ngram_jaccard_join, op5_url_filters,
         op6_exact_dedup, op7_benchmark_decontamination, op8_license_scans, op9_sentencepiece, op10_chat_formatting,
-        op12_pii, op13_phrase_collocations,
+        op11_prefix_trie, op12_pii, op13_phrase_collocations,
     )
 }
 CHECKS: dict[str, str] = {
@@ -79,5 +84,6 @@ CHECKS: dict[str, str] = {
     "op6_exact_dedup": exact_dedup.SQL,
     "op7_benchmark_decontamination": decontaminate.SQL,
     "op8_license_scans": licenses.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
     "op13_phrase_collocations": collocations.SQL,
 }
