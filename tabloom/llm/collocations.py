@@ -27,9 +27,9 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 NO_LANG = "und"
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Pair keys of one route: bytes of text that a route stands for.
-ROUTE_BYTES = 64 << 20
+ROUTE_BYTES = 16 << 20
 #: Suffixes that are sorted at once.
 CHUNK_ROWS = 500_000
 
