@@ -85,20 +85,16 @@ def _blocks(source: DataFrame, block_bytes: int, routes: int) -> DataFrame:
             sizes.pop(lang)
             name, number = f"{task}-{number}", number + 1
             keys = word_keys(words, lang)
-            counts = np.bincount(codes, minlength=len(words))
-            counts[keys == 0] = 0
             yield _rows("text", name, lang, [(-1, pack(code=pa.array(codes)), pack(word=words))])
-            yield _rows("words", name, lang, [(-1, pack(n=pa.array(counts)), pack(word=words))])
+            counts = np.bincount(codes, minlength=len(words)).astype(np.int32)
+            yield _rows("words", name, lang, dealt(keys, counts, lambda mine: pack(word=words.filter(pa.array(mine)))))
             pairs, n = np.unique(pair_keys(codes, keys), return_counts=True)
-            if len(pairs) and pairs[0] == 0:
-                pairs, n = pairs[1:], n[1:]
-            route = pairs % np.uint64(routes)
-            dealt = []
-            for r in range(routes):
-                mine = route == r
-                if mine.any():
-                    dealt.append((r, pack(key=pa.array(pairs[mine])), pack(n=pa.array(n[mine]))))
-            yield _rows("pairs", name, lang, dealt)
+            yield _rows("pairs", name, lang, dealt(pairs, n.astype(np.int32), lambda mine: pack(key=pa.array(pairs[mine]))))
+
+        def dealt(keys: np.ndarray, counts: np.ndarray, put: Callable[[np.ndarray], bytes]) -> list[tuple[int, bytes, bytes]]:
+            """Packets of what is counted, by route; key 0 stands for breaks."""
+            route = np.where(keys == 0, -1, (keys % np.uint64(routes)).astype(np.int64))
+            return [(int(r), put(route == r), pack(n=pa.array(counts[route == r]))) for r in np.unique(route[route >= 0])]
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -261,16 +257,24 @@ def _phrases(suffixes: DataFrame, least: int, longest: int, chunk_rows: int) ->
     return counted.where(F.col("n") >= least)
 
 
-def _word_rows(words: DataFrame) -> DataFrame:
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, a, b in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                n, word = unpack(a)["n"].combine_chunks(), unpack(b)["word"].combine_chunks().cast(pa.string())
-                seen = pc.greater(n, 0)
-                word, n = word.filter(seen), n.filter(seen)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), word, n], names=["lang", "phrase", "n"])
+def _frequent_words(words: DataFrame, least: int) -> DataFrame:
+    """(lang, phrase, n) of words that reach ``least``; a row without phrase counts all words of its route."""
+
+    def add(key: tuple, group: pa.Table) -> pa.Table:
+        seen = pa.table(
+            {
+                "word": pa.chunked_array([c for p in group["a"].to_pylist() for c in unpack(p)["word"].chunks], pa.binary()),
+                "n": pa.chunked_array([c for p in group["b"].to_pylist() for c in unpack(p)["n"].chunks], pa.int32()).cast(pa.int64()),
+            }
+        )
+        every = pc.sum(seen["n"]).as_py()
+        seen = seen.group_by("word").aggregate([("n", "sum")])
+        often = seen.filter(pc.greater_equal(seen["n_sum"], least))
+        phrase = pa.chunked_array([*often["word"].cast(pa.string()).chunks, pa.array([None], pa.string())])
+        n = pa.chunked_array([*often["n_sum"].chunks, pa.array([every], pa.int64())])
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(n), pa.string()), "phrase": phrase, "n": n})
 
-    return words.select("lang", "a", "b").mapInArrow(spell, "lang string, phrase string, n bigint")
+    return words.select("lang", "route", "a", "b").groupBy("lang", "route").applyInArrow(add, "lang string, phrase string, n bigint")
 
 
 def collocations(
@@ -290,16 +294,16 @@ def collocations(
     size = source.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]
     made = written(_blocks(source, block_bytes, 1 + size // ROUTE_BYTES), "phrases-blocks")
 
-    words = written(_word_rows(made.where("kind = 'words'")).groupBy("lang", "phrase").agg(F.sum("n").alias("n")), "phrases-words")
+    words = written(_frequent_words(made.where("kind = 'words'"), least), "phrases-words")
     answers = _frequent_pairs(made.where("kind = 'pairs'").select("route", "block", "a", "b"), least)
     answers = answers.groupBy("block").agg(F.collect_list("keys").alias("keys"))  # at most the distinct pairs of one block
     texts = made.where("kind = 'text'").join(answers, "block", "left").select("lang", "a", "b", "keys")
     phrases = written(_phrases(_suffix_rows(texts, longest), least, longest, chunk_rows), "phrases-counts")
-    return rank_phrases(phrases, words, longest, top)
+    return rank_phrases(phrases, words, top)
 
 
-def rank_phrases(phrases: DataFrame, words: DataFrame, longest: int = LONGEST, top: int = TOP) -> DataFrame:
-    """The ranking from (lang, phrase, n) of all frequent phrases and of all words."""
+def rank_phrases(phrases: DataFrame, words: DataFrame, top: int = TOP) -> DataFrame:
+    """The ranking from (lang, phrase, n) of all frequent phrases and words; rows of ``words`` without phrase count all words."""
     own = F.split("phrase", " ", -1)
     parted = phrases.select("lang", "phrase", F.col("n").alias("a"), own.alias("w"), F.size(own).alias("m"))
 
@@ -314,10 +318,10 @@ def rank_phrases(phrases: DataFrame, words: DataFrame, longest: int = LONGEST, t
     part = lambda first, size: F.array_join(F.slice("w", first, size), " ")
     cuts = left.select("lang", "phrase", "a", "w", "m", F.explode(F.sequence(F.lit(1), F.col("m") - 1)).alias("k"))
     cuts = cuts.select("lang", "phrase", "a", "k", part(F.lit(1), F.col("k")).alias("head"), part(F.col("k") + 1, F.col("m") - F.col("k")).alias("tail"))
-    counts = phrases.unionByName(words)
+    counts = phrases.unionByName(words.where("phrase IS NOT NULL"))
     heads = counts.select("lang", F.col("phrase").alias("head"), F.col("n").alias("l"))
     tails = counts.select("lang", F.col("phrase").alias("tail"), F.col("n").alias("r"))
-    sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    sizes = words.where("phrase IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
     whole = lambda c: F.col(c).cast("decimal(19,0)")  # noqa: E731  products stay within 38 digits
     score = F.call_function("div", F.lit(1000).cast("decimal(4,0)") * F.col("a").cast("decimal(15,0)") * whole("n"), whole("l") * whole("r"))
     scored = cuts.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"]).join(sizes, "lang").withColumn("score", score)

@@ -222,7 +222,7 @@ def test_phrases_equal_brute_force(spark, block_bytes, chunk_rows):
 
 
 def test_scores_beyond_64_bits(spark):
-    words = spark.createDataFrame([("en", "a", 3 * 10**12), ("en", "b", 2 * 10**12), ("en", "c", 8 * 10**13)], "lang string, phrase string, n bigint")
+    words = spark.createDataFrame([("en", "a", 3 * 10**12), ("en", "b", 2 * 10**12), ("en", None, 8 * 10**13), ("en", None, 5 * 10**12)], "lang string, phrase string, n bigint")
     phrases = words.where("phrase = 'a'").select("lang", F.lit("a b").alias("phrase"), F.lit(10**12 + 7).cast("bigint").alias("n"))
     row = collocations.rank_phrases(phrases, words).first()
     n = 85 * 10**12
