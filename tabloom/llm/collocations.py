@@ -1,7 +1,7 @@
 """Phrase collocation mining: sorted suffix pointers, routed by their leading words.
 
 Texts are cut into blocks; a block codes its words once and counts its word pairs
-under 64-bit keys. Pair counts are dealt by key, added over all blocks, and every
+under short keys. Pair counts are dealt by key, added over all blocks, and every
 block gets back those of its own pairs that are frequent somewhere. Keys only ever
 merge pairs, so no frequent pair is missed. A suffix pointer is followed for as long
 as its next pair may be frequent, equal suffixes of a block are counted before they
@@ -32,6 +32,7 @@ BLOCK_BYTES = 8 << 20
 ROUTE_BYTES = 16 << 20
 #: Suffixes that are sorted at once.
 CHUNK_ROWS = 500_000
+READ_ROWS = 256
 
 BREAK, BLANK, WORD = 2, 1, 0
 #: What ends a piece, what parts words.
@@ -61,14 +62,15 @@ def word_keys(words: pa.BinaryArray, lang: str) -> np.ndarray:
 
 
 def pair_keys(codes: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """A key for each word and its follower; 0 where one of them is a break."""
+    """A key of 40 bits for each word and its follower; 0 where one of them is a break."""
     own = keys[codes]
     if len(own) < 2:
         return np.zeros(0, np.uint64)
     left, right = own[:-1], own[1:]
     mixed = (left ^ (right >> np.uint64(31)) ^ (right << np.uint64(33))) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    return np.where((left != 0) & (right != 0), mixed | np.uint64(1), np.uint64(0))
+    mixed = (mixed ^ (mixed >> np.uint64(29))) >> np.uint64(24) | np.uint64(1 << 39)
+    mixed[(left == 0) | (right == 0)] = 0
+    return mixed
 
 
 def _blocks(source: DataFrame, block_bytes: int, routes: int) -> DataFrame:
@@ -89,16 +91,16 @@ def _blocks(source: DataFrame, block_bytes: int, routes: int) -> DataFrame:
             counts = np.bincount(codes, minlength=len(words)).astype(np.int32)
             yield _rows("words", name, lang, dealt(keys, counts, lambda mine: pack(word=words.filter(pa.array(mine)))))
             pairs, n = np.unique(pair_keys(codes, keys), return_counts=True)
-            yield _rows("pairs", name, lang, dealt(pairs, n.astype(np.int32), lambda mine: pack(key=pa.array(pairs[mine]))))
+            yield _rows("pairs", name, lang, dealt(pairs, n.astype(np.int32), lambda mine: pack(step=pa.array(np.diff(pairs[mine], prepend=np.uint64(0))))))
 
         def dealt(keys: np.ndarray, counts: np.ndarray, put: Callable[[np.ndarray], bytes]) -> list[tuple[int, bytes, bytes]]:
             """Packets of what is counted, by route; key 0 stands for breaks."""
             route = np.where(keys == 0, -1, (keys % np.uint64(routes)).astype(np.int64))
             return [(int(r), put(route == r), pack(n=pa.array(counts[route == r]))) for r in np.unique(route[route >= 0])]
 
-        for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                blob = text.encode()
+        slices = (batch.slice(at, READ_ROWS) for batch in batches for at in range(0, batch.num_rows, READ_ROWS))
+        for part in slices:
+            for lang, blob in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
                 held.setdefault(lang, []).append(blob)
                 sizes[lang] = sizes.get(lang, 0) + len(blob)
                 if sizes[lang] >= block_bytes:
@@ -126,7 +128,7 @@ def _frequent_pairs(pairs: DataFrame, least: int) -> DataFrame:
 
     def add(group: pa.Table) -> pa.Table:
         blocks = group["block"].to_pylist()
-        keys = [unpack(p)["key"].to_numpy() for p in group["a"].to_pylist()]
+        keys = [np.cumsum(unpack(p)["step"].to_numpy()) for p in group["a"].to_pylist()]
         counts = [unpack(p)["n"].to_numpy() for p in group["b"].to_pylist()]
         known, place = np.unique(np.concatenate(keys), return_inverse=True)
         often = np.bincount(place, np.concatenate(counts), len(known)) >= least
