@@ -2,12 +2,14 @@
 
 Texts are cut into blocks; a block codes its words once and counts its word pairs
 under short keys. Pair counts are dealt by key, added over all blocks, and every
-block gets back those of its own pairs that are frequent somewhere. Keys only ever
-merge pairs, so no frequent pair is missed. A suffix pointer is followed for as long
-as its next pair may be frequent, equal suffixes of a block are counted before they
-move, and suffixes are dealt by their three leading words. There a multikey three-way
-quicksort splits them word by word: the size of an equal partition is the count of its
-phrase, and partitions below the limit are abandoned.
+block gets back those of its own pairs that are frequent somewhere; the text shrinks
+to runs of such pairs, and the same is done with its runs of three words. Keys only
+ever merge what they count, so nothing frequent is missed. Suffix pointers end where
+the next three words are not frequent; equal suffixes of a task are counted before
+they move, and suffixes are dealt into ranges of their leading words. There a multikey
+three-way quicksort splits them word by word: the size of an equal partition is the
+count of its phrase, and partitions below the limit are abandoned. Phrases at the ends
+of a range, which may go on in the next, are kept and added up.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 NO_LANG = "und"
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Pair keys of one route: bytes of text that a route stands for.
 ROUTE_BYTES = 16 << 20
 #: Suffixes that are sorted at once.
@@ -89,14 +91,8 @@ def _blocks(source: DataFrame, block_bytes: int, routes: int) -> DataFrame:
             keys = word_keys(words, lang)
             yield _rows("text", name, lang, [(-1, pack(code=pa.array(codes)), pack(word=words))])
             counts = np.bincount(codes, minlength=len(words)).astype(np.int32)
-            yield _rows("words", name, lang, dealt(keys, counts, lambda mine: pack(word=words.filter(pa.array(mine)))))
-            pairs, n = np.unique(pair_keys(codes, keys), return_counts=True)
-            yield _rows("pairs", name, lang, dealt(pairs, n.astype(np.int32), lambda mine: pack(step=pa.array(np.diff(pairs[mine], prepend=np.uint64(0))))))
-
-        def dealt(keys: np.ndarray, counts: np.ndarray, put: Callable[[np.ndarray], bytes]) -> list[tuple[int, bytes, bytes]]:
-            """Packets of what is counted, by route; key 0 stands for breaks."""
-            route = np.where(keys == 0, -1, (keys % np.uint64(routes)).astype(np.int64))
-            return [(int(r), put(route == r), pack(n=pa.array(counts[route == r]))) for r in np.unique(route[route >= 0])]
+            yield _rows("words", name, lang, _dealt(keys, counts, routes, lambda mine: pack(word=words.filter(pa.array(mine)))))
+            yield _rows("keys", name, lang, _key_packets(pair_keys(codes, keys), routes))
 
         slices = (batch.slice(at, READ_ROWS) for batch in batches for at in range(0, batch.num_rows, READ_ROWS))
         for part in slices:
@@ -113,6 +109,18 @@ def _blocks(source: DataFrame, block_bytes: int, routes: int) -> DataFrame:
     return source.mapInArrow(build, "kind string, block string, lang string, route int, a binary, b binary")
 
 
+def _dealt(keys: np.ndarray, counts: np.ndarray, routes: int, put: Callable[[np.ndarray], bytes]) -> list[tuple[int, bytes, bytes]]:
+    """Packets of what is counted, by route; key 0 stands for breaks."""
+    route = np.where(keys == 0, -1, (keys % np.uint64(routes)).astype(np.int64))
+    return [(int(r), put(route == r), pack(n=pa.array(counts[route == r]))) for r in np.unique(route[route >= 0])]
+
+
+def _key_packets(keys: np.ndarray, routes: int) -> list[tuple[int, bytes, bytes]]:
+    """Keys with their counts; sorted keys are packed as differences."""
+    known, n = np.unique(keys, return_counts=True)
+    return _dealt(known, n.astype(np.int32), routes, lambda mine: pack(step=pa.array(np.diff(known[mine], prepend=np.uint64(0)))))
+
+
 def _rows(kind: str, block: str, lang: str, packets: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
     route, a, b = zip(*packets) if packets else ((), (), ())
     n = len(packets)
@@ -123,8 +131,8 @@ def _rows(kind: str, block: str, lang: str, packets: list[tuple[int, bytes, byte
     )
 
 
-def _frequent_pairs(pairs: DataFrame, least: int) -> DataFrame:
-    """(block, keys): the pairs of each block that are frequent over all blocks of their route."""
+def _with_frequent(made: DataFrame, least: int) -> DataFrame:
+    """The texts of ``made`` (block, lang, a, b) with those of their keys that are frequent over all blocks."""
 
     def add(group: pa.Table) -> pa.Table:
         blocks = group["block"].to_pylist()
@@ -138,22 +146,68 @@ def _frequent_pairs(pairs: DataFrame, least: int) -> DataFrame:
             at += len(own)
         return pa.table({"block": pa.array(blocks, pa.string()), "keys": pa.array(answers, pa.binary())})
 
-    return pairs.groupBy("route").applyInArrow(add, "block string, keys binary")
+    packets = made.where("kind = 'keys'").select("route", "block", "a", "b")
+    answers = packets.groupBy("route").applyInArrow(add, "block string, keys binary")
+    answers = answers.groupBy("block").agg(F.collect_list("keys").alias("keys"))  # at most the distinct keys of one block
+    return made.where("kind = 'text'").join(answers, "block", "left").select("block", "lang", "a", "b", "keys")
 
 
-def suffixes_of(codes: np.ndarray, pairs: np.ndarray, frequent: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct suffixes as rows of codes (-1 behind their end) with their counts."""
-    at = np.minimum(np.searchsorted(frequent, pairs), max(len(frequent) - 1, 0))
-    live = frequent[at] == pairs if len(frequent) else np.zeros(len(pairs), bool)
-    first = np.flatnonzero(live)
-    if not len(first):
-        return np.zeros((0, longest), np.int32), np.zeros(0, np.int64)
+def _is_in(keys: np.ndarray, answers: list[bytes] | None) -> np.ndarray:
+    frequent = np.sort(np.concatenate([np.frombuffer(x, np.uint64) for x in answers])) if answers else np.zeros(0, np.uint64)
+    if not len(frequent):
+        return np.zeros(len(keys), bool)
+    return frequent[np.minimum(np.searchsorted(frequent, keys), len(frequent) - 1)] == keys
+
+
+def triple_keys(pairs: np.ndarray) -> np.ndarray:
+    """A key for each word and its two followers, from the keys of their pairs; 0 where a break is among them."""
+    left, right = pairs[:-1], pairs[1:]
+    mixed = (left * np.uint64(0x9E3779B97F4A7C15) ^ right) * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed = (mixed >> np.uint64(24)) | np.uint64(1 << 39)
+    mixed[(left == 0) | (right == 0)] = 0
+    return mixed
+
+
+def runs_of(codes: np.ndarray, live: np.ndarray, stop: int) -> np.ndarray:
+    """The words of live pairs, with a break between neighbours that are no live pair."""
+    beside = np.append(live, False) | np.concatenate([[False], live])
+    kept = np.flatnonzero(beside)
+    gaps = np.flatnonzero(~np.append(live, False)[kept])
+    return np.insert(codes[kept], gaps + 1, stop)
+
+
+def _shrunk(texts: DataFrame, routes: int) -> DataFrame:
+    """The blocks again, cut down to runs of frequent pairs, with the counts of their runs of three words."""
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                block, lang, a, b, answers = (batch.column(k)[at].as_py() for k in range(5))
+                codes, words = unpack(a)["code"].to_numpy(), unpack(b)["word"].combine_chunks()
+                words = pa.concat_arrays([words, pa.array([b"."], pa.binary())])
+                keys = word_keys(words, lang)
+                codes = runs_of(codes, _is_in(pair_keys(codes, keys), answers), len(words) - 1)
+                used, codes = np.unique(codes, return_inverse=True)
+                yield _rows("text", block, lang, [(-1, pack(code=pa.array(codes.astype(np.int32))), pack(word=words.take(pa.array(used))))])
+                yield _rows("keys", block, lang, _key_packets(triple_keys(pair_keys(codes, keys[used])), routes))
+
+    return texts.mapInArrow(shrink, "kind string, block string, lang string, route int, a binary, b binary")
+
+
+def suffixes_of(codes: np.ndarray, pairs: np.ndarray, live: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct suffixes as rows of codes (-1 behind their end) with their counts.
+
+    A suffix starts with a pair and goes on while the three words that end it are ``live``.
+    """
+    first = np.flatnonzero(pairs)
     table = np.full((len(first), longest), -1, np.int32)
+    if not len(first):
+        return table, np.zeros(0, np.int64)
     table[:, 0], table[:, 1] = codes[first], codes[first + 1]
     goes_on = np.ones(len(first), bool)
     padded = np.append(live, np.zeros(longest, bool))
     for k in range(2, longest):
-        goes_on = goes_on & padded[first + k - 1]
+        goes_on = goes_on & padded[first + k - 2]
         table[goes_on, k] = codes[first[goes_on] + k]
     order = np.lexsort(table.T[::-1])
     table = table[order]
@@ -161,17 +215,16 @@ def suffixes_of(codes: np.ndarray, pairs: np.ndarray, frequent: np.ndarray, long
     return table[edge], np.diff(np.append(edge, len(table)))
 
 
-def equal_partitions(table: np.ndarray, weight: np.ndarray, least: int, free: int, emit: Callable[[tuple[int, ...], int], None]) -> None:
+def equal_partitions(table: np.ndarray, weight: np.ndarray, least: int, emit: Callable[[tuple[int, ...], int], None]) -> None:
     """Multikey three-way quicksort of suffixes; ``emit(phrase, count)`` for every equal partition of two words or more.
 
     A partition is split by a pivot word at its depth. The equal part goes on to the
-    next word; a part that weighs less than ``least`` is abandoned, but for partitions
-    of up to ``free`` words, whose other suffixes may lie elsewhere.
+    next word; a part that weighs less than ``least`` is abandoned.
     """
     stack = [(np.arange(len(table)), 0, ())]
     while stack:
         rows, depth, path = stack.pop()
-        if not len(rows) or (depth > free and weight[rows].sum() < least):
+        if not len(rows) or weight[rows].sum() < least:
             continue
         word = table[rows, depth]
         pivot = np.partition(word, len(word) // 2)[len(word) // 2]
@@ -184,7 +237,7 @@ def equal_partitions(table: np.ndarray, weight: np.ndarray, least: int, free: in
             continue
         equal = rows[word == pivot]
         total, phrase = int(weight[equal].sum()), (*path, int(pivot))
-        if total < least and len(phrase) > free:
+        if total < least:
             continue
         if len(phrase) > 1:
             emit(phrase, total)
@@ -192,21 +245,32 @@ def equal_partitions(table: np.ndarray, weight: np.ndarray, least: int, free: in
             stack.append((equal, depth + 1, phrase))
 
 
-def _suffix_rows(texts: DataFrame, longest: int) -> DataFrame:
-    """(lang, w1.., n): the suffixes of every block that may hold frequent phrases, counted in the block."""
+def _suffix_rows(texts: DataFrame, longest: int, chunk_rows: int) -> DataFrame:
+    """(lang, w1.., n): the suffixes of all blocks that may hold frequent phrases, counted in their task."""
+    names = ["lang", *_w(longest)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+
+        def added() -> pa.Table:
+            counted = pa.concat_tables(held).group_by(names).aggregate([("n", "sum")])
+            return counted.rename_columns([*names, "n"])
+
         for batch in batches:
-            for lang, a, b, answers in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            for at in range(batch.num_rows):
+                _, lang, a, b, answers = (batch.column(k)[at].as_py() for k in range(5))
                 codes, words = unpack(a)["code"].to_numpy(), unpack(b)["word"].combine_chunks()
-                parts = [np.frombuffer(x, np.uint64) for x in answers or []]
-                frequent = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-                table, n = suffixes_of(codes, pair_keys(codes, word_keys(words, lang)), frequent, longest)
+                pairs = pair_keys(codes, word_keys(words, lang))
+                table, n = suffixes_of(codes, pairs, _is_in(triple_keys(pairs), answers), longest)
                 spelt = words.cast(pa.string())
                 columns = [spelt.take(pa.array(c, mask=c < 0)) for c in table.T]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n), pa.string()), *columns, pa.array(n, pa.int64())], names=["lang", *_w(longest), "n"]
-                )
+                held.append(pa.table([pa.array([lang] * len(n), pa.string()), *columns, pa.array(n, pa.int64())], names=[*names, "n"]))
+                if sum(map(len, held)) >= chunk_rows:
+                    held = [added()]
+                    if 2 * len(held[0]) >= chunk_rows:
+                        yield from held.pop().to_batches(1 << 14)
+        if held:
+            yield from added().to_batches(1 << 14)
 
     fields = ", ".join(f"{w} string" for w in _w(longest))
     return texts.mapInArrow(cut, f"lang string, {fields}, n bigint")
@@ -217,9 +281,8 @@ def _w(longest: int) -> list[str]:
 
 
 def _phrases(suffixes: DataFrame, least: int, longest: int, chunk_rows: int) -> DataFrame:
-    """(lang, phrase, n) of all phrases that reach ``least``, from suffixes dealt by their leading three words."""
+    """(lang, phrase, n) of all phrases that reach ``least``, from suffixes dealt into ranges of their words."""
     names = ["lang", *_w(longest)]
-    leading = names[: min(4, len(names))]
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
@@ -242,7 +305,7 @@ def _phrases(suffixes: DataFrame, least: int, longest: int, chunk_rows: int) ->
             table = np.stack([pc.fill_null(pc.index_in(part[w], known), -1).to_numpy().astype(np.int32) for w in _w(longest)], axis=1)
             own = weight[mine.to_numpy()]
             spelt, found = known.to_pylist(), {}
-            equal_partitions(table, own, least, 2, found.__setitem__)
+            equal_partitions(table, own, least, found.__setitem__)
             for row in (table[0], table[-1]):  # phrases that may go on in another chunk
                 same = np.ones(len(table), bool)
                 for k, word in enumerate(row[row >= 0]):
@@ -254,7 +317,8 @@ def _phrases(suffixes: DataFrame, least: int, longest: int, chunk_rows: int) ->
                 names=["lang", "phrase", "n"],
             )
 
-    dealt = suffixes.groupBy(*names).agg(F.sum("n").alias("n")).repartition(*leading).sortWithinPartitions(*names)
+    tasks = int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = suffixes.repartitionByRange(tasks, *names).sortWithinPartitions(*names)
     counted = dealt.mapInArrow(sort, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return counted.where(F.col("n") >= least)
 
@@ -294,13 +358,13 @@ def collocations(
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANG)) if lang_col else F.lit(NO_LANG)
     source = docs.select(lang.alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = source.agg(F.coalesce(F.sum(F.octet_length("text").cast("bigint")), F.lit(0))).first()[0]
-    made = written(_blocks(source, block_bytes, 1 + size // ROUTE_BYTES), "phrases-blocks")
+    routes = 1 + size // ROUTE_BYTES
+    made = written(_blocks(source, block_bytes, routes), "phrases-blocks")
 
     words = written(_frequent_words(made.where("kind = 'words'"), least), "phrases-words")
-    answers = _frequent_pairs(made.where("kind = 'pairs'").select("route", "block", "a", "b"), least)
-    answers = answers.groupBy("block").agg(F.collect_list("keys").alias("keys"))  # at most the distinct pairs of one block
-    texts = made.where("kind = 'text'").join(answers, "block", "left").select("lang", "a", "b", "keys")
-    phrases = written(_phrases(_suffix_rows(texts, longest), least, longest, chunk_rows), "phrases-counts")
+    runs = written(_shrunk(_with_frequent(made, least), routes), "phrases-runs")
+    suffixes = _suffix_rows(_with_frequent(runs, least), longest, chunk_rows)
+    phrases = written(_phrases(suffixes, least, longest, chunk_rows), "phrases-counts")
     return rank_phrases(phrases, words, top)
 
 
