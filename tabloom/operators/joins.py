@@ -6,6 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tabloom.session import estimated_bytes
+
+#: Bytes of a side that may be sent to every task on request.
+BROADCAST_LIMIT = 256 << 20
+SENT_TO_ALL = ("broadcast", "nested_loop")
 STRATEGIES = {
     "broadcast": "broadcast",
     "hash": "shuffle_hash",
@@ -73,8 +78,16 @@ def join_many_to_one(many: DataFrame, one: DataFrame, keys: Sequence[str], how:
     return many.join(require_unique(one, keys), list(keys), how)
 
 
-def join_with(left: DataFrame, right: DataFrame, on, strategy: str, how: str = "inner") -> DataFrame:
-    """Join by a named strategy; without a name, adaptive execution decides."""
+def join_with(left: DataFrame, right: DataFrame, on, strategy: str, how: str = "inner", broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Join by a named strategy; without a name, adaptive execution decides.
+
+    Strategies that send the right side to every task are refused when the optimizer
+    estimates it above ``broadcast_limit`` bytes; an unknown size is above any limit.
+    """
+    if strategy in SENT_TO_ALL:
+        size = estimated_bytes(right)
+        if size > broadcast_limit:
+            raise ValueError(f"{strategy} would send about {size} bytes to every task, the limit is {broadcast_limit}")
     return left.join(right.hint(STRATEGIES[strategy]), on, how)
 
 

@@ -2,35 +2,32 @@
 
 A window function puts a whole window partition into one task: all rows when
 there is no PARTITION BY, and the whole of a hot key when there is one. The
-operators here cut the rows into ranges of (partition keys, order keys)
-instead, so that the ranges are even no matter how the keys are distributed,
-run the plain window inside each range, and carry counts, sums and last values
-from range to range through a table with one row per range.
-
-The order keys must make every row unique; ties would be numbered arbitrarily.
-NULL is the lowest value, as in an ordinary ORDER BY. The input is read several
-times (count, sample, ranges, rows) and must give the same rows each time; an
-expensive input is better written first (``tabloom.session.cut_lineage``).
+operators here deal the rows into ranges of (partition keys, order keys), so that
+the ranges are even no matter how the keys are distributed, and write that copy
+once with the number of the range and the place in it. Everything else is a scan of
+two levels over the copy: calculations inside each range, and counts, sums and last
+values carried from range to range through a table with one row per range.
+
+The order keys must make every row unique; ties would be numbered arbitrarily, and
+rows equal in all keys stand in one range. NULL is the lowest value, as in an
+ordinary ORDER BY. Dealing samples the input before it moves it, so the input is
+evaluated twice at most and must give the same rows each time.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from tabloom.session import cut_lineage
+from tabloom.session import leaf_bytes, stored
 
-ROWS_PER_RANGE = 250_000
-FEWEST_RANGES = 8
-MOST_RANGES = 10_000
-SAMPLES_PER_RANGE = 20
-DIRECT_PAGE_ROWS = 10_000
-
-RANGE = "_range"
+#: Stored bytes of input for which one more range is made beyond the session's shuffle partitions.
+RANGE_BYTES = 128 << 20
+RANGE, PLACE = "_range", "_place"
+#: monotonically_increasing_id() holds the number of the partition above these bits.
+PLACE_BITS = 33
 
 
 @dataclass(frozen=True)
@@ -72,116 +69,44 @@ def _reaches(bound: Column, keys: Sequence[OrderKey]) -> Column:
     return bound.isNotNull() & result
 
 
-def _naive_seconds(column: Column) -> Column:
-    """Whole seconds of a naive timestamp, whatever the zone of the session."""
-    days = F.unix_date(F.to_date(column)).cast("bigint")
-    return days * 86400 + F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
-
-
-# Columns of these types keep their order as doubles, at least weakly.
-_AS_DOUBLE = {
-    "date": lambda c: F.unix_date(c).cast("double"),
-    "timestamp": lambda c: F.unix_micros(c).cast("double"),
-    "timestamp_ntz": lambda c: _naive_seconds(c).cast("double"),
-}
-_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
-
-
-def _leading_number(key: OrderKey, column_type: str) -> Column | None:
-    """The leading key as a double that rises with the order; None for texts and others."""
-    if column_type in _AS_DOUBLE:
-        number = _AS_DOUBLE[column_type](F.col(key.name))
-    elif column_type.startswith(_NUMBERS):
-        number = F.col(key.name).cast("double")
-    else:
-        return None
-    # adding 0.0 turns -0.0, which the lookup would put below 0.0, into 0.0
-    return (-number if key.descending else number) + F.lit(0.0)
+def range_count(df: DataFrame) -> int:
+    """The session's shuffle partitions, or more where the stored input asks for more."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-leaf_bytes(df) // RANGE_BYTES))
 
 
-# Bounds travel as JSON, which by default keeps timestamps to the millisecond only.
-_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+def _placed(df: DataFrame) -> DataFrame:
+    """Add the number of the partition and the place in it."""
+    at = df.select("*", F.monotonically_increasing_id().alias("_at"))
+    return at.select(
+        *df.columns,
+        F.shiftright("_at", PLACE_BITS).cast("int").alias(RANGE),
+        F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias(PLACE),
+    )
 
 
-def range_bounds(df: DataFrame, keys: Sequence[OrderKey], ranges: int, rows: int) -> list[tuple[str, float | None]]:
-    """At most ``ranges - 1`` bounds from a sample of fixed expected size: JSON and leading number.
+def in_ranges(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """A written copy of ``df`` in even ranges of (partition keys, order keys): adds the range and the place in it.
 
-    The sample is chosen by a hash of the keys, so it does not depend on how the
-    rows happen to be partitioned.
+    Ranges rise with the order; the last ones may be empty.
     """
-    names = [k.name for k in keys]
-    number = _leading_number(keys[0], dict(df.dtypes)[keys[0].name])
-    share = min(1.0, ranges * SAMPLES_PER_RANGE / max(rows, 1))
-    wheel = 1 << 40
-    sample = df.select(*names)
-    if share < 1.0:
-        sample = sample.where(F.pmod(F.xxhash64(*names), F.lit(wheel)) < int(share * wheel))
-    picked = [
-        (r.bound, r.number)
-        for r in sample.orderBy(*[k.sort for k in keys])
-        .select(
-            F.to_json(F.struct(*names), {"ignoreNullFields": "true", **_EXACT}).alias("bound"),
-            (F.lit(None).cast("double") if number is None else number).alias("number"),
-        )
-        .collect()
-    ]
-    return [picked[len(picked) * i // ranges] for i in range(1, ranges)] if picked else []
-
-
-def _search(bounds: list[str], keys: Sequence[OrderKey], schema: str) -> Column:
-    """How many bounds a row has reached, by binary search over all keys."""
-    table = F.from_json(F.lit("[" + ",".join(bounds) + "]"), f"array<{schema}>", _EXACT)
-    steps = [1 << i for i in reversed(range(len(bounds).bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]),
-        F.lit(0),
-        lambda at, step: F.when(_reaches(F.get(table, at + step - 1), keys), at + step).otherwise(at),
-    )
+    keys = [OrderKey(p) for p in partition_by] + _within(order_by, partition_by)
+    sorts = [k.sort for k in keys]
+    return stored(_placed(df.repartitionByRange(ranges or range_count(df), *sorts).sortWithinPartitions(*sorts)), "ranges")
 
 
-def with_range(
-    df: DataFrame,
-    order_by: Sequence[str],
-    partition_by: Sequence[str] = (),
-    ranges: int | None = None,
-    rows: int | None = None,
-) -> DataFrame:
-    """Add the number of the range each row falls into, increasing with the order.
+def _offsets(copy: DataFrame) -> DataFrame:
+    """(range, _before, _all): rows before each range, and rows altogether; one row per range."""
+    line = Window.orderBy(RANGE)
+    everything = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = copy.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.select(RANGE, (F.sum("_n").over(so_far) - F.col("_n")).alias("_before"), F.sum("_n").over(everything).alias("_all"))
 
-    A leading number or date is looked up among the bounds first, which settles
-    all rows but those equal to the leading value of a bound; only these compare
-    all their keys.
-    """
-    keys = [OrderKey(p) for p in partition_by] + _within(order_by, partition_by)
-    if rows is None:
-        rows = df.count()
-    if ranges is None:
-        ranges = max(FEWEST_RANGES, min(MOST_RANGES, -(-rows // ROWS_PER_RANGE)))
-    bounds = range_bounds(df, keys, ranges, rows)
-    if not bounds:
-        return df.withColumn(RANGE, F.lit(0))
-    schema = df.select(*[k.name for k in keys]).schema.simpleString()
-    found = _search([b for b, _ in bounds], keys, schema)
-    number = _leading_number(keys[0], dict(df.dtypes)[keys[0].name])
-    numbers = sorted({n for _, n in bounds if n is not None and math.isfinite(n)})
-    if number is None or not numbers:
-        return df.withColumn(RANGE, found)
-
-    # bounds passed once a row is beyond each leading value; NULL, NaN and infinity compare all keys
-    first = sum(n is None or n == -math.inf for _, n in bounds) if not keys[0].descending else sum(
-        n is not None and (n == -math.inf or math.isnan(n)) for _, n in bounds
-    )
-    passed = [first] + [first + sum(n is not None and -math.inf < n <= edge for _, n in bounds) for edge in numbers]
-    splits = [-math.inf, *numbers, math.inf]
-    placed = Bucketizer(splits=splits, inputCol="_number", outputCol="_cell", handleInvalid="keep").transform(
-        df.withColumn("_number", number)
-    )
-    cell = F.col("_cell").cast("int")
-    edge = F.get(F.array(*[F.lit(x) for x in splits]), cell)
-    finite = F.abs("_number") < F.lit(math.inf)
-    settled = F.coalesce(finite & (F.col("_number") != edge), F.lit(False))
-    direct = F.get(F.array(*[F.lit(n) for n in passed]), cell)
-    return placed.withColumn(RANGE, F.when(settled, direct).otherwise(found)).drop("_number", "_cell")
+
+def _numbered(copy: DataFrame) -> DataFrame:
+    """Replace range and place by ``_at``, the place among all rows from 0, and add ``_all``."""
+    joined = copy.join(F.broadcast(_offsets(copy)), RANGE)  # one row per range
+    return joined.withColumn("_at", F.col(PLACE) + F.col("_before")).drop(RANGE, PLACE, "_before")
 
 
 def running(
@@ -191,87 +116,115 @@ def running(
     row_number: str | None = None,
     totals: Mapping[str, str] | None = None,
     previous: Mapping[str, str] | None = None,
+    firsts: Mapping[str, str] | None = None,
     ranges: int | None = None,
-    rows: int | None = None,
 ) -> DataFrame:
-    """Row number, running totals and previous values in one ordered pass.
+    """Row number, running totals, previous and first values of a group in one ordered pass.
 
-    ``totals`` and ``previous`` map a new column to the column it is taken from.
+    ``totals``, ``previous`` and ``firsts`` map a new column to the column it is taken from.
     """
-    totals, previous = dict(totals or {}), dict(previous or {})
-    keys = _within(order_by, partition_by)
-    if not keys:
+    totals, previous, firsts = dict(totals or {}), dict(previous or {}), dict(firsts or {})
+    if not _within(order_by, partition_by):
         raise ValueError("the order needs a column that is not in partition_by")
-    if previous and len({k.descending for k in keys}) > 1:
-        raise ValueError("previous values need all order keys in one direction")
-    spread = with_range(df, order_by, partition_by, ranges, rows)
+    copy = in_ranges(df, order_by, partition_by, ranges)
+    if not (partition_by or totals or previous or firsts):
+        number = [(F.col("_at") + 1).alias(row_number)] if row_number else []
+        return _numbered(copy).select(*df.columns, *number)
 
-    here = Window.partitionBy(RANGE, *partition_by).orderBy(*[k.sort for k in keys])
+    carry = _carried(copy, partition_by, totals, previous, firsts)
+    here = Window.partitionBy(RANGE, *partition_by).orderBy(PLACE)
     so_far = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    place = F.struct(*[F.col(k.name) for k in keys])
-    last_of = F.min_by if previous and keys[0].descending else F.max_by
-    part = F.struct(*partition_by) if partition_by else F.lit(0)
-
-    measures = [F.count(F.lit(1)).alias("n")]
-    measures += [F.sum(c).alias(f"s_{i}") for i, c in enumerate(totals.values())]
-    measures += [last_of(F.col(c), place).alias(f"p_{i}") for i, c in enumerate(previous.values())]
-    measure_names = ["n"] + [f"s_{i}" for i in range(len(totals))] + [f"p_{i}" for i in range(len(previous))]
-
-    # One row per range: its first and last group, and the measures of the last
-    # group, which is the only one that can go on in the next range.
-    tails = (
-        spread.groupBy(RANGE, *partition_by)
-        .agg(*measures)
-        .groupBy(RANGE)
-        .agg(
-            F.min(part).alias("first_part"),
-            F.max(part).alias("last_part"),
-            F.max_by(F.struct(*measure_names), part).alias("tail"),
-        )
-    )
-    line = Window.orderBy(RANGE)
-    same_group = Window.partitionBy("last_part").orderBy(RANGE).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    summed = ["n"] + [f"s_{i}" for i in range(len(totals))]
-    carry = tails.select(
-        RANGE,
-        "first_part",
-        "last_part",
-        *[F.sum(f"tail.{m}").over(same_group).alias(m) for m in summed],
-        *[F.col(f"tail.p_{i}").alias(f"p_{i}") for i in range(len(previous))],
-    ).select(
-        F.col(RANGE),
-        F.col("first_part").alias("_open_part"),
-        F.lag("last_part").over(line).eqNullSafe(F.col("first_part")).alias("_open"),
-        *[F.lag(m).over(line).alias(f"_{m}") for m in measure_names],
-    )
-
-    result = spread.withColumn("_rn", F.row_number().over(here).cast("bigint"))
-    for i, c in enumerate(totals.values()):
-        result = result.withColumn(f"_local_s_{i}", F.sum(c).over(so_far))
-    for i, c in enumerate(previous.values()):
-        result = result.withColumn(f"_local_p_{i}", F.lag(c).over(here))
+    local = [F.row_number().over(here).cast("bigint").alias("_rn")]
+    local += [F.sum(c).over(so_far).alias(f"_local_s_{i}") for i, c in enumerate(totals.values())]
+    local += [F.lag(c).over(here).alias(f"_local_p_{i}") for i, c in enumerate(previous.values())]
+    local += [F.first(c).over(so_far).alias(f"_local_f_{i}") for i, c in enumerate(firsts.values())]
+    result = copy.select("*", *local).join(F.broadcast(carry), RANGE)  # one row per range
+    goes_on = F.col("_open") & _part(partition_by).eqNullSafe(F.col("_open_part"))
 
-    # carry has one row per range: MOST_RANGES rows at the very most
-    result = result.join(F.broadcast(carry), RANGE, "left")
-    goes_on = F.col("_open") & part.eqNullSafe(F.col("_open_part"))
     out = [F.col(c) for c in df.columns]
     if row_number:
         out.append((F.col("_rn") + F.when(goes_on, F.col("_n")).otherwise(0)).alias(row_number))
     for i, name in enumerate(totals):
-        local, brought = F.col(f"_local_s_{i}"), F.when(goes_on, F.col(f"_s_{i}"))
-        out.append(F.coalesce(local + brought, local, brought).alias(name))
+        inside, brought = F.col(f"_local_s_{i}"), F.when(goes_on, F.col(f"_s_{i}"))
+        out.append(F.coalesce(inside + brought, inside, brought).alias(name))
     for i, name in enumerate(previous):
-        first_row = F.col("_rn") == 1
-        out.append(
-            F.when(first_row, F.when(goes_on, F.col(f"_p_{i}")))
-            .otherwise(F.col(f"_local_p_{i}"))
-            .alias(name)
-        )
+        brought = F.when(goes_on, F.col(f"_p_{i}"))
+        out.append(F.when(F.col("_rn") == 1, brought).otherwise(F.col(f"_local_p_{i}")).alias(name))
+    for i, name in enumerate(firsts):
+        out.append(F.when(goes_on, F.col(f"_f_{i}")).otherwise(F.col(f"_local_f_{i}")).alias(name))
     return result.select(*out)
 
 
+def _part(partition_by: Sequence[str]) -> Column:
+    return F.struct(*partition_by) if partition_by else F.lit(0)
+
+
+def _carried(copy: DataFrame, partition_by: Sequence[str], totals: Mapping[str, str], previous: Mapping[str, str], firsts: Mapping[str, str]) -> DataFrame:
+    """One row per range: its first group, whether that began in an earlier range, and what it brings from there.
+
+    Only the last group of a range can go on in the next one, so only its measures
+    are taken; they are aggregated in the tasks that read the copy.
+    """
+    part = _part(partition_by)
+    last = [F.max_by(F.col(c), PLACE).alias(f"p_{i}") for i, c in enumerate(previous.values())]
+    sums = [F.count(F.lit(1)).alias("n")] + [F.sum(c).alias(f"s_{i}") for i, c in enumerate(totals.values())]
+    sums += [F.min_by(F.col(c), PLACE).alias(f"f_{i}") for i, c in enumerate(firsts.values())]
+    edges = [F.min_by(part, PLACE).alias("first_part"), F.max_by(part, PLACE).alias("last_part")]
+    if partition_by:
+        ends = copy.groupBy(RANGE).agg(*edges, *last)
+        tail = copy.join(F.broadcast(ends.select(RANGE, "last_part")), RANGE).where(part.eqNullSafe(F.col("last_part")))
+        ends = ends.join(F.broadcast(tail.groupBy(RANGE).agg(*sums)), RANGE)
+    else:
+        ends = copy.groupBy(RANGE).agg(*edges, *last, *sums)
+    line = Window.orderBy(RANGE)
+    group = Window.partitionBy("last_part").orderBy(RANGE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = ["n"] + [f"s_{i}" for i in range(len(totals))]
+    upto = ends.select(
+        RANGE, "first_part", "last_part",
+        *[F.sum(m).over(group).alias(m) for m in added],
+        *[F.first(f"f_{i}").over(group).alias(f"f_{i}") for i in range(len(firsts))],
+        *[f"p_{i}" for i in range(len(previous))],
+    )
+    brought = added + [f"f_{i}" for i in range(len(firsts))] + [f"p_{i}" for i in range(len(previous))]
+    return upto.select(
+        RANGE,
+        F.col("first_part").alias("_open_part"),
+        F.coalesce(F.lag("last_part").over(line).eqNullSafe(F.col("first_part")), F.lit(False)).alias("_open"),
+        *[F.lag(m).over(line).alias(f"_{m}") for m in brought],
+    )
+
+
+def framed(
+    df: DataFrame,
+    order_by: Sequence[str],
+    columns: Mapping[str, Callable[[WindowSpec], Column]],
+    partition_by: Sequence[str] = (),
+    before: int = 0,
+    after: int = 0,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Window columns that look at most ``before`` rows back and ``after`` rows ahead.
+
+    LAG and LEAD with offset and default, FIRST and LAST of a moving frame, moving
+    sums: ``columns`` builds each from the ordered window it is given. The rows are
+    dealt into blocks of equal size; every block gets the last ``before`` rows of the
+    block before it and the first ``after`` rows of the one behind it, so a group may
+    lie in any number of blocks.
+    """
+    if not _within(order_by, partition_by):
+        raise ValueError("the order needs a column that is not in partition_by")
+    ranges = ranges or range_count(df)
+    rows = _numbered(in_ranges(df, order_by, partition_by, ranges))
+    size = F.greatest(F.lit(before + after + 1).cast("bigint"), F.ceil(F.col("_all") / ranges))
+    block, place = F.call_function("div", F.col("_at"), size), F.col("_at") % size
+    halo = [F.when(place >= size - before, block + 1)] if before else []
+    halo += [F.when((place < after) & (block > 0), block - 1)] if after else []
+    spread = rows.withColumn("_own", block).withColumn("_block", F.explode(F.array_compact(F.array(block, *halo))))
+    window = Window.partitionBy("_block", *partition_by).orderBy("_at")
+    made = spread.select("*", *[build(window).alias(name) for name, build in columns.items()])
+    return made.where(F.col("_block") == F.col("_own")).select(*df.columns, *columns)
+
+
 def number_rows(
     df: DataFrame,
     order_by: Sequence[str],
@@ -294,12 +247,11 @@ def rank_rows(
     """RANK and DENSE_RANK: ties are allowed and share their rank.
 
     The distinct keys are ranked, not the rows, so a value held by many rows is
-    counted before any shuffle, and the counts are written once for the passes of
-    the ordered calculation. Adaptive execution splits such a value when the ranks
+    counted before any shuffle. Adaptive execution splits such a value when the ranks
     are joined back.
     """
     names = [*partition_by, *[k.name for k in order_keys(order_by)]]
-    counts = cut_lineage(df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies")))
+    counts = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_copies"))
     ranked = running(
         counts, order_by, partition_by, row_number="_dense", totals={"_up_to": "_copies"}, ranges=ranges
     )
@@ -317,47 +269,34 @@ def tile_rows(
     df: DataFrame, tiles: Mapping[str, int], order_by: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
     """NTILE over all rows, one column per entry; the first rows % n tiles get one row more."""
-    rows = df.count()
-    numbered = running(df, order_by, row_number="_at", rows=rows, ranges=ranges)
-    at = F.col("_at") - 1
+    numbered = _numbered(in_ranges(df, order_by, ranges=ranges))
     columns = []
     for name, n in tiles.items():
-        size, larger = divmod(rows, n)
+        size, larger = F.call_function("div", F.col("_all"), F.lit(n)), F.col("_all") % n
         head = larger * (size + 1)
-        tile = F.when(at < head, F.floor(at / F.lit(size + 1)))
-        if size:
-            tile = tile.otherwise(larger + F.floor((at - head) / F.lit(size)))
+        tile = F.when(F.col("_at") < head, F.call_function("div", F.col("_at"), size + 1)).otherwise(
+            larger + F.call_function("div", F.col("_at") - head, F.nullif(size, F.lit(0)))
+        )
         columns.append((tile + 1).cast("int").alias(name))
     return numbered.select(*df.columns, *columns)
 
 
-def page(
-    df: DataFrame, order_by: Sequence[str], offset: int, fetch: int, ranges: int | None = None
-) -> DataFrame:
+def first_of_tasks(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` rows of every partition: all that can be among the first ``n`` of ``df``."""
+    local = _placed(df.sortWithinPartitions(*[k.sort for k in order_keys(order_by)]))
+    return local.where(F.col(PLACE) < n).drop(RANGE, PLACE)
+
+
+def page(df: DataFrame, order_by: Sequence[str], offset: int, fetch: int, ranges: int | None = None) -> DataFrame:
     """OFFSET ... FETCH NEXT ... ROWS.
 
-    A page near the start is a top-k. A deep page counts the rows per range and
-    sorts only the ranges that hold the page.
+    Every task keeps the rows that the page or what precedes it may hold. These are
+    dealt into ranges, so that no task gets the first rows of all others, and the
+    counts of the ranges tell where the page lies.
     """
-    keys = order_keys(order_by)
-    if offset + fetch <= DIRECT_PAGE_ROWS and ranges is None:
-        return df.orderBy(*[k.sort for k in keys]).offset(offset).limit(fetch)
-    spread = with_range(df, order_by, ranges=ranges)
-    line = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ends = (
-        spread.groupBy(RANGE)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(RANGE, (F.sum("_n").over(line) - F.col("_n")).alias("_before"), "_n")
-        .where((F.col("_before") < offset + fetch) & (F.col("_before") + F.col("_n") > offset))
-    )
-    here = Window.partitionBy(RANGE).orderBy(*[k.sort for k in keys])
-    at = F.row_number().over(here) + F.col("_before")
-    return (
-        spread.join(F.broadcast(ends), RANGE)
-        .withColumn("_at", at)
-        .where((F.col("_at") > offset) & (F.col("_at") <= offset + fetch))
-        .select(*df.columns)
-    )
+    kept = first_of_tasks(df, order_by, offset + fetch)
+    rows = _numbered(in_ranges(kept, order_by, ranges=ranges or range_count(df)))
+    return rows.where((F.col("_at") >= offset) & (F.col("_at") < offset + fetch)).select(*df.columns)
 
 
 def among_first(df: DataFrame, order_by: Sequence[str], n: int) -> Column:

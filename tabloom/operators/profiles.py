@@ -82,22 +82,29 @@ def column_histogram(df: DataFrame, column: str, steps: int = 200, ranges: int |
     return per_step.withColumn("avg_range_rows", F.coalesce(average, F.lit(0.0)))
 
 
-def _step_bounds(histogram: DataFrame) -> Column:
-    """The high values in order; a histogram has at most a few hundred."""
-    return histogram.agg(F.array_sort(F.collect_list("high_value"))).scalar()
+def _step_bounds(histogram: DataFrame) -> list:
+    """The high values in order: one per step, of which the histogram has ``steps`` at most."""
+    return [r[0] for r in histogram.select("high_value").orderBy("high_value").collect()]
 
 
-def _with_next_bound(df: DataFrame, bounds: Column, column: str, name: str) -> DataFrame:
+def _next_bound(bounds: list, value: Column, beyond: Column) -> Column:
+    """The lowest bound not below ``value``, by a balanced tree of comparisons; ``beyond`` behind the last one."""
+    if not bounds:
+        return beyond
+    middle = len(bounds) // 2
+    below = _next_bound(bounds[:middle], value, F.lit(bounds[middle]))
+    return F.when(value <= F.lit(bounds[middle]), below).otherwise(_next_bound(bounds[middle + 1 :], value, beyond))
+
+
+def _with_next_bound(df: DataFrame, histogram: DataFrame, column: str, name: str) -> DataFrame:
     """Add the lowest high value not below the column; NULL beyond the last step."""
-    held = df.withColumn("_bounds", bounds)
-    found = F.get(F.filter("_bounds", lambda b: b >= F.col(column)), F.lit(0))
-    return held.withColumn(name, found).drop("_bounds")
+    kind = histogram.schema["high_value"].dataType
+    return df.withColumn(name, _next_bound(_step_bounds(histogram), F.col(column), F.lit(None)).cast(kind))
 
 
 def estimate_rows(histogram: DataFrame, values: DataFrame, column: str) -> DataFrame:
     """Add the rows the histogram predicts for ``column = value``."""
-    bounds = _step_bounds(histogram)
-    placed = _with_next_bound(values, bounds, column, "_high")
+    placed = _with_next_bound(values, histogram, column, "_high")
     steps = histogram.select(F.col("high_value").alias("_high"), "eq_rows", "avg_range_rows")
     estimate = F.when(F.col(column) == F.col("_high"), F.col("eq_rows").cast("double")).otherwise(
         F.coalesce("avg_range_rows", F.lit(0.0))
@@ -120,10 +127,9 @@ def profile_drift(before: DataFrame, after: DataFrame, column: str, steps: int =
     New values beyond the last step are in the row with ``high_value`` NULL.
     """
     histogram = column_histogram(before, column, steps)
-    bounds = _step_bounds(histogram)
     values = after.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     counted = (
-        _with_next_bound(values, bounds, column, "high_value")
+        _with_next_bound(values, histogram, column, "high_value")
         .groupBy("high_value")
         .agg(F.sum("n").alias("rows_after"), F.max("n").alias("largest_after"))
     )

@@ -10,6 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.operators.ordering import number_rows
+from tabloom.session import stored
 
 REASONS = "_reasons"
 NUMERIC = re.compile(r"tinyint|smallint|int|bigint|float|double|decimal")
@@ -147,7 +148,9 @@ def with_reasons(df: DataFrame, rules: Sequence) -> DataFrame:
     for rule in rules:
         if isinstance(rule, Key):
             others = list(rule.order) or [c for c in df.columns if c not in rule.columns]
-            marked = number_rows(marked, others, partition_by=rule.columns, name="_copy")
+            # the number of the row tells full repeats apart, also in a table of key columns only
+            told = marked.withColumn("_row", F.monotonically_increasing_id())
+            marked = number_rows(told, [*others, "_row"], partition_by=rule.columns, name="_copy").drop("_row")
             null_key = _any_null(rule.columns)
             repeated = F.col("_copy") > 1
             if rule.primary:
@@ -170,7 +173,7 @@ def with_reasons(df: DataFrame, rules: Sequence) -> DataFrame:
 
 def split_by_rules(df: DataFrame, rules: Sequence) -> Split:
     """Accepted rows, and rejected rows with their reasons; together they are the input."""
-    marked = with_reasons(df, rules)
+    marked = stored(with_reasons(df, rules), "ruled")  # marked and written once, read by both outputs
     return Split(
         marked.where(F.size(REASONS) == 0).drop(REASONS),
         marked.where(F.size(REASONS) > 0).withColumnRenamed(REASONS, "reasons"),

@@ -7,7 +7,8 @@ from tabloom.operators import layout as L, profiles as P
 from tabloom.operators.aggregates import salted_sum
 from tabloom.operators.joins import salted_join
 from tabloom.plans.registry import Section, cents, total
-from tabloom.session import scratch_path
+from tabloom.session import leaf_bytes, scratch_path
+from tabloom.sources.tables import file_layout
 
 section = Section()
 
@@ -56,22 +57,55 @@ def layout_filtered(t):
     )
 
 
+SMALL_BYTES = 256 * 1024
+
+
+def small_files(t, columns):
+    """The order lines cut into many small files; their number follows the bytes."""
+    path = scratch_path(t.spark, "small-files")
+    lines = t.lineitem.select(*columns)
+    lines.repartition(1 + leaf_bytes(lines) // SMALL_BYTES).write.parquet(path)
+    return path
+
+
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"]
+
+
 @section.query("compaction_report")
 def compaction_report(t):
     """The stored order lines, and a copy cut into many small files."""
-    path = scratch_path(t.spark, "small-files")
-    t.lineitem.repartition(48).write.parquet(path)
-    stored = L.compaction_report(t.lineitem).select(F.lit("lineitem").alias("table_name"), "*")
-    cut = L.compaction_report(t.spark.read.parquet(path)).select(F.lit("small files").alias("table_name"), "*")
+    stored = L.compaction_report(t.spark, t.file_of("lineitem")).select(F.lit("lineitem").alias("table_name"), "*")
+    cut = L.compaction_report(t.spark, small_files(t, LINE_KEYS)).select(F.lit("small files").alias("table_name"), "*")
     return stored.unionByName(cut)
 
 
+@section.query(
+    "compaction_report_holds",
+    """SELECT 'lineitem' AS table_name, COUNT(*) > 0 AS has_files, TRUE AS counts_bytes, TRUE AS keeps_rows FROM lineitem
+       UNION ALL SELECT 'small files', COUNT(*) > 0, TRUE, TRUE FROM lineitem""",
+)
+def compaction_report_holds(t):
+    """What must hold of the report: files are counted, their bytes add up, their rows are those of the table."""
+    rows = t.lineitem.agg(F.count(F.lit(1))).first()[0]
+    parts = []
+    for name, path in (("lineitem", t.file_of("lineitem")), ("small files", small_files(t, LINE_KEYS))):
+        layout = file_layout(t.spark, path).agg(F.count(F.lit(1)).alias("f"), F.sum("file_size").alias("b"), F.sum("n_rows").alias("r"))
+        both = L.compaction_report(t.spark, path).crossJoin(layout)  # one row each
+        parts.append(
+            both.select(
+                F.lit(name).alias("table_name"),
+                ((F.col("n_files") > 0) & (F.col("n_files") == F.col("f"))).alias("has_files"),
+                ((F.col("n_bytes") > 0) & (F.col("n_bytes") == F.col("b"))).alias("counts_bytes"),
+                (F.col("r") == F.lit(rows)).alias("keeps_rows"),
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
 @section.query("compact_files", "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM lineitem")
 def compact_files(t):
     """Many small files rewritten as few: the content is the same."""
-    path = scratch_path(t.spark, "small-files")
-    t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").repartition(48).write.parquet(path)
-    return L.compact_files(t.spark.read.parquet(path), scratch_path(t.spark, "compacted"))
+    return L.compact_files(t.spark, small_files(t, LINE_KEYS), scratch_path(t.spark, "compacted"))
 
 
 def _histogram_sql(source, column, steps):

@@ -129,6 +129,19 @@ def fn_now(t):
     )
 
 
+@section.query("fn_now_holds", "SELECT COUNT(*) AS n_past, 1 AS n_times, TRUE AS utc_follows FROM orders")
+def fn_now_holds(t):
+    """One time for the whole query, after all orders; UTC is the local time less the zone's offset."""
+    held = t.orders.select("o_orderdate", F.localtimestamp().alias("local"), F.current_timestamp().alias("now"))
+    shifted = F.to_utc_timestamp(F.col("local").cast("timestamp"), F.current_timezone())
+    utc = F.to_utc_timestamp("now", F.current_timezone())
+    return held.agg(
+        F.count_if(F.col("o_orderdate") < F.col("local")).alias("n_past"),
+        F.count_distinct("local").cast("int").alias("n_times"),
+        F.every(F.abs(F.unix_micros(utc) - F.unix_micros(shifted)) < 1).alias("utc_follows"),
+    )
+
+
 @section.query(
     "fn_dateadd",
     """SELECT o_orderkey, o_orderdate + INTERVAL 10 DAY AS d, o_orderdate + INTERVAL 1 MONTH AS m,
@@ -257,6 +270,20 @@ def fn_random(t):
     )
 
 
+@section.query(
+    "fn_random_holds",
+    "SELECT 1 AS n_per_query, TRUE AS in_range, TRUE AS rows_differ, COUNT(*) AS n_guids FROM orders",
+)
+def fn_random_holds(t):
+    """One number for the query, one in [0, 1) for each row, and no identifier twice."""
+    return fn_random(t).agg(
+        F.count_distinct("per_query").cast("int").alias("n_per_query"),
+        F.every(F.col("per_row").between(0, 1) & (F.col("per_row") < 1)).alias("in_range"),
+        (F.count_distinct("per_row") > F.count(F.lit(1)) * 0.99).alias("rows_differ"),
+        F.count_distinct("row_guid").alias("n_guids"),
+    )
+
+
 @section.query("fn_int_div", "SELECT o_orderkey, o_custkey // 7 AS sevenths, (-o_custkey) // 7 AS negative FROM orders")
 def fn_int_div(t):
     return t.orders.select(

@@ -82,7 +82,14 @@ def row_provenance(t):
 
 @section.query("file_layout_report")
 def file_layout_report(t):
-    return tables.file_layout(t.lineitem)
+    return tables.file_layout(t.spark, t.file_of("lineitem"))
+
+
+@section.query("file_layout_holds", "SELECT COUNT(*) AS n_rows, TRUE AS sizes_known FROM lineitem")
+def file_layout_holds(t):
+    """The rows of the files are the rows of the table, and every file has a size."""
+    layout = tables.file_layout(t.spark, t.file_of("lineitem"))
+    return layout.agg(F.sum("n_rows").alias("n_rows"), (F.min("file_size") > 0).alias("sizes_known"))
 
 
 @section.query(

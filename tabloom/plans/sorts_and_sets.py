@@ -46,6 +46,15 @@ def limit_any(t):
     return t.lineitem.limit(10)
 
 
+@section.query("limit_any_holds", "SELECT LEAST(COUNT(*), 10) AS n_rows, LEAST(COUNT(*), 10) AS n_from_table FROM lineitem")
+def limit_any_holds(t):
+    """Ten rows, whichever they are, all of them rows of the table."""
+    some = t.lineitem.limit(10).select("l_orderkey", "l_linenumber", "l_partkey").withColumn("_row", F.monotonically_increasing_id())
+    known = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").distinct().withColumn("_known", F.lit(1))
+    joined = some.join(known, ["l_orderkey", "l_linenumber", "l_partkey"], "left")
+    return joined.agg(F.count(F.lit(1)).alias("n_rows"), F.count("_known").alias("n_from_table"))
+
+
 @section.query(
     "topk_in_view",
     """WITH t AS (SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 20)

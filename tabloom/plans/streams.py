@@ -6,12 +6,13 @@ from tabloom.functions.amounts import units
 from tabloom.operators import rules as R
 from tabloom.plans.registry import Section, total
 from tabloom.plans.table_changes import SOURCE, TARGET, stock_target
+from tabloom.session import scratch_path
 from tabloom.streaming import aggregates as A, feeds, tables
 from tabloom.streaming.balances import debit_stream
 
 section = Section()
-# The whole month of events: no row is too late, in whatever order files arrive.
-LATENESS = "31 days"
+# The span of the events: no row is too late, in whatever order files arrive.
+WHOLE_SPAN = "31 days"
 EXACT = "CAST(value AS DECIMAL(18,2))"
 
 
@@ -30,9 +31,9 @@ def event_stream(t, **options):
 )
 def stream_tumbling(t):
     return feeds.run_windowed(
-        t.spark, t.file_of("events"), "ts", LATENESS,
+        t.spark, t.file_of("events"), "ts", WHOLE_SPAN,
         lambda s: A.tumbling(s, "ts", "1 day", ["event_type"], _measures()),
-    )
+    ).windows
 
 
 @section.query(
@@ -44,9 +45,9 @@ def stream_tumbling(t):
 )
 def stream_sliding(t):
     totals = feeds.run_windowed(
-        t.spark, t.file_of("events"), "ts", LATENESS,
+        t.spark, t.file_of("events"), "ts", WHOLE_SPAN,
         lambda s: A.sliding(s, "ts", "3 days", "1 day", ["event_type"], _measures()),
-    )
+    ).windows
     return totals.withColumn("average", F.col("amount") / F.col("n"))
 
 
@@ -60,9 +61,24 @@ def stream_sliding(t):
 )
 def stream_sessions(t):
     return feeds.run_windowed(
-        t.spark, t.file_of("events"), "ts", LATENESS,
+        t.spark, t.file_of("events"), "ts", WHOLE_SPAN,
         lambda s: A.sessions(s, "ts", "12 hours", ["user_id"], _measures()),
-    )
+    ).windows
+
+
+@section.query(
+    "stream_late_rows",
+    f"SELECT event_type, COUNT(*) AS n, CAST(SUM({EXACT}) AS DOUBLE) AS amount FROM events GROUP BY event_type",
+)
+def stream_late_rows(t):
+    """Files in disorder and little patience: the windows and the late rows together hold every event."""
+    path = scratch_path(t.spark, "disorder")
+    t.events.repartition(6, "user_id").write.parquet(path)
+    daily = lambda s: A.tumbling(s, "ts", "1 day", ["event_type"], {"n": F.count(F.lit(1)), "cents": F.sum(units("value"))})
+    run = feeds.run_windowed(t.spark, path, "ts", "1 hour", daily, files_per_batch=1)
+    late = run.late.select("event_type", F.lit(1).cast("bigint").alias("n"), units("value").alias("cents"))
+    both = run.windows.select("event_type", "n", "cents").unionByName(late).groupBy("event_type")
+    return both.agg(F.sum("n").alias("n"), (F.sum("cents") / 100).alias("amount"))
 
 
 @section.query(
@@ -71,8 +87,8 @@ def stream_sessions(t):
 def stream_dedup(t):
     """Which of the copies in one batch passes is open, so the keys are compared."""
     feed = event_stream(t).withColumn("day", F.to_date("ts"))
-    kept = tables.first_of_copies(feed, "ts", LATENESS, ["user_id", "day", "event_type"])
-    return kept.select("user_id", "day", "event_type")
+    kept = tables.first_of_copies(feed, "ts", WHOLE_SPAN, ["user_id", "day", "event_type"])
+    return kept.rows.select("user_id", "day", "event_type")
 
 
 NEWEST = """SELECT user_id, day, event_type, event_id, ts FROM (SELECT *, CAST(ts AS DATE) AS day, ROW_NUMBER() OVER (
@@ -121,13 +137,13 @@ OPENING_CENTS = 20_000
         SELECT user_id AS account_id, event_id AS entry_id, cents AS amount_cents, accepted, balance AS balance_cents FROM b""",
 )
 def stream_balance(t):
-    debits = event_stream(t, bytes_per_batch=256 * 1024**2).where("event_type = 'purchase'").select(
+    debits = event_stream(t).where("event_type = 'purchase'").select(
         F.col("user_id").alias("account_id"),
         F.col("event_id").alias("entry_id"),
         F.col("ts").alias("at"),
         units("value").alias("amount_cents"),
     )
-    return debit_stream(debits, OPENING_CENTS)
+    return debit_stream(debits, OPENING_CENTS, WHOLE_SPAN).decisions
 
 
 @section.query(
@@ -139,6 +155,7 @@ def stream_balance(t):
 )
 def stream_quarantine(t):
     rules = [
+        R.Key(("event_id",), primary=True),
         R.Check("value", "value >= 1"),
         R.Reference(("user_id",), t.customer.where("c_acctbal >= 0"), ("c_custkey",)),
     ]

@@ -1,5 +1,7 @@
 """Window functions, ranking, running totals and the patterns built on them."""
 
+from decimal import Decimal
+
 from pyspark.sql import Window, functions as F
 
 from tabloom.functions.amounts import sum_amount
@@ -204,6 +206,73 @@ def win_last_value_default(t):
     )
 
 
+LINE_PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+PER_PART = "PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, price"
+HOT_LINES = f"""(SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 2 = 0 THEN 1 ELSE l_partkey END AS l_partkey, l_shipdate,
+                {LINE_PRICE} AS price FROM lineitem)"""
+
+
+def hot_lines(t):
+    """Order lines of which one part holds half."""
+    part = F.when(F.col("l_orderkey") % 2 == 0, 1).otherwise(F.col("l_partkey"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", part.alias("l_partkey"), "l_shipdate", cents("l_extendedprice").alias("price"))
+
+
+IN_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "price"]
+
+
+@section.query(
+    "win_lag_lead_lines",
+    f"""SELECT l_orderkey, l_linenumber, CAST(LAG(price, 2, 0) OVER w AS DOUBLE) AS two_before, LEAD(l_shipdate) OVER w AS next_date,
+               CAST(LEAD(price, 3, -1) OVER w AS DOUBLE) AS three_after FROM {HOT_LINES} WINDOW w AS ({PER_PART})""",
+)
+def win_lag_lead_lines(t):
+    """LAG and LEAD with offset and default on detail rows, under a key that holds half of them."""
+    looks = {
+        "two_before": lambda w: F.lag("price", 2, Decimal(0)).over(w).cast("double"),
+        "next_date": lambda w: F.lead("l_shipdate").over(w),
+        "three_after": lambda w: F.lead("price", 3, Decimal(-1)).over(w).cast("double"),
+    }
+    return O.framed(hot_lines(t), IN_ORDER, looks, ["l_partkey"], before=2, after=3).select("l_orderkey", "l_linenumber", *looks)
+
+
+def _lines_over(bounds, call, name):
+    return f"CAST({call} OVER ({PER_PART} ROWS BETWEEN {bounds}) AS DOUBLE) AS {name}"
+
+
+@section.query(
+    "win_moving_lines",
+    f"""SELECT l_orderkey, l_linenumber, {_lines_over('2 PRECEDING AND CURRENT ROW', 'SUM(price)', 'last_three')},
+               {_lines_over('1 PRECEDING AND 1 FOLLOWING', 'MAX(price)', 'highest_near')},
+               {_lines_over('CURRENT ROW AND 2 FOLLOWING', 'SUM(price)', 'next_three')},
+               {_lines_over('2 PRECEDING AND 2 FOLLOWING', 'FIRST_VALUE(price)', 'frame_first')},
+               {_lines_over('2 PRECEDING AND 2 FOLLOWING', 'LAST_VALUE(price)', 'frame_last')} FROM {HOT_LINES}""",
+)
+def win_moving_lines(t):
+    """Moving frames on detail rows."""
+    looks = {
+        "last_three": lambda w: F.sum("price").over(w.rowsBetween(-2, 0)).cast("double"),
+        "highest_near": lambda w: F.max("price").over(w.rowsBetween(-1, 1)).cast("double"),
+        "next_three": lambda w: F.sum("price").over(w.rowsBetween(0, 2)).cast("double"),
+        "frame_first": lambda w: F.first("price").over(w.rowsBetween(-2, 2)).cast("double"),
+        "frame_last": lambda w: F.last("price").over(w.rowsBetween(-2, 2)).cast("double"),
+    }
+    return O.framed(hot_lines(t), IN_ORDER, looks, ["l_partkey"], before=2, after=2).select("l_orderkey", "l_linenumber", *looks)
+
+
+@section.query(
+    "win_first_last_lines",
+    f"""SELECT l_orderkey, l_linenumber, CAST(FIRST_VALUE(price) OVER ({PER_PART}) AS DOUBLE) AS first_price,
+               CAST(LAST_VALUE(price) OVER ({PER_PART} {WHOLE}) AS DOUBLE) AS last_price FROM {HOT_LINES}""",
+)
+def win_first_last_lines(t):
+    """First and last value of a group beside its detail rows; the last is the first in reverse."""
+    backward = [f"{c} desc" for c in IN_ORDER]
+    last = O.running(hot_lines(t), backward, ["l_partkey"], firsts={"last_price": "price"})
+    both = O.running(last, IN_ORDER, ["l_partkey"], firsts={"first_price": "price"})
+    return both.select("l_orderkey", "l_linenumber", as_double(F.col("first_price"), "first_price"), as_double(F.col("last_price"), "last_price"))
+
+
 @section.query(
     "win_range_vs_rows",
     f"""WITH y AS (SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS y, o_orderstatus, SUM({PRICE}) AS revenue

@@ -10,6 +10,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Spark gives sources of unknown size a size near the largest bigint.
+UNKNOWN_BYTES = 1 << 60
+
+
 def build_session(app: str = "tabloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session with ANSI errors, UTC and adaptive execution (AQE also splits skewed joins)."""
     builder = SparkSession.builder.appName(app)
@@ -72,3 +76,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and go on from the written copy.
+
+    Unlike a checkpoint the copy is a table of columns: later passes read only the
+    columns they need, and Spark knows its size.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def leaf_bytes(df: DataFrame) -> int:
+    """Bytes of the stored tables that ``df`` reads, as far as the optimizer knows them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < UNKNOWN_BYTES)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the result; an unknown size counts as very large."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -67,18 +67,18 @@ def row_provenance(df: DataFrame) -> DataFrame:
     )
 
 
-def file_layout(df: DataFrame) -> DataFrame:
-    """Rows and bytes per stored file of a table."""
-    return (
-        df.select(
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_size").alias("file_size"),
-        )
-        .groupBy("file_path", "file_name", "file_size")
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .select("file_name", "file_size", "n_rows")
-    )
+def stored_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, file_size, modified) of a stored table, from a listing: contents are pruned, so no file is opened."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    return listed.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("file_size"), F.col("modificationTime").alias("modified"))
+
+
+def file_layout(spark: SparkSession, path: str) -> DataFrame:
+    """Rows and bytes per stored file of a table; rows come from the footers of the files, no column is read."""
+    name = F.col("_metadata.file_name").alias("file_name")
+    counted = spark.read.parquet(path).groupBy(name).agg(F.count(F.lit(1)).alias("n_rows"))
+    files = stored_files(spark, path).select("file_name", "file_size")
+    return files.join(counted, "file_name", "left").select("file_name", "file_size", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 def inflate(df: DataFrame, times: int, copy: str = "copy_no") -> DataFrame:

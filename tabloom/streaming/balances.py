@@ -3,58 +3,102 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from tabloom.session import scratch_path
-from tabloom.streaming.feeds import finish
+from tabloom.session import setting
+from tabloom.streaming.feeds import run_to_end, split_late
 
 RESULT = "account_id bigint, entry_id bigint, amount_cents bigint, accepted boolean, balance_cents bigint"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+#: Pandas counts nanoseconds and ends here.
+LAST_IN_PANDAS = "2262-04-01 00:00:00"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def debit_stream(entries: DataFrame, opening_cents: int) -> DataFrame:
-    """Debits (account_id, entry_id, at, amount_cents) in order of (at, entry_id) per account.
+class Debits(StatefulProcessor):
+    """Debits wait in state until no earlier one can come, and are then decided in order of (at, entry_id)."""
 
-    Whether a debit is accepted depends on all before it, so the debits of one
-    account in one micro-batch are decided by one task. The size of a micro-batch
-    bounds them (see ``stream_files``), and only three numbers per debit are held.
-    """
+    def __init__(self, opening_cents: int):
+        self.opening = opening_cents
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.balance = handle.getValueState("balance", "cents bigint")
+        self.waiting = handle.getListState("waiting", "at bigint, entry_id bigint, amount_cents bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for chunk in rows:
+            chunk = chunk.dropna(subset=["account_id", "entry_id"])  # the row at the end of time
+            if chunk.empty:
+                continue
+            self.waiting.appendList([tuple(map(int, r)) for r in zip(chunk["at_us"], chunk["entry_id"], chunk["amount_cents"])])
+            lowest = int(chunk["at_us"].min())
+            first = lowest if first is None else min(first, lowest)
+        if first is not None:
+            self.handle.registerTimer(first // 1000 + 1)
+        return iter([])
 
-    def decide(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        balance = state.get[0] if state.exists else opening_cents
-        rows = pd.concat([c[["entry_id", "at", "amount_cents"]] for c in chunks], ignore_index=True)
-        order = np.lexsort((rows["entry_id"].to_numpy(), rows["at"].to_numpy()))
-        entry, amount = rows["entry_id"].to_numpy()[order], rows["amount_cents"].to_numpy()[order]
-        accepted = np.zeros(len(amount), dtype=bool)
-        after = np.zeros(len(amount), dtype=np.int64)
-        for i, debit in enumerate(amount):
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        held = sorted(self.waiting.get())
+        ready = [r for r in held if r[0] < passed]
+        rest = held[len(ready) :]
+        if not ready:
+            return
+        balance = self.balance.get()[0] if self.balance.exists() else self.opening
+        accepted, after = np.zeros(len(ready), bool), np.zeros(len(ready), np.int64)
+        for i, (_, _, debit) in enumerate(ready):
             if balance >= debit:
-                balance -= int(debit)
+                balance -= debit
                 accepted[i] = True
             after[i] = balance
-        state.update((int(balance),))
+        self.balance.update((int(balance),))
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(rest[0][0] // 1000 + 1)
+        else:
+            self.waiting.clear()
         yield pd.DataFrame(
             {
-                "account_id": np.full(len(amount), key[0]),
-                "entry_id": entry,
-                "amount_cents": amount,
+                "account_id": np.full(len(ready), int(key[0]), np.int64),
+                "entry_id": [r[1] for r in ready],
+                "amount_cents": [r[2] for r in ready],
                 "accepted": accepted,
                 "balance_cents": after,
             }
         )
 
+    def close(self) -> None:
+        pass
+
+
+class Decided(NamedTuple):
+    decisions: DataFrame
+    late: DataFrame
+
+
+def debit_stream(entries: DataFrame, opening_cents: int, lateness: str, files_per_batch: int | None = None) -> Decided:
+    """Decide debits (account_id, entry_id, at, amount_cents) of a feed in order of (at, entry_id) per account.
+
+    A debit waits until the watermark has passed it, so the decisions do not depend
+    on how the feed is cut into batches or in which order its files come. Debits
+    that come more than ``lateness`` behind the newest one are not decided but
+    returned as ``late``; debits without account are left out. The debits of one account within the reach of lateness are
+    held and decided by one task.
+    """
     spark = entries.sparkSession
-    path = scratch_path(spark, "balances")
-    decided = entries.groupBy("account_id").applyInPandasWithState(
-        decide, RESULT, "balance_cents bigint", "append", GroupStateTimeout.NoTimeout
-    )
-    finish(
-        decided.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{path}/out")
-        .option("checkpointLocation", f"{path}/progress")
-    )
-    return spark.read.parquet(f"{path}/out")
+    feed = split_late(entries, "at", lateness)
+
+    def decide(rows: DataFrame) -> DataFrame:
+        # a filter on the account would keep the row at the end of time from the watermark
+        timed = rows.withColumn("at_us", F.unix_micros("at"))
+        return timed.groupBy("account_id").transformWithStateInPandas(Debits(opening_cents), RESULT, "append", "eventTime")
+
+    with setting(spark, STATE_STORE, ROCKSDB):
+        return Decided(run_to_end(feed, decide, files_per_batch=files_per_batch, end_of_time=LAST_IN_PANDAS), feed.late)

@@ -3,41 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabloom.operators.changes import merge
 from tabloom.operators.joins import require_unique
-from tabloom.operators.rules import REASONS, with_reasons
+from tabloom.operators.rules import REASONS, Key, with_reasons
 from tabloom.operators.windows import latest_per_key
-from tabloom.session import scratch_path, setting
+from tabloom.session import scratch_path
 from tabloom.sources.snapshots import SnapshotTable
-from tabloom.streaming.feeds import TIME_ZONE, finish, run_batches
+from tabloom.streaming.feeds import END_OF_TIME, run_batches, run_to_end, split_late
 
 
-def first_of_copies(
-    stream: DataFrame, time: str, lateness: str, keys: Sequence[str], salts: int = 16
-) -> DataFrame:
-    """The first row of each key is passed on at once; later copies within ``lateness`` are dropped.
+class Kept(NamedTuple):
+    rows: DataFrame
+    late: DataFrame
+
+
+def first_of_copies(stream: DataFrame, time: str, lateness: str, keys: Sequence[str], salts: int = 16) -> Kept:
+    """One row of each key passes; its copies within ``lateness`` are dropped, whatever batch they are in.
 
-    Copies are dropped in two steps, the first over (key, salt): a key with very
-    many copies is spread over ``salts`` tasks, and at most that many of its rows
-    reach the task that decides.
+    Rows that come later than ``lateness`` are returned apart, since the keys they
+    would have to be held against are forgotten by then. Copies are dropped in two
+    steps, the first over (key, salt): a key with very many copies is spread over
+    ``salts`` tasks, and at most that many of its rows reach the task that decides.
     """
-    spark = stream.sparkSession
-    path = scratch_path(spark, "stream")
-    with setting(spark, TIME_ZONE, "UTC"):  # there and back without a gap in the clock
-        timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness)
-        salted = timed.withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)))
+    feed = split_late(stream, time, lateness)
+
+    def drop(timed: DataFrame) -> DataFrame:
+        salted = timed.where(F.col(time) < F.lit(END_OF_TIME).cast("timestamp")).withColumn("_salt", F.pmod(F.xxhash64(*stream.columns), F.lit(salts)))
         few = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
-        finish(
-            few.dropDuplicatesWithinWatermark(list(keys))
-            .writeStream.outputMode("append")
-            .format("parquet")
-            .option("path", f"{path}/out")
-            .option("checkpointLocation", f"{path}/progress")
-        )
-        return spark.read.parquet(f"{path}/out").withColumn(time, F.col(time).cast("timestamp_ntz"))
+        return few.dropDuplicatesWithinWatermark(list(keys)).withColumn(time, F.col(time).cast("timestamp_ntz"))
+
+    return Kept(run_to_end(feed, drop), feed.late)
 
 
 def fold_changes(
@@ -87,21 +86,43 @@ def upsert_stream(
     return fold_changes(table, f"{path}/changes", keys, changed, newest)
 
 
-def quarantine_stream(stream: DataFrame, rules: Sequence) -> DataFrame:
+def quarantine_stream(stream: DataFrame, rules: Sequence, remember: int | None = None) -> DataFrame:
     """Check every batch on arrival; accepted and rejected rows go to two folders.
 
-    Returns both with ``verdict`` and ``reasons``. Key rules see one batch at a time.
+    Returns both with ``verdict`` and ``reasons``. The keys of accepted rows are
+    kept by batch, and a key of an earlier batch is a broken key rule in a later one;
+    ``remember`` forgets keys after so many batches. A batch reads the keys of lower
+    batch ids only, so a repeated batch gives the same verdicts.
     """
     spark = stream.sparkSession
     path = scratch_path(spark, "quarantine")
+    key_rules = [rule for rule in rules if isinstance(rule, Key)]
 
     def check(batch: DataFrame, batch_id: int) -> None:
-        marked = with_reasons(batch, rules)
+        first = 0 if remember is None else max(0, batch_id - remember)
+        seen = batch
+        for n, rule in enumerate(key_rules):
+            if batch_id > first:
+                earlier = spark.read.parquet(*[f"{path}/keys-{n}/batch={k}" for k in range(first, batch_id)]).distinct()
+                known = earlier.select(*[F.col(c).alias(f"_k_{c}") for c in rule.columns], F.lit(True).alias(f"_known_{n}"))
+                match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in rule.columns]
+                seen = seen.join(known, match, "left").drop(*[f"_k_{c}" for c in rule.columns])
+            else:
+                seen = seen.withColumn(f"_known_{n}", F.lit(None).cast("boolean"))
+        marked = with_reasons(seen, rules)
+        for n, rule in enumerate(key_rules):
+            again = F.coalesce(F.col(f"_known_{n}"), F.lit(False)) & ~F.array_contains(REASONS, rule.reason)
+            if rule.nulls_distinct and not rule.primary:
+                for c in rule.columns:
+                    again = again & F.col(c).isNotNull()
+            marked = marked.withColumn(REASONS, F.when(again, F.array_append(REASONS, F.lit(rule.reason))).otherwise(F.col(REASONS)))
         verdict = F.when(F.size(REASONS) == 0, "accepted").otherwise("rejected")
         # one pass, one folder per verdict; a repeated batch replaces its own files
-        marked.withColumn("verdict", verdict).withColumnRenamed(REASONS, "reasons").write.mode("overwrite").partitionBy(
-            "verdict"
-        ).parquet(f"{path}/out/batch={batch_id}")
+        checked = marked.drop(*[f"_known_{n}" for n in range(len(key_rules))]).withColumn("verdict", verdict).withColumnRenamed(REASONS, "reasons")
+        checked.write.mode("overwrite").partitionBy("verdict").parquet(f"{path}/out/batch={batch_id}")
+        for n, rule in enumerate(key_rules):
+            done = spark.read.schema(checked.schema).parquet(f"{path}/out/batch={batch_id}").where("verdict = 'accepted'")
+            done.select(*rule.columns).write.mode("overwrite").parquet(f"{path}/keys-{n}/batch={batch_id}")
 
     run_batches(stream, check, f"{path}/progress")
     return spark.read.parquet(f"{path}/out").drop("batch")

@@ -393,3 +393,39 @@ def test_xml_escapes(spark):
         "id", F.concat(F.lit("<r>"), xml.element("e", {"t": F.lit('a<"&')}), F.lit("</r>")).alias("body")
     )
     assert xml.shred(df, "body", "e", {"t": "string"}).first().t == 'a<"&'
+
+
+@pytest.mark.parametrize("with_path", [False, True])
+def test_deep_chain_takes_few_rounds(spark, values, monkeypatch, with_path):
+    """90 levels, a second tree, a node without its parent, and a cycle that hangs below no root."""
+    rounds = []
+    keep = R.cut_lineage
+    monkeypatch.setattr(R, "cut_lineage", lambda df: rounds.append(1) or keep(df))
+    chain = [(0, None)] + [(i, i - 1) for i in range(1, 91)] + [(200, None), (201, 200), (300, 999), (400, 401), (401, 400), (402, 401)]
+    found = R.hierarchy(values("id int, up int", *chain), "id", "up", with_path=with_path)
+    rows = {r.id: r for r in found.collect()}
+    assert {i: r.level for i, r in rows.items()} == {**{i: i for i in range(91)}, 200: 0, 201: 1}
+    assert len(rounds) <= 9
+    if with_path:
+        assert rows[90].path == list(range(1, 91)) and rows[0].path == [] and rows[201].path == [201]
+
+
+def test_several_parents_give_several_ways(values):
+    edges = values("id int, up int", (1, None), (2, 1), (3, 1), (4, 2), (4, 3), (5, 4))
+    found = R.hierarchy(edges, "id", "up", with_path=True)
+    assert sorted((r.id, tuple(r.path)) for r in found.collect()) == [(1, ()), (2, (2,)), (3, (3,)), (4, (2, 4)), (4, (3, 4)), (5, (2, 4, 5)), (5, (3, 4, 5))]
+
+
+def test_key_rules_on_a_table_of_key_columns(values):
+    rows = values("a int, b string", (1, "x"), (1, "x"), (1, "x"), (2, "y"), (None, "z"))
+    split = rules.split_by_rules(rows, [rules.Key(("a", "b"), primary=True)])
+    assert sorted(map(tuple, split.accepted.collect())) == [(1, "x"), (2, "y")] and split.rejected.count() == 3
+
+
+def test_a_large_side_is_not_broadcast(spark):
+    small = spark.range(2)
+    large = spark.range(10_000)
+    assert J.join_with(large, small, large.id == small.id, "broadcast").count() == 2
+    with pytest.raises(ValueError, match="limit is 1000"):
+        J.join_with(small, large, large.id == small.id, "broadcast", broadcast_limit=1000)
+    assert J.join_with(small, large, large.id == small.id, "merge", broadcast_limit=1000).count() == 2

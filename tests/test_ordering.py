@@ -1,5 +1,7 @@
 """Range-split ordering against plain windows, with hot keys, ties and NULLs."""
 
+from decimal import Decimal
+
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
@@ -37,13 +39,10 @@ def test_running_equals_plain_window(spark, same, partition, order):
     df = skewed(spark)
     keys = O.order_keys(order)
     window = Window.partitionBy(*partition).orderBy(*[k.sort for k in keys])
-    previous = {"before": "day"} if len({k.descending for k in keys}) == 1 else {}
-    found = O.running(df, order, partition, "rn", {"total": "price"}, previous, ranges=9)
+    found = O.running(df, order, partition, "rn", {"total": "price"}, {"before": "day"}, {"start": "name"}, ranges=9)
     plain = df.withColumn("rn", F.row_number().over(window)).withColumn(
         "total", F.sum("price").over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    )
-    if previous:
-        plain = plain.withColumn("before", F.lag("day").over(window))
+    ).withColumn("before", F.lag("day").over(window)).withColumn("start", F.first("name").over(window))
     same(found, plain)
 
 
@@ -71,9 +70,47 @@ def test_naive_times_across_a_clock_change(spark, same):
         same(O.number_rows(df, ["x", "id"], ranges=20), df.withColumn("rn", F.row_number().over(window)))
 
 
-def test_mixed_directions_refuse_previous(spark):
-    with pytest.raises(ValueError):
-        O.running(skewed(spark, 10), ["price", "id desc"], previous={"p": "price"})
+FRAMES = {
+    "two_back": lambda w: F.lag("price", 2, Decimal("0.00")).over(w),
+    "three_ahead": lambda w: F.lead("day", 3).over(w),
+    "from": lambda w: F.first("name").over(w.rowsBetween(-2, 3)),
+    "to": lambda w: F.last("name").over(w.rowsBetween(-2, 3)),
+    "moving": lambda w: F.sum("price").over(w.rowsBetween(-2, 0)),
+    "centred": lambda w: F.count("price").over(w.rowsBetween(-1, 1)),
+}
+
+
+@pytest.mark.parametrize("partition", [(), ("grp",), ("grp", "name")])
+@pytest.mark.parametrize("order", [ORDERS[1], ORDERS[3]])
+def test_frames_equal_plain_window(spark, same, partition, order):
+    df = skewed(spark)
+    window = Window.partitionBy(*partition).orderBy(*[k.sort for k in O.order_keys(order)])
+    found = O.framed(df, order, FRAMES, partition, before=2, after=3, ranges=9)
+    same(found, df.select("*", *[build(window).alias(name) for name, build in FRAMES.items()]))
+
+
+@pytest.mark.parametrize("rows,ranges", [(0, 3), (1, 5), (7, 7), (23, 40)])
+def test_frames_wider_than_a_range(spark, same, rows, ranges):
+    df = skewed(spark, rows)
+    window = Window.orderBy("day", "id")
+    wide = {"x": lambda w: F.lag("id", 5).over(w), "y": lambda w: F.sum("id").over(w.rowsBetween(-5, 4))}
+    same(O.framed(df, ["day", "id"], wide, before=5, after=4, ranges=ranges), df.select("*", *[b(window).alias(n) for n, b in wide.items()]))
+
+
+@pytest.mark.parametrize("kind", ["binary", "boolean", "float", "tinyint", "decimal(38,10)", "timestamp", "timestamp_ntz", "date", "array<int>", "struct<a:int,b:string>"])
+@pytest.mark.parametrize("direction", ["", " desc"])
+def test_order_keys_of_any_type(spark, same, kind, direction):
+    i = F.col("id")
+    small = F.when(i % 7 == 0, None).otherwise(i * 31 % 90)
+    key = {
+        "binary": small.cast("string").cast("binary"), "boolean": small % 2 == 0, "float": (small / 3).cast("float"), "tinyint": small.cast("tinyint"),
+        "decimal(38,10)": small.cast("decimal(38,10)") / 7, "timestamp": F.timestamp_micros(small), "timestamp_ntz": F.timestamp_micros(small).cast("timestamp_ntz"),
+        "date": F.date_add(F.lit("1999-12-31").cast("date"), small.cast("int")), "array<int>": F.array(small.cast("int"), (i % 3).cast("int")), "struct<a:int,b:string>": F.struct(small.cast("int").alias("a"), (i % 3).cast("string").alias("b")),
+    }[kind]
+    df = spark.range(500).select("id", key.cast(kind).alias("x"))
+    order = [f"x{direction}", "id"]
+    window = Window.orderBy(*[k.sort for k in O.order_keys(order)])
+    same(O.running(df, order, row_number="rn", previous={"p": "id"}, ranges=7), df.withColumn("rn", F.row_number().over(window)).withColumn("p", F.lag("id").over(window)))
 
 
 @pytest.mark.parametrize("partition", [(), ("grp",)])
@@ -115,22 +152,30 @@ def test_ranges_are_even_under_a_hot_value(spark):
     """One value holds a third of the rows and one group half of them."""
     df = skewed(spark, 20_000)
     for order, partition in ((["price", "id"], ()), (["price", "id"], ("grp",))):
-        sizes = [r["count"] for r in O.with_range(df, order, partition, ranges=8).groupBy(O.RANGE).count().collect()]
+        sizes = [r["count"] for r in O.in_ranges(df, order, partition, ranges=8).groupBy(O.RANGE).count().collect()]
         assert len(sizes) == 8 and max(sizes) <= 4 * 20_000 / 8
 
 
 def test_ranges_follow_the_order(spark):
-    spread = O.with_range(skewed(spark), ["price desc", "name", "id"], ranges=6)
+    spread = O.in_ranges(skewed(spark), ["price desc", "name", "id"], ranges=6)
     edges = spread.groupBy(O.RANGE).agg(F.max("price").alias("high"), F.min("price").alias("low")).orderBy(O.RANGE).collect()
     for left, right in zip(edges, edges[1:]):
         assert right.high is None or left.low >= right.high
 
 
 def test_detail_rows_never_meet_in_one_partition(spark):
-    plan = O.running(skewed(spark), ["price", "id"], totals={"s": "price"})._jdf.queryExecution().executedPlan().toString()
-    single = plan.split("Exchange SinglePartition")
-    assert len(single) == 2, "one single-partition step, over the rows of the range table"
-    assert "Aggregate(key" in single[1].split("Scan")[0]
+    """Every single-partition step is fed by an aggregation to one row per range."""
+    for made in (O.running(skewed(spark), ["price", "id"], totals={"s": "price"}), O.number_rows(skewed(spark), ["price", "id"]), O.framed(skewed(spark), ["id"], {"x": lambda w: F.lag("id").over(w)}, before=1)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        parts = plan.split("Exchange SinglePartition")
+        assert len(parts) > 1
+        for below in parts[1:]:
+            assert "HashAggregate(keys=[_range" in below.split("Scan")[0] or "Aggregate(key=[_range" in below.split("Scan")[0]
+
+
+def test_a_page_moves_only_rows_it_may_hold(spark):
+    kept = O.first_of_tasks(skewed(spark).repartition(5), ["price desc", "id"], 30)
+    assert kept.count() == 150
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

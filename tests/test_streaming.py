@@ -39,22 +39,43 @@ def measures():
     ],
 )
 def test_windows_equal_batch(spark, tables, events, same, form, transform):
-    streamed = feeds.run_windowed(spark, events, "ts", "31 days", transform, files_per_batch=1)
-    same(streamed, transform(tables.events.withColumn("ts", F.col("ts").cast("timestamp"))))
+    run = feeds.run_windowed(spark, events, "ts", "31 days", transform, files_per_batch=1)
+    assert run.late.count() == 0
+    same(run.windows, transform(tables.events.withColumn("ts", F.col("ts").cast("timestamp"))))
 
 
-def test_rows_behind_the_watermark_are_dropped(spark, values):
+def test_late_rows_are_set_aside(spark, values):
     path = scratch_path(spark, "late")
-    # Spark drops by the watermark of the batch before, so lateness shows one batch later
-    for day in ("2024-01-01", "2024-01-20", "2024-01-21", "2024-01-02"):
+    for day in ("2024-01-01", "2024-01-20", "2024-01-21", "2024-01-02", None):
         values("day string, value double", (day, 1.0)).select(
             F.col("day").cast("timestamp_ntz").alias("ts"), "value"
         ).coalesce(1).write.mode("append").parquet(path)
     day = lambda s: A.tumbling(s, "ts", "1 day", [], measures())
-    kept = feeds.run_windowed(spark, path, "ts", "2 days", day, files_per_batch=1)
-    assert kept.agg(F.sum("n")).first()[0] == 3
+    run = feeds.run_windowed(spark, path, "ts", "2 days", day, files_per_batch=1)
+    assert run.windows.agg(F.sum("n")).first()[0] == 3 and [str(r.ts) for r in run.late.collect()] == ["2024-01-02 00:00:00"]
     patient = feeds.run_windowed(spark, path, "ts", "31 days", day, files_per_batch=1)
-    assert patient.agg(F.sum("n")).first()[0] == 4
+    assert patient.windows.agg(F.sum("n")).first()[0] == 4 and patient.late.count() == 0
+
+
+@pytest.fixture(scope="module")
+def disorder(spark, tables):
+    """The events cut into five files that each span the month."""
+    path = scratch_path(spark, "disorder")
+    for part in range(5):
+        tables.events.where(f"pmod(hash(user_id, event_id), 5) = {part}").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("files", [1, 2, 5])
+@pytest.mark.parametrize("lateness", ["31 days", "5 days"])
+def test_disorder_loses_nothing(spark, tables, disorder, same, files, lateness):
+    daily = lambda s: A.tumbling(s, "ts", "1 day", ["event_type"], measures())
+    run = feeds.run_windowed(spark, disorder, "ts", lateness, daily, files_per_batch=files)
+    events = tables.events
+    same(run.windows, daily(events.join(run.late.select("event_id"), "event_id", "left_anti").withColumn("ts", F.col("ts").cast("timestamp"))))
+    n_late = run.late.count()
+    assert n_late == 0 if files == 5 or lateness == "31 days" else n_late > 0
+    assert run.windows.agg(F.sum("n")).first()[0] + n_late == events.count()
 
 
 def keyed(df):
@@ -65,6 +86,8 @@ def test_first_of_copies(spark, tables, events):
     feed = keyed(feeds.stream_files(spark, events, tables.events.schema, files_per_batch=1))
     kept = ST.first_of_copies(feed, "ts", "31 days", ["user_id", "day", "event_type"])
     keys = keyed(tables.events).select("user_id", "day", "event_type").distinct().count()
+    assert kept.late.count() == 0
+    kept = kept.rows
     assert kept.count() == kept.select("user_id", "day", "event_type").distinct().count() == keys
 
 
@@ -112,18 +135,40 @@ def test_a_repeated_batch_changes_nothing(spark):
     assert runs and sorted((r.id, r.x) for r in final.collect()) == [(0, 1), (1, 1), (2, 1), (3, 1)]
 
 
-def test_balances_over_batches(spark, tables, events):
-    purchases = lambda df: df.where("event_type = 'purchase'").select(
-        F.col("user_id").alias("account_id"), F.col("event_id").alias("entry_id"), F.col("ts").alias("at"),
-        units("value").alias("amount_cents"),
+def purchases(df):
+    return df.where("event_type = 'purchase'").select(
+        F.col("user_id").alias("account_id"), F.col("event_id").alias("entry_id"), F.col("ts").alias("at"), units("value").alias("amount_cents")
     )
-    feed = feeds.stream_files(spark, events, tables.events.schema, files_per_batch=1)
-    decided = {r.entry_id: (r.accepted, r.balance_cents) for r in debit_stream(purchases(feed), 20_000).collect()}
+
+
+@pytest.mark.parametrize("order,files", [("events", 1), ("disorder", 1), ("disorder", 3)])
+def test_balances_do_not_depend_on_batches(spark, tables, request, order, files):
+    feed = feeds.stream_files(spark, request.getfixturevalue(order), tables.events.schema, files_per_batch=files)
+    done = debit_stream(purchases(feed), 20_000, "31 days")
+    decided = {r.entry_id: (r.accepted, r.balance_cents) for r in done.decisions.collect()}
     balance, expected = {}, {}
     for r in purchases(tables.events).orderBy("at", "entry_id").collect():
         left = balance.get(r.account_id, 20_000)
         accepted = left >= r.amount_cents
         balance[r.account_id] = left - r.amount_cents if accepted else left
         expected[r.entry_id] = (accepted, balance[r.account_id])
-    assert decided == expected
+    assert decided == expected and done.late.count() == 0
     assert any(not a for a, _ in expected.values())
+
+
+def test_late_debits_are_counted(spark, tables, disorder):
+    feed = feeds.stream_files(spark, disorder, tables.events.schema, files_per_batch=1)
+    done = debit_stream(purchases(feed), 20_000, "5 days")
+    late = done.late.count()
+    assert late > 0 and done.decisions.count() + late == purchases(tables.events).count()
+
+
+@pytest.mark.parametrize("remember,accepted", [(None, 6), (1, 7)])
+def test_a_key_is_accepted_once_over_batches(spark, values, remember, accepted):
+    path = scratch_path(spark, "keys")
+    for rows in ([(1, "a"), (2, "b"), (2, "c")], [(1, "d"), (3, "e"), (None, "n")], [(4, "f"), (3, "g")], [(5, "h"), (1, "i"), (6, "j")]):
+        values("id int, x string", *rows).coalesce(1).write.mode("append").parquet(path)
+    feed = feeds.stream_files(spark, path, spark.read.parquet(path).schema, files_per_batch=1)
+    rows = ST.quarantine_stream(feed, [R.Key(("id",), primary=True)], remember=remember).collect()
+    assert len(rows) == 11 and sum(r.verdict == "accepted" for r in rows) == accepted
+    assert all(list(r.reasons) == ([] if r.verdict == "accepted" else ["primary_key(id)"]) for r in rows)
