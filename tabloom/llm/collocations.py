@@ -6,10 +6,9 @@ block gets back those of its own pairs that are frequent somewhere; the text shr
 to runs of such pairs, and the same is done with its runs of three words. Keys only
 ever merge what they count, so nothing frequent is missed. Suffix pointers end where
 the next three words are not frequent; equal suffixes of a task are counted before
-they move, and suffixes are dealt into ranges of their leading words. There a multikey
+they move, and suffixes are dealt by their two leading words. There a multikey
 three-way quicksort splits them word by word: the size of an equal partition is the
-count of its phrase, and partitions below the limit are abandoned. Phrases at the ends
-of a range, which may go on in the next, are kept and added up.
+count of its phrase, and partitions below the limit are abandoned.
 """
 
 from __future__ import annotations
@@ -245,16 +244,20 @@ def equal_partitions(table: np.ndarray, weight: np.ndarray, least: int, emit: Ca
             stack.append((equal, depth + 1, phrase))
 
 
-def _suffix_rows(texts: DataFrame, longest: int, chunk_rows: int) -> DataFrame:
-    """(lang, w1.., n): the suffixes of all blocks that may hold frequent phrases, counted in their task."""
+def _suffix_packets(texts: DataFrame, routes: int, longest: int, chunk_rows: int) -> DataFrame:
+    """(route, a): the suffixes of all blocks that may hold frequent phrases, counted in their task and dealt by their two leading words."""
     names = ["lang", *_w(longest)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
-        def added() -> pa.Table:
-            counted = pa.concat_tables(held).group_by(names).aggregate([("n", "sum")])
-            return counted.rename_columns([*names, "n"])
+        def packets() -> Iterator[pa.RecordBatch]:
+            table = held.pop()
+            route = (_text_hash(table["w1"]) * np.uint64(0x9E3779B97F4A7C15) ^ _text_hash(table["w2"])) % np.uint64(routes)
+            for r in np.unique(route):
+                part = table.filter(pa.array(route == r)).combine_chunks()
+                packet = pack(**{c: part[c].combine_chunks() for c in [*names, "n"]})
+                yield pa.RecordBatch.from_arrays([pa.array([int(r)], pa.int32()), pa.array([packet], pa.binary())], names=["route", "a"])
 
         for batch in batches:
             for at in range(batch.num_rows):
@@ -266,61 +269,50 @@ def _suffix_rows(texts: DataFrame, longest: int, chunk_rows: int) -> DataFrame:
                 columns = [spelt.take(pa.array(c, mask=c < 0)) for c in table.T]
                 held.append(pa.table([pa.array([lang] * len(n), pa.string()), *columns, pa.array(n, pa.int64())], names=[*names, "n"]))
                 if sum(map(len, held)) >= chunk_rows:
-                    held = [added()]
+                    held = [_added(held, names)]
                     if 2 * len(held[0]) >= chunk_rows:
-                        yield from held.pop().to_batches(1 << 14)
+                        yield from packets()
         if held:
-            yield from added().to_batches(1 << 14)
+            held = [_added(held, names)]
+            yield from packets()
 
-    fields = ", ".join(f"{w} string" for w in _w(longest))
-    return texts.mapInArrow(cut, f"lang string, {fields}, n bigint")
+    return texts.mapInArrow(cut, "route int, a binary")
+
+
+def _added(tables: list[pa.Table], names: list[str]) -> pa.Table:
+    """Equal suffixes as one row with the sum of their counts."""
+    return pa.concat_tables(tables).group_by(names).aggregate([("n", "sum")]).rename_columns([*names, "n"])
+
+
+def _text_hash(words: pa.ChunkedArray) -> np.ndarray:
+    coded = words.combine_chunks().dictionary_encode()
+    own = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()] or [0], np.uint64)
+    return own[coded.indices.to_numpy()]
 
 
 def _w(longest: int) -> list[str]:
     return [f"w{k}" for k in range(1, longest + 1)]
 
 
-def _phrases(suffixes: DataFrame, least: int, longest: int, chunk_rows: int) -> DataFrame:
-    """(lang, phrase, n) of all phrases that reach ``least``, from suffixes dealt into ranges of their words."""
+def _phrases(suffixes: DataFrame, least: int, longest: int) -> DataFrame:
+    """(lang, phrase, n) of all phrases that reach ``least``; all suffixes with the same two leading words share a route."""
     names = ["lang", *_w(longest)]
 
-    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in batches:
-            held.append(batch)
-            rows += batch.num_rows
-            if rows >= chunk_rows:
-                yield from split(pa.Table.from_batches(held))
-                held, rows = [], 0
-        if rows:
-            yield from split(pa.Table.from_batches(held))
-
-    def split(chunk: pa.Table) -> Iterator[pa.RecordBatch]:
-        weight = chunk["n"].to_numpy()
-        for lang in pc.unique(chunk["lang"]).to_pylist():
-            mine = pc.equal(chunk["lang"], lang)
-            part = chunk.filter(mine)
-            words = pa.chunked_array([c for w in _w(longest) for c in part[w].chunks], pa.string()).drop_null()
-            known = pc.unique(words)
-            table = np.stack([pc.fill_null(pc.index_in(part[w], known), -1).to_numpy().astype(np.int32) for w in _w(longest)], axis=1)
-            own = weight[mine.to_numpy()]
+    def sort(group: pa.Table) -> pa.Table:
+        table = _added([unpack(p) for p in group["a"].to_pylist()], names)
+        langs, phrases, counts = [], [], []
+        for lang in pc.unique(table["lang"]).to_pylist():
+            part = table.filter(pc.equal(table["lang"], lang))
+            known = pc.unique(pa.chunked_array([c for w in _w(longest) for c in part[w].chunks], pa.string()).drop_null())
+            coded = np.stack([pc.fill_null(pc.index_in(part[w], known), -1).to_numpy().astype(np.int32) for w in _w(longest)], axis=1)
             spelt, found = known.to_pylist(), {}
-            equal_partitions(table, own, least, found.__setitem__)
-            for row in (table[0], table[-1]):  # phrases that may go on in another chunk
-                same = np.ones(len(table), bool)
-                for k, word in enumerate(row[row >= 0]):
-                    same &= table[:, k] == word
-                    if k:
-                        found[tuple(int(x) for x in row[: k + 1])] = int(own[same].sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(found), pa.string()), pa.array([" ".join(spelt[c] for c in p) for p in found], pa.string()), pa.array(list(found.values()), pa.int64())],
-                names=["lang", "phrase", "n"],
-            )
-
-    tasks = int(suffixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = suffixes.repartitionByRange(tasks, *names).sortWithinPartitions(*names)
-    counted = dealt.mapInArrow(sort, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= least)
+            equal_partitions(coded, part["n"].to_numpy(), least, found.__setitem__)
+            langs += [lang] * len(found)
+            phrases += [" ".join(spelt[c] for c in phrase) for phrase in found]
+            counts += found.values()
+        return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string()), "n": pa.array(counts, pa.int64())})
+
+    return suffixes.groupBy("route").applyInArrow(sort, "lang string, phrase string, n bigint")
 
 
 def _frequent_words(words: DataFrame, least: int) -> DataFrame:
@@ -363,8 +355,8 @@ def collocations(
 
     words = written(_frequent_words(made.where("kind = 'words'"), least), "phrases-words")
     runs = written(_shrunk(_with_frequent(made, least), routes), "phrases-runs")
-    suffixes = _suffix_rows(_with_frequent(runs, least), longest, chunk_rows)
-    phrases = written(_phrases(suffixes, least, longest, chunk_rows), "phrases-counts")
+    suffixes = _suffix_packets(_with_frequent(runs, least), routes, longest, chunk_rows)
+    phrases = written(_phrases(suffixes, least, longest), "phrases-counts")
     return rank_phrases(phrases, words, top)
 
 
