@@ -140,7 +140,7 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _automata(items: DataFrame, item_col: str, text_col: str, window: int, shard_words: int) -> list:
     """Broadcast automata of all shards, each built by one task."""
-    named = items.select(F.col(item_col).cast("string").alias("item"), F.coalesce(text_col, F.lit("")).alias("text")).where("item IS NOT NULL")
+    named = items.select(F.col(item_col).cast("string").alias("item"), F.coalesce(text_col, F.lit("")).alias("text"))
     chars = named.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     shards = max(1, -(-chars // (2 * shard_words)))  # a word has two characters or more with its separator
 
@@ -176,9 +176,9 @@ def contamination(
 
     ``spans`` are (first word, word after the last) of the runs inside any occurring
     window of ``window`` words, or inside a whole shorter item. NULL and empty texts
-    have no words; empty items have no window and items without id are left out;
-    repeated items count each; repeated documents give repeated rows. Without items
-    nothing is contaminated.
+    have no words; empty items have no window; items without id hit and count as one
+    item, but are not named; items with one id count once; repeated documents give
+    repeated rows. Without items nothing is contaminated.
     """
     packed = _automata(items, item_col, item_text_col, window, SHARD_WORDS)
 
@@ -188,7 +188,7 @@ def contamination(
             rows = []
             texts = [words_of(text) for text in batch.column(1).to_pylist()]
             for words, (spans, found) in zip(texts, scan(texts)):
-                names = ",".join(sorted(found))
+                names = ",".join(sorted(found - {None}))
                 hit = sum(b - a for a, b in spans)
                 rows.append((len(words), hit, len(found), hashlib.sha256(names.encode()).hexdigest(), hit > 0, [{"first": a, "end": b} for a, b in spans]))
             columns = list(zip(*rows)) or [()] * 6

@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tabloom.llm import collocations, personal_data, prefix_trie, queries
+from tabloom.llm import collocations, decontaminate, personal_data, prefix_trie, queries
 from tabloom.sources.tables import Tables
 
 SMALL = "/root/testdata/sf0.001"
@@ -227,3 +227,16 @@ def test_scores_beyond_64_bits(spark):
     row = collocations.rank_phrases(phrases, words).first()
     n = 85 * 10**12
     assert (row["n"], row["score"]) == (n, 1000 * (10**12 + 7) * n // (6 * 10**24))
+
+
+# ---- benchmark items without id -----------------------------------------------
+
+
+def test_items_without_id_hit_but_are_not_named(spark):
+    passage = " ".join(f"w{k}" for k in range(11))
+    items = spark.createDataFrame([(None, passage), (None, "alone"), ("b", passage)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"so {passage} ends"), (2, "Alone."), (3, "clean")], "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_hit"], r["n_items"], r["items_sha256"]) for r in decontaminate.contamination(docs, items).collect()}
+    assert got == {1: (11, 2, sha("b")), 2: (1, 1, sha("")), 3: (0, 0, sha(""))}
+    only = decontaminate.contamination(docs, items.where("item_id IS NULL")).where("doc_id = 1").first()
+    assert (only["n_hit"], only["n_items"], only["contaminated"]) == (11, 1, True)
