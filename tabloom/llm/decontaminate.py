@@ -154,17 +154,20 @@ def _automata(items: DataFrame, item_col: str, text_col: str, window: int, shard
 
 
 def _scanner(packed: list):
-    """A function from the word lists of a batch to their spans and items."""
+    """A function from the texts of a batch to their numbers of words, spans and items; it holds the words of one text at a time."""
     kept = [pickle.loads(b.value) for b in packed] if len(packed) <= KEEP_LOADED else None
 
-    def scan(texts: list[list[bytes]]) -> list[tuple[list[tuple[int, int]], set[str]]]:
-        spans, found = [[] for _ in texts], [set() for _ in texts]
-        for automaton in kept if kept is not None else (pickle.loads(b.value) for b in packed):
-            for k, words in enumerate(texts):
-                own, names = automaton.scan(words)
-                spans[k] += own
-                found[k] |= names
-        return [(_merged(s), f) for s, f in zip(spans, found)]
+    def scan(texts: list[str | None]) -> list[tuple[int, list[tuple[int, int]], set[str]]]:
+        sizes, spans, found = [0] * len(texts), [[] for _ in texts], [set() for _ in texts]
+        for loaded in [kept] if kept is not None else ([pickle.loads(b.value)] for b in packed):
+            for k, text in enumerate(texts):
+                words = words_of(text)
+                sizes[k] = len(words)
+                for automaton in loaded:
+                    own, names = automaton.scan(words)
+                    spans[k] += own
+                    found[k] |= names
+        return [(n, _merged(s), f) for n, s, f in zip(sizes, spans, found)]
 
     return scan
 
@@ -186,11 +189,10 @@ def contamination(
         scan = _scanner(packed)
         for batch in batches:
             rows = []
-            texts = [words_of(text) for text in batch.column(1).to_pylist()]
-            for words, (spans, found) in zip(texts, scan(texts)):
+            for n_words, spans, found in scan(batch.column(1).to_pylist()):
                 names = ",".join(sorted(found - {None}))
                 hit = sum(b - a for a, b in spans)
-                rows.append((len(words), hit, len(found), hashlib.sha256(names.encode()).hexdigest(), hit > 0, [{"first": a, "end": b} for a, b in spans]))
+                rows.append((n_words, hit, len(found), hashlib.sha256(names.encode()).hexdigest(), hit > 0, [{"first": a, "end": b} for a, b in spans]))
             columns = list(zip(*rows)) or [()] * 6
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, TYPES))], names=["doc_id", *NAMES]
@@ -241,9 +243,8 @@ def decontaminate(
             texts, counts, stay = batch.column(at).to_pylist(), None, []
             if count_at is not None:
                 counts = batch.column(count_at).to_pylist()
-            parted = [words_of(text) for text in texts]
-            for k, (words, (spans, _)) in enumerate(zip(parted, scan(parted))):
-                stay.append(not spans or sum(b - a for a, b in spans) <= max_coverage * len(words))
+            for k, (n_words, spans, _) in enumerate(scan(texts)):
+                stay.append(not spans or sum(b - a for a, b in spans) <= max_coverage * n_words)
                 if spans:
                     texts[k] = without_spans(texts[k], spans)
                     if counts is not None:
