@@ -104,26 +104,29 @@ KNOWN = (
     ("Apache-2.0", "permissive", "SPDX-License-Identifier: Apache-2.0"),
     ("GPL-3.0", "copyleft", "SPDX-License-Identifier: GPL-3.0-only"),
 )
-#: Equivalent spellings, (as found, as kept), applied in this order to lower-case text.
+#: Equivalent spellings, (as found, as kept), applied in this order to lower-case words one space apart.
 SPELLINGS = (
     ("licence", "license"),
     ("licencing", "licensing"),
-    ("sub-license", "sublicense"),
-    ("non-infringement", "noninfringement"),
+    ("sub license", "sublicense"),
+    ("non infringement", "noninfringement"),
     ("merchantibility", "merchantability"),
     ("organisation", "organization"),
     ("favour", "favor"),
     ("copyright owner", "copyright holder"),
 )
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright\b|\(c\)|©|all rights reserved)[^\n]*$"
+#: A notice names a year, or a blank to fill in, or bears the sign; other lines that begin with the word are terms.
+COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright[ \t]*(?:\(c\)|©|[\[<{(]?(?:[0-9]{4}|yyyy|year))|(?:\(c\)|©)[ \t]*(?:copyright[ \t]*)?[\[<{(]?(?:[0-9]{4}|yyyy|year)|all rights reserved)[^\n]*$"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
 def canonical(text: Column) -> Column:
+    """Lower-case words one space apart, without notices, in one spelling; line breaks inside terms do not matter."""
     out = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " ")
+    out = F.trim(F.regexp_replace(out, OTHER, " "))
     for found, kept in SPELLINGS:
         out = F.replace(out, F.lit(found), F.lit(kept))
-    return F.trim(F.regexp_replace(out, OTHER, " "))
+    return out
 
 
 def digest(text: Column) -> Column:
@@ -171,9 +174,10 @@ def _sql() -> str:
 
     def form(text: str) -> str:
         out = f"regexp_replace(lower({text}), {quoted(COPYRIGHT_LINE)}, ' ', 'g')"
+        out = f"trim(regexp_replace({out}, {quoted(OTHER)}, ' ', 'g'))"
         for found, kept in SPELLINGS:
             out = f"replace({out}, {quoted(found)}, {quoted(kept)})"
-        return f"trim(regexp_replace({out}, {quoted(OTHER)}, ' ', 'g'))"
+        return out
 
     values = ", ".join("(" + ", ".join(map(quoted, k)) + ")" for k in KNOWN)
     return f"""

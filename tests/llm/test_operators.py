@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import random
+import textwrap
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin, urlsplit
 
@@ -11,6 +12,7 @@ import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tabloom.llm import attention, chat, components, decontaminate, exact_dedup, html_text, jaccard, language_model, licenses, pieces, quality, queries, url_filter
@@ -189,6 +191,23 @@ def test_licenses(docs):
     assert got == {1: ("MIT", []), 2: (None, ["MIT"]), 3: (None, []), 4: (None, [])}
 
 
+def test_licenses_in_any_wrapping(docs):
+    """Lines of terms that begin with the word copyright stay, wherever a wrapping puts them."""
+    folder = licenses.Path(licenses.__file__).parent / "license_texts"
+    texts = {n: (folder / f"{n}.txt").read_text() for n in ("Apache-2.0", "MPL-2.0")} | {"MIT": licenses.MIT, "ISC": licenses.ISC}
+    wrapped = lambda text, width: "\n\n".join("\n".join(textwrap.wrap(p, width, break_long_words=False, break_on_hyphens=False)) for p in text.split("\n\n"))
+    rows = [(name, wrapped(text, width)) for name, text in texts.items() for width in (60, 72, 79, 10**6)]
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scan_licenses(docs(*((k, text) for k, (_, text) in enumerate(rows)))).collect()}
+    assert [got[k] for k in range(len(rows))] == [name for name, _ in rows]
+
+
+def test_license_notices_and_terms(docs):
+    notices = ["Copyright (c) 2020 A", "(C) 1999-2004 B", "\u00a9 2021 C", "Copyright 2001 D", "Copyright [yyyy] [name]", "All rights reserved."]
+    terms = ["copyright notice and this permission notice appear", "(c) You must retain the notices", "Copyright law applies"]
+    form = {r[0]: r[1] for r in docs(*enumerate(notices + terms)).select("doc_id", licenses.canonical(F.col("text"))).collect()}
+    assert [bool(form[k]) for k in range(len(form))] == [False] * len(notices) + [True] * len(terms)
+
+
 def test_licenses_whole_texts(docs):
     texts = {name: (licenses.Path(licenses.__file__).parent / "license_texts" / f"{name}.txt").read_text() for name in licenses.TEXTS}
     rows = list(enumerate(texts.values()))
