@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tabloom.llm.storage import small, written
+from tabloom.llm.rows import keyed, staying, unpacked
+from tabloom.llm.storage import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEAD_CHARS = 64
@@ -64,10 +65,17 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = exact_groups(docs, id_col, text_col).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_gone"))
-    gone = written(gone.distinct(), "dedup-gone")
-    return docs.join(small(gone), docs[id_col] == gone["_gone"], "left_anti")
+    """Of equal texts one row, with all its columns: the one with the largest id.
+
+    Rows are judged one by one: rows that share an id but not a text do not go with
+    each other. A row without id stays only if no equal text has an id. Of rows with
+    the same id and equal texts one stays. An empty table gives no rows.
+    """
+    rows = keyed(docs, id_col, text_col)
+    judged = written(exact_groups(rows.select("key", "text"), "key", "text").select("doc_id", "kept"), "dedup-judged")
+    gone = written(judged.where("NOT kept").select(F.col("doc_id").alias("key")).distinct(), "dedup-gone")
+    repeated = judged.where("kept").groupBy(F.col("doc_id").alias("key")).count().where("count > 1").select("key")
+    return unpacked(staying(rows, gone, written(repeated, "dedup-repeated")))
 
 
 SQL = """

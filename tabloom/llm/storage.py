@@ -23,9 +23,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 SMALL_ROWS = 1_000_000
 
 
-def small(table: DataFrame) -> DataFrame:
-    """A written table of ids, to be broadcast if it is counted to be small; else Spark shuffles both sides."""
-    return F.broadcast(table) if table.count() <= SMALL_ROWS else table
+def small(table: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """A written table of ids, to be broadcast if it is counted to have few rows; else Spark shuffles both sides."""
+    return F.broadcast(table) if table.count() <= rows else table
 
 
 def pack(**columns: pa.Array) -> bytes:
