@@ -5,10 +5,12 @@ import json
 import math
 import random
 import textwrap
+from collections import Counter
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin, urlsplit
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -97,6 +99,42 @@ def test_exact_dedup_edges(docs):
     assert exact_dedup.exact_groups(docs()).count() == 0
 
 
+def test_sketches_lose_no_link():
+    draw = random.Random(3)
+    shingler = jaccard.Shingler()
+    for size in (1, 4, 12, 90, 3000):
+        words = [f"s{draw.randrange(10**6)}" for _ in range(size)]
+        a = shingler.tokens(" ".join(words))
+        for k in (0, 1, 3, size // 40):
+            for at in draw.sample(range(size), min(k, size)):
+                words[at] = "new"
+            b = shingler.tokens(" ".join(words))
+            x, y = (np.array(jaccard.sketch_of(t)).view(np.uint64) for t in (a, b))
+            lacking = int(np.bitwise_count(x & ~y).sum())
+            assert len(jaccard.sketch_of(a)) == jaccard.SKETCH and int(np.bitwise_count(x).sum()) <= len(a)
+            assert len(a) - lacking >= len(np.intersect1d(a, b))
+
+
+STAY = [(1, "copy text"), (2, "copy TEXT"), (1, "unique text only here"), (None, "Copy Text"), (3, "no number"), (None, "NO number"), (None, "lost"), (None, "lost"), (5, "twice"), (5, "twice"), (6, None), (7, "")]
+
+
+def test_exact_copies_go_by_row(docs):
+    got = exact_dedup.drop_exact_copies(docs(*STAY))
+    assert got.columns == ["doc_id", "text", "node", "n"]
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(2, "copy TEXT"), (1, "unique text only here"), (3, "no number"), (None, "lost"), (5, "twice"), (7, "")])
+    assert exact_dedup.drop_exact_copies(docs()).count() == 0
+
+
+def test_near_copies_go_by_row(docs):
+    long = " ".join(f"n{k}" for k in range(40))
+    rows = [(1, long), (2, long + " more"), (None, long + " more"), (1, "another text of six words"), (4, "another text of six words"), (None, "alone"), (None, "alone"), (5, ""), (5, ""), (6, None)]
+    got = jaccard.drop_near_duplicates(docs(*rows))
+    assert got.columns == ["doc_id", "text", "node", "n"]
+    assert Counter((r["doc_id"], r["text"]) for r in got.collect()) == Counter([(1, long), (1, "another text of six words"), (None, "alone"), (5, ""), (6, None)])
+    plain = jaccard.drop_near_duplicates(docs((1, long), (2, long + " more"), (3, None)))
+    assert sorted(r["doc_id"] for r in plain.collect()) == [1, 3] and jaccard.drop_near_duplicates(docs()).count() == 0
+
+
 def test_decontamination_cuts_spans(spark, docs):
     items = spark.createDataFrame([("long", " ".join(f"t{k}" for k in range(14))), ("short", "alpha beta"), ("one", "solo"), ("none", None)], "item_id string, text string")
     leak = " ".join(f"T{k}," for k in range(2, 13))
