@@ -7,6 +7,8 @@ messages is never gathered; (conv_id, order_key) is the order inside a conversat
 from __future__ import annotations
 
 import json
+import math
+import pathlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,11 +16,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tabloom.llm.storage import written
 
-#: Tools of the production query: name -> JSON Schema of the arguments.
-SCHEMAS = {
-    "search": {"type": "object", "properties": {"query": {"type": "string"}, "limit": {"type": "integer"}}, "required": ["query"], "additionalProperties": False},
-    "calculator": {"type": "object", "properties": {"expression": {"type": "string"}}, "required": ["expression"], "additionalProperties": False},
-}
+
+
+def read_schemas(path: str | pathlib.Path) -> dict:
+    """Tools and the JSON Schema of their arguments, from a JSON file ``{name: schema}``."""
+    return json.loads(pathlib.Path(path).read_text(encoding="utf-8"))
+
+
+#: Tools of the production query.
+SCHEMAS = read_schemas(pathlib.Path(__file__).with_name("tool_schemas.json"))
+#: Objects and lists inside each other; a text that goes deeper is plain text.
+DEEPEST = 200
 IS_TYPE = {
     "object": lambda v: isinstance(v, dict),
     "array": lambda v: isinstance(v, list),
@@ -60,33 +68,61 @@ def errors_of(value, schema: dict, at: str = "$") -> list[str]:
 
 
 def _object(text: str | None) -> dict | None:
+    """The JSON object that a text is; None for any other text, numbers beyond a double and depths beyond ``DEEPEST``."""
     if not text or not text.lstrip().startswith("{"):
         return None
     try:
-        value = json.loads(text, parse_constant=lambda name: _refuse(name))
+        value = json.loads(text, parse_constant=_refuse, parse_float=_finite)
     except (ValueError, RecursionError):
         return None
-    return value if isinstance(value, dict) else None
+    return value if isinstance(value, dict) and _shallow(value) else None
 
 
 def _refuse(name: str):
     raise ValueError(f"{name} is not JSON")
 
 
+def _finite(digits: str) -> float:
+    number = float(digits)
+    return number if math.isfinite(number) else _refuse(digits)
+
+
+def _shallow(value) -> bool:
+    level = [value]
+    for _ in range(DEEPEST):
+        level = [x for v in level for x in (v.values() if isinstance(v, dict) else v) if isinstance(x, (dict, list))]
+        if not level:
+            return True
+    return False
+
+
+def _besides(value: dict, *known: str) -> dict:
+    return {k: v for k, v in value.items() if k not in known}
+
+
 def _calls_of(body: dict | None, schemas: dict) -> list[dict] | None:
+    """Calls with id, name, arguments, errors, after and all their other keys.
+
+    Name and arguments may stand in an object ``function``; what else it holds stays there.
+    """
     calls = body.get("tool_calls") if body else None
     if not isinstance(calls, list) or not calls or not all(isinstance(c, dict) and isinstance(c.get("id"), str) for c in calls):
         return None
     out = []
     for c in calls:
-        given = c.get("arguments")
+        rest, inner = _besides(c, "id", "name", "arguments"), c
+        if isinstance(c.get("function"), dict) and "name" not in c and "arguments" not in c:
+            inner = rest.pop("function")
+            if more := _besides(inner, "name", "arguments"):
+                rest["function"] = more
+        given = inner.get("arguments")
         if isinstance(given, str):
             parsed = _object(given)
             given = given if parsed is None else parsed
-        name = c.get("name") if isinstance(c.get("name"), str) else ""
+        name = inner.get("name") if isinstance(inner.get("name"), str) else ""
         wrong = errors_of(given, schemas[name]) if name in schemas else [f"$: unknown tool {name}"]
         after = [x for x in c["after"] if isinstance(x, str)] if isinstance(c.get("after"), list) else []
-        out.append({"id": c["id"], "name": name, "arguments": given, "errors": wrong, "after": after})
+        out.append({"id": c["id"], "errors": wrong, "after": after, "json": rest | {"id": c["id"], "name": name, "arguments": given}})
     return _topological(out)
 
 
@@ -121,10 +157,10 @@ def parsed(messages: DataFrame, schemas: dict = SCHEMAS, conv_col: str = "conv_i
                 answered = answered if isinstance(answered, str) else None
                 message: dict = {"role": role, "content": text or ""}
                 if calls:
-                    message["content"] = body.get("content") or ""
-                    message["tool_calls"] = [{k: c[k] for k in ("id", "name", "arguments")} for c in calls]
+                    content = body.get("content")
+                    message = body | {"role": role, "content": "" if content is None else content, "tool_calls": [c["json"] for c in calls]}
                 elif answered is not None:
-                    message |= {"content": body.get("content"), "tool_call_id": answered}
+                    message = body | {"role": role, "content": body.get("content")}
                 wrong = [f"{c['id']} {e}" for c in calls or () for e in c["errors"]]
                 own = {c["id"] for c in calls or ()}
                 told = [{"id": c["id"], "rank": k, "after": [a for a in c["after"] if a not in own]} for k, c in enumerate(calls or ())]
@@ -217,8 +253,12 @@ def format_chat(messages: DataFrame, schemas: dict = SCHEMAS, **columns: str) ->
     sorts a conversation: by turn, a linked result right behind its call in the order of
     the calls, wherever it stood; a message with a call that names one of a later
     message in ``after`` comes behind that message and its results (``_moves``).
-    ``link`` is ``linked`` or ``orphan`` for results, else NULL. Everything that is no
-    valid JSON of these forms is plain text. NULL text is empty text, a NULL role stays
+    ``link`` is ``linked`` or ``orphan`` for results, else NULL. A call has the keys
+    ``name`` and ``arguments``, or both in an object ``function``; the JSON holds the
+    first form. All other keys of a message or call stay; the role is the column's.
+    Everything that is no valid JSON of these forms is plain text, also an object with
+    a number beyond a double or nested deeper than ``DEEPEST``; such an arguments
+    string stays a string. NULL text is empty text, a NULL role stays
     NULL; messages without conversation are never linked. Repeated messages give
     repeated rows; an empty table none.
     """

@@ -291,6 +291,30 @@ def test_chat_repeated_ids_and_later_calls(spark):
     assert order(call("e", e=["f"]), "x", call("f", f=["e"]), result("e")) == [0, 3, 1, 2]
 
 
+def test_chat_forms_numbers_and_depth(spark, tmp_path):
+    def deep(levels):
+        return '{"query":' * levels + "1" + "}" * levels
+
+    def wrapped(arguments):
+        return json.dumps({"name": "bot", "content": [1], "tool_calls": [{"id": "a", "type": "function", "function": {"name": "search", "arguments": arguments, "strict": True}}]})
+
+    texts = [wrapped('{"query": "q"}'), wrapped(deep(chat.DEEPEST - 4)), wrapped(deep(chat.DEEPEST + 1)), wrapped(deep(900)), wrapped('{"query": 1e999}'), deep(5000), '{"tool_calls": [{"id": "a", "arguments": {"x": 1e999}}]}']
+    rows = [(1, k, "assistant", t) for k, t in enumerate(texts)] + [(1, 9, "tool", '{"tool_call_id": "a", "content": 1.5, "is_error": false}')]
+    got = {r["turn"]: r for r in chat.format_chat(spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")).collect()}
+    assert got[0]["json"] == '{"content":[1],"name":"bot","role":"assistant","tool_calls":[{"arguments":{"query":"q"},"function":{"strict":true},"id":"a","name":"search","type":"function"}]}'
+    assert got[0]["argument_errors"] == [] and got[1]["argument_errors"] == ["a $.query: not string"]
+    for k in (2, 3, 4):  # such arguments stay a string
+        (call,) = json.loads(got[k]["json"])["tool_calls"]
+        assert call["arguments"] == json.loads(texts[k])["tool_calls"][0]["function"]["arguments"] and got[k]["argument_errors"] == ["a $: not object"]
+    assert all(json.loads(got[k]["json"])["content"] == texts[k] and got[k]["n_calls"] == 0 for k in (5, 6))
+    assert got[9]["json"] == '{"content":1.5,"is_error":false,"role":"tool","tool_call_id":"a"}' and got[9]["link"] == "linked"
+    other = tmp_path / "tools.json"
+    other.write_text('{"search": {"type": "object", "required": ["page"]}}')
+    got = chat.format_chat(spark.createDataFrame(rows[:1], "conv_id int, turn int, role string, text string"), chat.read_schemas(other)).first()
+    assert got["argument_errors"] == ["a $.page: missing"]
+    assert chat.format_chat(spark.createDataFrame([], "conv_id int, turn int, role string, text string")).count() == 0
+
+
 def test_language_model(spark):
     rows = language_model.score_texts(Tables(spark, SMALL).documents).collect()
     texts = {r["doc_id"]: language_model.words_of(r["text"]) for r in Tables(spark, SMALL).documents.collect()}
