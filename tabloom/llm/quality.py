@@ -30,8 +30,8 @@ def features(text: Column) -> dict[str, Column]:
     }
 
 
-def _with_features(docs: DataFrame, text_col: str) -> DataFrame:
-    return docs.withColumn("__q_features", F.array(*(c.cast("double") for c in features(F.col(text_col)).values())))
+def _features(text: Column) -> Column:
+    return F.array(*(c.cast("double") for c in features(text).values()))
 
 
 class Logistic:
@@ -71,8 +71,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     """Classifier fitted on at most ``FIT_ROWS`` labelled rows; None if a class is missing."""
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.max(label_col).alias("__q_label"))
     marked = marked.orderBy(F.xxhash64(id_col), id_col).limit(FIT_ROWS)
-    known = docs.select(id_col, text_col).join(marked, id_col)
-    rows = _with_features(known, text_col).select("__q_features", "__q_label").orderBy(F.xxhash64("__q_features"), "__q_label").limit(FIT_ROWS).collect()
+    marked = written(marked.select(F.col(id_col).alias("id"), "__q_label"), "quality-labels")
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(marked), "id")  # FIT_ROWS rows at most
+    rows = known.select(_features(F.col("text")).alias("__q_features"), "__q_label").orderBy(F.xxhash64("__q_features"), "__q_label").limit(FIT_ROWS).collect()
     y = np.array([float(r["__q_label"] > 0) for r in rows])
     if not rows or y.min() == y.max():
         return None
@@ -100,8 +101,13 @@ def _between(groups: DataFrame, parent_mean: Column) -> float:
     return max(0.0, (spread - (count - 1) * noise) / max(total - squares / total, 1e-9))
 
 
-def posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
-    """(host, path, host_posterior, path_posterior) from (host, path, p), and the global mean.
+def _drawn(total: Column, n: Column, weight: float, parent: Column) -> Column:
+    """Posterior mean of a group of ``n`` values, drawn to its parent's mean with the force of ``weight`` values."""
+    return (total + weight * parent) / (n + weight)
+
+
+def site_sums(scored: DataFrame) -> tuple[DataFrame, float, float, float]:
+    """(host, path, n, s, host_n, host_s) from (host, path, p), the global mean, and the pseudo-counts of hosts and paths.
 
     A host's posterior mean is drawn to the global mean, a path's to its host's; how
     far depends on its number of documents and on how much groups differ in the data.
@@ -114,11 +120,31 @@ def posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
     total = hosts.agg(F.sum("s"), F.sum("n")).first()
     mean = total[0] / total[1] if total[1] else 0.5
     host_weight = _strength(mean, _between(hosts, F.lit(mean)))
-    hosts = hosts.select(F.col("host").alias("of_host"), ((F.col("s") + host_weight * mean) / (F.col("n") + host_weight)).alias("host_posterior"))
+    hosts = hosts.select(F.col("host").alias("of_host"), F.col("n").alias("host_n"), F.col("s").alias("host_s"))
     nested = paths.join(hosts, F.expr("host <=> of_host")).drop("of_host")
-    path_weight = _strength(mean, _between(nested, F.col("host_posterior")))
-    path = (F.col("s") + path_weight * F.col("host_posterior")) / (F.col("n") + path_weight)
-    return written(nested.select("host", "path", "host_posterior", path.alias("path_posterior")), "quality-posteriors"), mean
+    path_weight = _strength(mean, _between(nested, _drawn(F.col("host_s"), F.col("host_n"), host_weight, F.lit(mean))))
+    return written(nested.select("host", "path", "n", "s", "host_n", "host_s"), "quality-sites"), mean, host_weight, path_weight
+
+
+def _judged(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, host: str, path: str, threshold: float) -> DataFrame:
+    """(row, quality): every row as one struct, and its judgement."""
+    model = fit(docs, labels, id_col, text_col, label_col)
+    rows = docs.select(
+        F.struct(*(docs[c] for c in docs.columns)).alias("row"), _features(docs[text_col]).alias("features"), F.expr(host).cast("string").alias("host"), F.expr(path).cast("string").alias("path")
+    )
+    odds = model.column("features") if model else F.lit(0.0)
+    scored = rows.select("row", "host", "path", odds.alias("odds"))
+    scored = scored.withColumn("p", 1 / (1 + F.exp(-F.col("odds"))))
+    sites, mean, host_weight, path_weight = site_sums(scored.select("host", "path", "p"))
+    joined = scored.alias("d").join(sites.alias("g"), F.expr("d.host <=> g.host AND d.path <=> g.path"), "left")
+    others = lambda total: F.greatest(F.col(total) - F.col("p"), F.lit(0.0))  # noqa: E731  the sum without the row itself
+    joined = joined.withColumn("host_posterior", _drawn(others("host_s"), F.col("host_n") - 1, host_weight, F.lit(mean)))
+    joined = joined.withColumn("path_posterior", _drawn(others("s"), F.col("n") - 1, path_weight, F.col("host_posterior")))
+    clipped = F.greatest(F.least(F.col("path_posterior"), F.lit(1 - 1e-9)), F.lit(1e-9))
+    mean = min(max(mean, 1e-9), 1 - 1e-9)
+    final = 1 / (1 + F.exp(-(F.col("odds") + F.log(clipped / (1 - clipped)) - float(np.log(mean / (1 - mean))))))
+    quality = F.struct("d.host", "d.path", F.col("p").alias("doc_probability"), "host_posterior", "path_posterior", final.alias("probability"), (final >= threshold).alias("kept"))
+    return joined.select("row", quality.alias("quality"))
 
 
 def judge_quality(
@@ -128,34 +154,21 @@ def judge_quality(
 
     ``host`` and ``path`` are SQL expressions over the table; NULL is a group of its
     own. The classifier's odds are multiplied by the odds of the path's posterior over
-    the global odds. ``kept`` is probability >= threshold. NULL and empty texts are
-    judged like any text, by their features. Labels without id or value are left out,
-    of several labels of a document the best counts; with labels of one class only,
-    everything has the probability 0.5 and is kept. Repeated documents give repeated
-    rows; an empty table none.
+    the global odds; both posteriors are those of the other rows, so that no row is its
+    own witness, and a row alone on its path is judged by its host. ``kept`` is
+    probability >= threshold. NULL and empty texts are judged like any text, by their
+    features. Labels without id or value are left out, of several labels of a document
+    the best counts; with labels of one class only, everything has the probability 0.5
+    and is kept. Repeated documents give repeated rows; an empty table none. A column
+    ``_quality`` of the table is replaced.
     """
-    model = fit(docs, labels, id_col, text_col, label_col)
-    odds = model.column("__q_features") if model else F.lit(0.0)
-    scored = _with_features(docs, text_col).withColumns({"__q_host": F.expr(host).cast("string"), "__q_path": F.expr(path).cast("string"), "__q_odds": odds})
-    probability = 1 / (1 + F.exp(-F.col("__q_odds")))
-    sites, mean = posteriors(scored.select(F.col("__q_host").alias("host"), F.col("__q_path").alias("path"), probability.alias("p")))
-    sites = sites.select(*(F.col(c).alias(f"__q_s_{c}") for c in sites.columns))
-    clipped = F.greatest(F.least(F.col("__q_s_path_posterior"), F.lit(1 - 1e-9)), F.lit(1e-9))
-    mean = min(max(mean, 1e-9), 1 - 1e-9)
-    final = 1 / (1 + F.exp(-(F.col("__q_odds") + F.log(clipped / (1 - clipped)) - float(np.log(mean / (1 - mean))))))
-    joined = scored.join(sites, F.col("__q_host").eqNullSafe(F.col("__q_s_host")) & F.col("__q_path").eqNullSafe(F.col("__q_s_path")), "left")
-    result = F.struct(
-        F.col("__q_host").alias("host"),
-        F.col("__q_path").alias("path"),
-        probability.alias("doc_probability"),
-        F.col("__q_s_host_posterior").alias("host_posterior"),
-        F.col("__q_s_path_posterior").alias("path_posterior"),
-        final.alias("probability"),
-        (final >= threshold).alias("kept"),
-    )
-    return joined.select(*(docs[c] for c in docs.columns), result.alias("_quality"))
+    judged = _judged(docs, labels, id_col, text_col, label_col, host, path, threshold)
+    own = [c for c in docs.columns if c.lower() != "_quality"]
+    return judged.select(*(F.col("row")[c].alias(c) for c in own), F.col("quality").alias("_quality"))
 
 
-def drop_low_quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
-    return judge_quality(docs, labels, **options).where("_quality.kept").drop("_quality")
+def drop_low_quality(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", host: str = "source", path: str = "concat(source, '/', lang)", threshold: float = 0.5
+) -> DataFrame:
+    """The rows of ``docs`` that ``judge_quality`` keeps, with all their columns."""
+    return _judged(docs, labels, id_col, text_col, label_col, host, path, threshold).where("quality.kept").select("row.*")

@@ -358,6 +358,36 @@ def test_quality_keeps_good_documents(spark):
     assert all(0 <= r["path_posterior"] <= 1 for r in judged)
 
 
+def test_quality_of_documents_not_fitted(spark):
+    tables = Tables(spark, "/root/testdata/sf0.01")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
+    judged = quality.judge_quality(tables.documents, tables.labels.where(half)).select("doc_id", "_quality.*").join(tables.labels.where(~half), "doc_id").collect()
+    assert len(judged) > 100 and sum(r["kept"] == (r["quality"] == 1) for r in judged) >= 0.95 * len(judged)
+
+
+def test_quality_leaves_the_row_out(spark):
+    """Posteriors against sums over the other rows, in plain Python; clashing names, NULLs, repeats."""
+    texts = ["Plain words make a calm sentence here.", "$$ || BUY !! NOW || $$", None, "", "More plain words in another calm sentence."]
+    rows = [(k, texts[k % 5], None if k % 7 == 0 else f"h{k % 3}", "en" if k % 2 else None, "own", 1.0) for k in range(60)] + [(3, texts[3], "alone", "en", "own", 1.0)] * 2
+    table = spark.createDataFrame(rows, "doc_id int, text string, source string, lang string, _quality string, odds double")
+    labels = spark.createDataFrame([(k, int(k % 5 in (0, 4))) for k in range(30)] + [(None, 1), (3, None)], "doc_id int, quality int")
+    got = quality.judge_quality(table, labels)
+    assert got.columns == ["doc_id", "text", "source", "lang", "odds", "_quality"]
+    found = [r["_quality"] for r in got.collect()]
+    sums, mean, host_weight, path_weight = quality.site_sums(got.select("_quality.host", "_quality.path", F.col("_quality.doc_probability").alias("p")))
+    assert len(found) == len(rows) and abs(mean - sum(r["doc_probability"] for r in found) / len(found)) < 1e-9
+    for k, r in enumerate(found):
+        others = [x for i, x in enumerate(found) if i != k and x["host"] == r["host"]]
+        host = (sum(x["doc_probability"] for x in others) + host_weight * mean) / (len(others) + host_weight)
+        others = [x for x in others if x["path"] == r["path"]]
+        path = (sum(x["doc_probability"] for x in others) + path_weight * host) / (len(others) + path_weight)
+        assert abs(r["host_posterior"] - host) < 1e-9 and abs(r["path_posterior"] - path) < 1e-9
+    kept = quality.drop_low_quality(table, labels)
+    assert kept.columns == table.columns and kept.count() == sum(r["kept"] for r in found)
+    assert quality.judge_quality(table.limit(0), labels).count() == 0
+    assert quality.drop_low_quality(table, labels.where("quality = 1")).count() == len(rows)
+
+
 def test_pipeline_runs(spark):
     docs = Tables(spark, SMALL).documents
     rows = corpus_pipeline.run(spark, SMALL).collect()
