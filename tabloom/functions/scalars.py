@@ -84,6 +84,16 @@ def date_plus(part: str, amount: int | Column, column: str | Column) -> Column:
     return F.timestamp_add(part.upper(), F.lit(amount) if isinstance(amount, int) else amount, _col(column))
 
 
+def milliseconds(column: str | Column) -> Column:
+    """Milliseconds since the full minute; what is less than one is cut."""
+    return F.floor(F.date_part(F.lit("SECOND"), _col(column)) * 1000).cast("int")
+
+
+def millisecond(column: str | Column) -> Column:
+    """The millisecond part of a time, 0 to 999."""
+    return F.pmod(milliseconds(column), F.lit(1000))
+
+
 def boundaries_between(part: str, start: str | Column, end: str | Column) -> Column:
     """How many year (month, day, ...) boundaries lie between two times.
 
@@ -101,6 +111,9 @@ def boundaries_between(part: str, start: str | Column, end: str | Column) -> Col
     days = F.date_diff(F.to_date(end), F.to_date(start))
     if part == "day":
         return days
+    if part == "week":  # weeks begin on Sunday, as 1970-01-04 did
+        week = lambda at: F.floor((F.unix_date(F.to_date(at)) + 4) / 7).cast("int")
+        return week(end) - week(start)
     hours = days * 24 + F.hour(end) - F.hour(start)
     if part == "hour":
         return hours
@@ -109,6 +122,8 @@ def boundaries_between(part: str, start: str | Column, end: str | Column) -> Col
         return minutes
     if part == "second":
         return minutes * 60 + F.second(end) - F.second(start)
+    if part == "millisecond":
+        return minutes * 60_000 + milliseconds(end) - milliseconds(start)
     raise ValueError(f"unknown date part {part}")
 
 

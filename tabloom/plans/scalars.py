@@ -175,6 +175,20 @@ for _part in ("year", "month", "day"):
     _add_datediff(_part)
 
 
+@section.query(
+    "fn_datediff_clock",
+    """SELECT event_id, CAST(date_diff('day', DATE '1899-12-31', CAST(ts AS DATE)) // 7 - date_diff('day', DATE '1899-12-31', CAST(since AS DATE)) // 7 AS INTEGER) AS weeks,
+              date_diff('minute', since, ts) AS minutes, date_diff('second', since, ts) AS seconds,
+              date_diff('millisecond', since, ts) AS milliseconds, CAST(millisecond(ts) % 1000 AS INTEGER) AS millisecond
+       FROM events JOIN (SELECT user_id, min(ts) AS since FROM events GROUP BY user_id) AS f USING (user_id)""",
+)
+def fn_datediff_clock(t):
+    """Boundaries between the first event of a user and each of the user's events."""
+    events = t.events.join(t.events.groupBy("user_id").agg(F.min("ts").alias("since")), "user_id")
+    counted = (S.boundaries_between(part, "since", "ts").alias(f"{part}s") for part in ("week", "minute", "second", "millisecond"))
+    return events.select("event_id", *counted, S.millisecond("ts").alias("millisecond"))
+
+
 @section.query(
     "fn_dateparts",
     """SELECT event_id, CAST(year(ts) AS INTEGER) AS y, CAST(month(ts) AS INTEGER) AS m, CAST(day(ts) AS INTEGER) AS d,

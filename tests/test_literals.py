@@ -112,6 +112,12 @@ def test_boundaries_between(spark):
     assert n("hour", "2024-01-01 23:59:59", "2024-01-02 00:00:00") == 1
     assert n("minute", "2024-01-01 00:00:59", "2024-01-01 00:02:00") == 2
     assert n("second", "2024-01-01 00:00:00.9", "2024-01-01 00:00:01.0") == 1
+    assert n("millisecond", "2024-01-01 00:00:00.9999", "2024-01-01 00:00:01.0") == 1
+    assert n("millisecond", "2024-01-02 00:00:00", "2024-01-01 23:59:59.9985") == -2
+    assert n("millisecond", "1900-01-01", "2024-01-01") == 45_290 * 86_400_000
+    assert n("week", "2024-01-06 23:59:59", "2024-01-07") == 1 and n("week", "2024-01-07", "2024-01-13") == 0
+    assert n("week", "1969-12-28", "1969-12-27") == -1 and n("week", "1969-12-28", "1970-01-03") == 0
+    assert one(spark, S.millisecond(date("2024-01-01 10:20:30.4567"))) == 456
     assert n("year", "2024-01-01", "2023-12-31") == -1
     with pytest.raises(ValueError):
         S.boundaries_between("century", date("2024-01-01"), date("2024-01-01"))
