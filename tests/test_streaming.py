@@ -1,5 +1,8 @@
 """Streams in several batches against the batch operators."""
 
+from types import SimpleNamespace
+
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +10,7 @@ from tabloom.functions.amounts import units
 from tabloom.operators import rules as R
 from tabloom.operators.changes import delete_copies
 from tabloom.session import scratch_path
-from tabloom.streaming import aggregates as A, feeds, tables as ST
+from tabloom.streaming import aggregates as A, balances, feeds, tables as ST
 from tabloom.streaming.balances import debit_stream
 
 MEASURES = {"n": lambda: F.count(F.lit(1)), "top": lambda: F.max("value")}
@@ -172,3 +175,56 @@ def test_a_key_is_accepted_once_over_batches(spark, values, remember, accepted):
     rows = ST.quarantine_stream(feed, [R.Key(("id",), primary=True)], remember=remember).collect()
     assert len(rows) == 11 and sum(r.verdict == "accepted" for r in rows) == accepted
     assert all(list(r.reasons) == ([] if r.verdict == "accepted" else ["primary_key(id)"]) for r in rows)
+
+
+class _ListState:
+    def __init__(self):
+        self.rows = []
+
+    def get(self):
+        return iter(self.rows)
+
+    def put(self, rows):
+        self.rows = list(rows)
+
+    def appendList(self, rows):
+        self.rows += rows
+
+    def clear(self):
+        self.rows = []
+
+
+class _Handle:
+    def __init__(self):
+        self.states, self.timers = {}, []
+
+    def getListState(self, name, schema):
+        return self.states.setdefault(name, _ListState())
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+def test_accounts_of_a_bucket_are_decided_in_one_call():
+    """Four accounts of one bucket, and a row without account; ids beyond a double stay exact."""
+    big = 2**53 + 1
+    rows = [(big, 1000, big, 60), (7, 3000, 2, 30), (big, 2000, 3, 60), (8, 1000, 4, 101), (9, 9_000_000, 5, 1), (0, 0, 0, 0)]
+    chunk = pd.DataFrame(rows, columns=list(balances.WAITING)).assign(known=[True] * 5 + [False])
+    handle, debits = _Handle(), balances.Debits(100)
+    debits.init(handle)
+    assert list(debits.handleInputRows((1,), iter([chunk]), None)) == [] and handle.timers == [2]
+    now = SimpleNamespace(getCurrentWatermarkInMs=lambda: 5)
+    (out,) = debits.handleExpiredTimer((1,), now, None)
+    decided = {(r.account_id, r.entry_id): (r.accepted, r.balance_cents) for r in out.itertuples()}
+    assert decided == {(big, big): (True, 40), (big, 3): (False, 40), (7, 2): (True, 70), (8, 4): (False, 100)}
+    assert handle.states["waiting"].rows == [(9, 9_000_000, 5, 1)] and handle.timers == [2, 9001]
+    assert dict(handle.states["balances"].rows) == {big: 40, 7: 70, 8: 100}
+
+
+def test_balances_leave_rows_without_account_out(spark, values):
+    path = scratch_path(spark, "debits")
+    rows = [(1, 1, "2024-01-01", 60), (None, 2, "2024-01-01", 5), (2, None, "2024-01-02", 5), (1, 3, "2024-01-03", 60), (2**60 + 1, 2**60 + 3, "2024-01-03", 1)]
+    values("account_id bigint, entry_id bigint, at string, amount_cents bigint", *rows).withColumn("at", F.col("at").cast("timestamp_ntz")).coalesce(1).write.parquet(path)
+    done = debit_stream(feeds.stream_files(spark, path, spark.read.parquet(path).schema), 100, "31 days")
+    found = sorted(tuple(r) for r in done.decisions.collect())
+    assert found == [(1, 1, 60, True, 40), (1, 3, 60, False, 40), (2**60 + 1, 2**60 + 3, 1, True, 99)]
