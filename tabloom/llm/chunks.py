@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -28,20 +30,32 @@ from tabloom.llm.storage import pack, unpack
 BLOCK_CHARS = 32_000_000
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list, list[str]]]:
-    """(block, ids, texts); NULL texts are empty."""
-    part, number = TaskContext.get().partitionId(), 0
-    ids, texts, chars = [], [], 0
+#: Rows whose texts are Python strings at a time.
+RUN_ROWS = 256
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list, list[str]]]:
+    """(block, ids, texts) of some rows at a time, none of two blocks; NULL texts are empty."""
+    part, number, chars = TaskContext.get().partitionId(), 0, 0
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids.append(key)
-            texts.append(text or "")
-            chars += len(texts[-1]) + 20
-            if chars >= BLOCK_CHARS:
+        for low in range(0, batch.num_rows, RUN_ROWS):
+            run = batch.slice(low, RUN_ROWS)
+            ids, texts = [], []
+            for key, text in zip(run.column(0).to_pylist(), run.column(1).to_pylist()):
+                ids.append(key)
+                texts.append(text or "")
+                chars += len(texts[-1]) + 20
+                if chars >= BLOCK_CHARS:
+                    yield f"{part}-{number}", ids, texts
+                    ids, texts, chars, number = [], [], 0, number + 1
+            if ids:
                 yield f"{part}-{number}", ids, texts
-                ids, texts, chars, number = [], [], 0, number + 1
-    if ids:
-        yield f"{part}-{number}", ids, texts
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[tuple[list, list[str]]]]]:
+    """(block, runs of ids and texts); the runs of a block are to be read before the next block."""
+    for block, runs in groupby(_runs(batches), key=itemgetter(0)):
+        yield block, ((ids, texts) for _, ids, texts in runs)
 
 
 def text_blocks(docs: DataFrame) -> DataFrame:
@@ -50,8 +64,9 @@ def text_blocks(docs: DataFrame) -> DataFrame:
     kind = pa.int64() if kind in ("bigint", "int", "smallint", "tinyint") else pa.string()
 
     def cut(batches):
-        for block, ids, texts in _blocks(batches):
-            packet = pack(id=pa.array(ids, kind), text=pa.array(texts, pa.large_string()))
+        for block, runs in _blocks(batches):
+            columns = zip(*((pa.array(ids, kind), pa.array(texts, pa.large_string())) for ids, texts in runs))
+            packet = pack(**dict(zip(("id", "text"), map(pa.concat_arrays, columns))))
             yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([packet], pa.binary())], names=["block", "packet"])
 
     return docs.mapInArrow(cut, "block string, packet binary")
@@ -70,11 +85,17 @@ def _checksum(chunks: list[str]) -> int:
 
 
 def chunk_packets(docs: DataFrame, split: Callable[[list, list[str]], dict[str, int]], buckets: int) -> DataFrame:
-    """(bucket, block, packet): the distinct chunks of every block with a count, ``split(ids, texts)``, by bucket."""
+    """(bucket, block, packet): the distinct chunks of every block with a count, by bucket.
+
+    ``split(ids, texts)`` counts the chunks of some rows; the texts of a block are never held together.
+    """
 
     def cut(batches):
-        for block, ids, texts in _blocks(batches):
-            counts = split(ids, texts)
+        for block, runs in _blocks(batches):
+            counts: dict[str, int] = {}
+            for ids, texts in runs:
+                for chunk, n in split(ids, texts).items():
+                    counts[chunk] = counts.get(chunk, 0) + n
             parts = _dealt(counts, buckets)
             keys = list(parts)
             packets = [pack(chunk=pa.array(c, pa.string()), count=pa.array([counts[x] for x in c], pa.int64())) for c in parts.values()]

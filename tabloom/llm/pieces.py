@@ -16,7 +16,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
-from tabloom.llm.chunks import answered, bucket_count, by_block, chunk_packets, text_blocks
+from tabloom.llm.chunks import RUN_ROWS, answered, bucket_count, by_block, chunk_packets, text_blocks
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -99,6 +99,13 @@ def _encoded(docs: DataFrame, path: str | None, finish, schema: str) -> DataFram
             coded.update((w, " ".join(map(str, ids))) for w, ids in zip(fresh, segmented))
             odd.update((w, s) for w, s in zip(fresh, model.spell(fresh, segmented)) if s != " " + w.replace(MARK, " "))
         end = str(model.end)
+        out = []
+        for low in range(0, max(1, len(texts)), RUN_ROWS):  # some rows at a time, so that few of their strings are held
+            part = slice(low, low + RUN_ROWS)
+            out.append(finish(ids[part], *written_out(model, texts[part], coded, odd, end)))
+        return pa.concat_tables(out)
+
+    def written_out(model, texts, coded, odd, end):
         strings, sizes, decoded = [], [], []
         for words in map(model.split, texts):
             row = " ".join([*map(coded.__getitem__, words), end])
@@ -108,7 +115,7 @@ def _encoded(docs: DataFrame, path: str | None, finish, schema: str) -> DataFram
                 decoded.append("".join(odd.get(w, " " + w.replace(MARK, " ")) for w in words)[1:])
             else:
                 decoded.append(" ".join(words).replace(MARK, " "))
-        return finish(ids, strings, sizes, decoded)
+        return strings, sizes, decoded
 
     buckets = bucket_count(docs)
     packets = answered(chunk_packets(docs, split, buckets), answer)

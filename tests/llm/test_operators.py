@@ -17,7 +17,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabloom.llm import attention, chat, components, decontaminate, exact_dedup, html_text, jaccard, language_model, licenses, pieces, quality, queries, url_filter
+from tabloom.llm import attention, chat, chunks, components, decontaminate, exact_dedup, html_text, jaccard, language_model, licenses, pieces, quality, queries, url_filter
 from tabloom.sources.tables import TABLE_NAMES, Tables
 from tools.check import compare
 
@@ -392,3 +392,60 @@ def test_pipeline_runs(spark):
     docs = Tables(spark, SMALL).documents
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert 0 < len(rows) < docs.count() and len({r["doc_id"] for r in rows}) == len(rows)
+
+
+def test_sketches_tell_near_misses():
+    """Two sets below the threshold are told apart although many of their tokens share a bit."""
+    draw = random.Random(5)
+    kept = 0
+    for size in (150, 300, 400):
+        words = [f"n{draw.randrange(10**6)}" for _ in range(size)]
+        other = list(words)
+        for at in range(0, size, 24):  # a fifth to a quarter of the shingles, so that less than 0.7 are shared
+            other[at] = "new"
+        a, b = (jaccard.Shingler().tokens(" ".join(w)) for w in (words, other))
+        shared, overlap = len(np.intersect1d(a, b)), math.ceil(75 * (len(a) + len(b)) / 175)
+        one, two = (np.array(jaccard.sketch_of(t) + jaccard.again_of(t)).view(np.uint64) for t in (a, b))
+        spare = min(len(t) - int(np.bitwise_count(s).sum()) for t, s in ((a, one), (b, two)))
+        room = int(np.bitwise_count(one & two).sum()) + spare
+        assert shared < overlap and shared <= room
+        kept += room >= overlap
+    assert kept == 0
+
+
+def test_packets_hold_every_prefix_token():
+    draw = np.random.default_rng(2)
+    parts = []
+    for node in (5, -7, 9):
+        tokens = draw.integers(0, 2**63, 40).astype(np.uint64) * np.uint64(2)
+        parts.append((tokens, np.arange(40) >= 30, node, 100))
+    batch = jaccard._packed(parts, 7)
+    found = []
+    for slot, packet in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        rows = jaccard.unpack(packet)
+        often = rows["token"].type == jaccard.pa.int64()
+        assert 0 <= slot < 7
+        found += [(n, p, often, t % 2**32) for t, n, p in zip(rows["token"].to_pylist(), rows["node"].to_pylist(), rows["place"].to_pylist())]
+    assert sorted(found) == sorted((node, k, bool(heavy[k]), int(tokens[k]) % 2**32) for tokens, heavy, node, _ in parts for k in range(40))
+
+
+def test_few_texts_of_a_block_are_held_at_a_time(spark):
+    """Counting and writing out go by some rows; the results are those of whole blocks."""
+    sizes = []
+    texts = [f"word{k % 7} and {k}" for k in range(600)]
+    real = pieces.hashlib.sha256
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+
+    def split(ids, part):
+        counts = Counter(w for t in part for w in t.split())
+        return counts | {f"rows {len(ids)}": 1}
+
+    for row in chunks.chunk_packets(docs, split, 1).collect():
+        part = chunks.unpack(bytes(row.packet))
+        counts = dict(zip(part["chunk"].to_pylist(), part["count"].to_pylist()))
+        sizes += [int(w.split()[1]) for w in counts if w.startswith("rows ")]
+        assert counts["and"] == 600 and counts["word3"] == 86
+    assert sizes and max(sizes) <= chunks.RUN_ROWS
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    coded = {r.doc_id: r.ids_sha256 for r in pieces.encode_digests(docs).collect()}
+    assert coded == {k: real(" ".join(map(str, [*model.encode(t), model.eos_id()])).encode()).hexdigest() for k, t in enumerate(texts)}
