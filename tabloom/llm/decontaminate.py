@@ -21,6 +21,8 @@ WINDOW = 10
 SHARD_WORDS = 100_000
 #: Automata that a task keeps loaded; with more shards it loads them one after the other for every batch.
 KEEP_LOADED = 4
+#: Rows whose texts are Python strings at a time.
+RUN_ROWS = 256
 #: Lower-cases A-Z; every other ASCII character but a-z and 0-9 separates words; bytes of other characters belong to words.
 NORMAL = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b > 127 else 32 for b in range(256))
 
@@ -153,6 +155,14 @@ def _automata(items: DataFrame, item_col: str, text_col: str, window: int, shard
     return [context.broadcast(row[0]) for row in dealt.groupBy("shard").applyInPandas(build, "automaton binary").toLocalIterator()]
 
 
+def _runs(batches: Iterator[pa.RecordBatch], packed: list) -> Iterator[pa.RecordBatch]:
+    """Some rows of a batch at a time; whole batches, where automata are loaded for each."""
+    for batch in batches:
+        step = RUN_ROWS if len(packed) <= KEEP_LOADED else max(1, batch.num_rows)
+        for low in range(0, max(1, batch.num_rows), step):
+            yield batch.slice(low, step)
+
+
 def _scanner(packed: list):
     """A function from the texts of a batch to their numbers of words, spans and items; it holds the words of one text at a time."""
     kept = [pickle.loads(b.value) for b in packed] if len(packed) <= KEEP_LOADED else None
@@ -187,7 +197,7 @@ def contamination(
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = _scanner(packed)
-        for batch in batches:
+        for batch in _runs(batches, packed):
             rows = []
             for n_words, spans, found in scan(batch.column(1).to_pylist()):
                 names = ",".join(sorted(found - {None}))
@@ -239,21 +249,24 @@ def decontaminate(
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scan = _scanner(packed)
-        for batch in batches:
-            texts, counts, stay = batch.column(at).to_pylist(), None, []
+        for batch in _runs(batches, packed):
+            texts, counts, stay, changed = batch.column(at).to_pylist(), None, [], False
             if count_at is not None:
                 counts = batch.column(count_at).to_pylist()
             for k, (n_words, spans, _) in enumerate(scan(texts)):
                 stay.append(not spans or sum(b - a for a, b in spans) <= max_coverage * n_words)
                 if spans:
                     texts[k] = without_spans(texts[k], spans)
+                    changed = True
                     if counts is not None:
                         counts[k] = len(texts[k])
             columns = list(batch.columns)
-            columns[at] = pa.array(texts, columns[at].type)
-            if counts is not None:
-                columns[count_at] = pa.array(counts, columns[count_at].type)
-            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(stay, pa.bool_()))
+            if changed:
+                columns[at] = pa.array(texts, columns[at].type)
+                if counts is not None:
+                    columns[count_at] = pa.array(counts, columns[count_at].type)
+            run = pa.RecordBatch.from_arrays(columns, names=names)
+            yield run if all(stay) else run.filter(pa.array(stay, pa.bool_()))
 
     return docs.mapInArrow(clean, docs.schema)
 

@@ -449,3 +449,24 @@ def test_few_texts_of_a_block_are_held_at_a_time(spark):
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     coded = {r.doc_id: r.ids_sha256 for r in pieces.encode_digests(docs).collect()}
     assert coded == {k: real(" ".join(map(str, [*model.encode(t), model.eos_id()])).encode()).hexdigest() for k, t in enumerate(texts)}
+
+
+def test_decontamination_holds_few_texts(spark, docs, monkeypatch):
+    """A batch is judged by some rows at a time, and all its rows come back."""
+    items = spark.createDataFrame([("short", "alpha beta")], "item_id string, text string")
+    table = docs(*((k, "alpha beta" if k % 3 == 0 else f"clean {k}") for k in range(1000))).coalesce(1)
+    held = spark.sparkContext.accumulator(0)
+
+    def watching(packed, real=decontaminate._scanner, most=256):
+        def scan(texts, inner=real(packed)):
+            held.add(len(texts) > most)
+            return inner(texts)
+
+        return scan
+
+    monkeypatch.setattr(decontaminate, "_scanner", watching)
+    got = decontaminate.contamination(table, items).collect()
+    assert sorted((r["doc_id"], r["n_hit"]) for r in got) == [(k, 2 * (k % 3 == 0)) for k in range(1000)]
+    left = decontaminate.decontaminate(table, items).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in left) == [(k, f"clean {k}") for k in range(1000) if k % 3]
+    assert held.value == 0
