@@ -18,24 +18,26 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import batched
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tabloom.llm import attention
-from tabloom.llm.chunks import answered, bucket_count, by_block, chunk_packets, text_blocks
+from tabloom.llm.chunks import RUN_ROWS, answered, bucket_count, by_block, chunk_packets, text_blocks
 from tabloom.llm.storage import pack, unpack, written
 
 MODEL = "piece_bpe_32k.model"
 #: Words of a training window, rounds of training.
 WINDOW_WORDS, ROUNDS = 32, 2
-#: Windows of a record batch.
-WINDOWS = 4096
+#: Windows of a packet, whose distinct words the inner model reads once.
+WINDOWS = 10_000
 #: Preceding ids that are groups of their own when ids are classed, and groups of the rest.
 COMMON, RESTS = 96, 32
 #: Block lengths of the outer model (words) and of the inner model (ids).
@@ -71,6 +73,105 @@ def is_held_out(key) -> bool:
     return zlib.crc32(("" if key is None else str(key)).encode()) % 10 == 0
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, as ``words_of`` gives them, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.flatten()
+    full = pc.not_equal(words, "")  # white space at the start or the end of a text leaves an empty word
+    before = np.concatenate([[0], np.cumsum(full.to_numpy(zero_copy_only=False))])
+    lengths = pc.list_value_length(lists).to_numpy().astype(np.int64)
+    ends = np.cumsum(lengths)
+    return words.filter(full), before[ends] - before[ends - lengths]
+
+
+def _joined(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(lengths.sum())), lengths
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+def _taken(flat: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The sequences ``which`` of ``flat``, one after another."""
+    some = lengths[which]
+    return flat[np.repeat(_starts(lengths)[which] - _starts(some), some) + np.arange(int(some.sum()))]
+
+
+@dataclass
+class Windows:
+    """Windows one after another, and the ids of their distinct words.
+
+    Window k has ``sizes[k]`` words. It is read behind the id ``before[k]`` and holds
+    ``lengths[k]`` ids of ``first``: the first ids of its words, and the end where the
+    text ends. ``codes`` are the places of its words among the distinct lists of ids,
+    in their order, whose ids and lengths are ``kinds`` and ``kind_lengths``.
+    """
+
+    before: np.ndarray
+    sizes: np.ndarray
+    lengths: np.ndarray
+    first: np.ndarray
+    codes: np.ndarray
+    kinds: np.ndarray
+    kind_lengths: np.ndarray
+
+
+def _coded(words: pa.Array, model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, kinds, kind_lengths): places of the words among the sorted distinct lists of ids, and these."""
+    coded = words.dictionary_encode()
+    ids, lengths = _joined(model.encode(coded.dictionary.to_pylist(), num_threads=1))
+    offsets = pa.array(4 * np.concatenate([[0], np.cumsum(lengths)]), pa.int64())
+    spelt = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, offsets.buffers()[1], pa.py_buffer(ids.astype(">u4").tobytes())])
+    kinds = spelt.dictionary_encode()
+    order = pc.sort_indices(kinds.dictionary).to_numpy().astype(np.int64)
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    of_word = kinds.indices.to_numpy()
+    some = np.empty(len(order), np.int64)
+    some[of_word] = np.arange(len(of_word))  # a word of each kind
+    return rank[of_word][coded.indices.to_numpy()], _taken(ids, lengths, some[order]), lengths[some[order]]
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[Windows]:
+    """The words of every training document of (id, text), in windows that tile it, up to ``WINDOWS`` at a time."""
+    model = _model()
+    begin, end = model.bos_id(), model.eos_id()
+    last = begin  # first id of the word before
+
+    def cut(words, sizes, opens, closes):
+        nonlocal last
+        codes, kinds, kind_lengths = _coded(words, model)
+        ids = kinds[_starts(kind_lengths)][codes]
+        before = np.where(opens, begin, np.concatenate([[last], ids])[_starts(sizes)])
+        first = np.full(len(ids) + int(closes.sum()), end)
+        first[np.arange(len(ids)) + np.repeat(np.cumsum(closes) - closes, sizes)] = ids
+        last = ids[-1] if len(ids) else last
+        return Windows(before, sizes, sizes + closes, first, codes, kinds, kind_lengths)
+
+    waiting, held = [], 0
+    for batch in batches:
+        for low in range(0, batch.num_rows, RUN_ROWS):
+            run = batch.slice(low, RUN_ROWS)
+            words, n = split_words(run.column(1).filter(pa.array([not is_held_out(key) for key in run.column(0).to_pylist()], pa.bool_())))
+            parts = np.maximum(1, -(-n // WINDOW_WORDS))
+            final = np.cumsum(parts) - 1
+            sizes, opens, closes = np.full(int(parts.sum()), WINDOW_WORDS), np.zeros(int(parts.sum()), bool), np.zeros(int(parts.sum()), np.int64)
+            sizes[final], opens[final - parts + 1], closes[final] = n - (parts - 1) * WINDOW_WORDS, True, 1
+            waiting.append((words, sizes, opens, closes))
+            held += len(sizes)
+            if held >= WINDOWS:
+                words, (sizes, opens, closes) = pa.concat_arrays([w[0] for w in waiting]), map(np.concatenate, zip(*(w[1:] for w in waiting)))
+                while len(sizes) >= WINDOWS:
+                    size = int(sizes[:WINDOWS].sum())
+                    yield cut(words[:size], sizes[:WINDOWS], opens[:WINDOWS], closes[:WINDOWS])
+                    words, sizes, opens, closes = words[size:], sizes[WINDOWS:], opens[WINDOWS:], closes[WINDOWS:]
+                waiting, held = [(words, sizes, opens, closes)], len(sizes)
+    if held:
+        yield cut(pa.concat_arrays([w[0] for w in waiting]), *map(np.concatenate, zip(*(w[1:] for w in waiting))))
+
+
 def training_windows(docs: DataFrame) -> DataFrame:
     """(before, first, words): the words of every training document, in windows that tile it.
 
@@ -78,51 +179,98 @@ def training_windows(docs: DataFrame) -> DataFrame:
     start), ``first`` holds the first ids of its words (and the end, where the text
     ends), ``words`` the ids of each word.
     """
-    fields = (("before", pa.int32()), ("first", pa.list_(pa.int32())), ("words", pa.list_(pa.list_(pa.int32()))))
 
-    def windows(batch, model):
-        begin, end = model.bos_id(), model.eos_id()
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if is_held_out(key):
-                continue
-            words = words_of(text)
-            kinds = list(dict.fromkeys(words))
-            of = dict(zip(kinds, model.encode(kinds, num_threads=1)))
-            before = begin
-            for low in range(0, max(1, len(words)), WINDOW_WORDS):
-                part = [of[w] for w in words[low : low + WINDOW_WORDS]]
-                first = [ids[0] for ids in part]
-                yield before, first + [end] * (low + WINDOW_WORDS >= len(words)), part
-                before = first[-1] if first else begin
+    def lists(lengths, values):
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
+
+    def rows(batches):
+        for w in _windows(batches):
+            words = lists(w.kind_lengths, pa.array(w.kinds, pa.int32())).take(pa.array(w.codes))
+            columns = [pa.array(w.before, pa.int32()), lists(w.lengths, pa.array(w.first, pa.int32())), lists(w.sizes, words)]
+            yield pa.RecordBatch.from_arrays(columns, names=["before", "first", "words"])
+
+    return docs.mapInArrow(rows, "before int, first array<int>, words array<array<int>>")
+
 
-    def cut(batches):
-        model = _model()
-        for batch in batches:
-            for rows in batched(windows(batch, model), WINDOWS):
-                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, (_, kind) in zip(zip(*rows), fields)], names=[n for n, _ in fields])
+#: What training reads of ``Windows``; ``counts`` tells how often a kind stands in them.
+STORED = ("before", "lengths", "first", "kinds", "kind_lengths", "counts")
 
-    return docs.mapInArrow(cut, "before int, first array<int>, words array<array<int>>")
 
+def window_packets(docs: DataFrame) -> DataFrame:
+    """(packet): ``training_windows`` as few large rows, the distinct words of each told once, with counts."""
 
-def _pairs(ids: Column, before: Column) -> Column:
-    return F.inline(F.arrays_zip(ids.alias("id"), before.alias("before")))
+    def packets(batches):
+        for w in _windows(batches):
+            columns = vars(w) | {"counts": np.bincount(w.codes, minlength=len(w.kind_lengths))}
+            packet = pack(**{name: pa.array([columns[name].astype(np.int32)], pa.list_(pa.int32())) for name in STORED})
+            yield pa.RecordBatch.from_arrays([pa.array([packet], pa.binary())], names=["packet"])
 
+    return docs.mapInArrow(packets, "packet binary")
 
-def _started(steps: DataFrame, block: int) -> Attention:
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    for batch in batches:
+        for packet in batch.column(0):
+            table = unpack(packet.as_py())
+            yield {name: table[name].combine_chunks().flatten().to_numpy().astype(np.int64) for name in STORED}
+
+
+def _onward(w: dict[str, np.ndarray], which: np.ndarray, end: int) -> np.ndarray:
+    """Of the distinct words ``which``, the ids behind the first, and the end."""
+    ends = np.cumsum(w["kind_lengths"])
+    shifted = np.concatenate([w["kinds"][1:], [end]])
+    shifted[ends - 1] = end
+    return _taken(shifted, w["kind_lengths"], which)
+
+
+def _steps(w: dict[str, np.ndarray], end: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, ids before them, how often) for the outer and for the inner model."""
+    behind = np.concatenate([[0], w["first"][:-1]])
+    full = w["lengths"] > 0
+    behind[_starts(w["lengths"])[full]] = w["before"][full]
+    yield w["first"], behind, np.ones(len(behind))
+    yield _onward(w, np.arange(len(w["counts"])), end), w["kinds"], np.repeat(w["counts"], w["kind_lengths"]).astype(float)
+
+
+def _followers(packets: DataFrame, groups: tuple[np.ndarray, np.ndarray], width: int) -> list[np.ndarray]:
+    """For each model, how often every id stands behind every group of ids, over all training ids."""
+    size, end = _model().get_piece_size(), _model().eos_id()
+
+    def count(batches):
+        sums = [np.zeros(size * width) for _ in groups]
+        for w in _opened(batches):
+            for total, group, (ids, before, n) in zip(sums, groups, _steps(w, end)):
+                total += np.bincount(ids * width + group[before], n, len(total))
+        for k, total in enumerate(sums):
+            some = np.flatnonzero(total)
+            columns = [pa.array(np.full(len(some), k), pa.int32()), pa.array(some, pa.int64()), pa.array(total[some].astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["model", "step", "n"])
+
+    found = packets.mapInArrow(count, "model int, step bigint, n bigint").groupBy("model", "step").agg(F.sum("n").alias("n")).toArrow()
+    model, step, n = (found[c].to_numpy() for c in ("model", "step", "n"))
+    out = []
+    for k in range(len(groups)):
+        table = np.zeros(size * width)
+        table[step[model == k]] = n[model == k]
+        out.append(table.reshape(size, width))
+    return out
+
+
+def _started(packets: DataFrame) -> tuple[Attention, Attention]:
     """Classes from the counts of (before, id) over all training ids, bounded by the model's vocabulary; weights at their start."""
     size = _model().get_piece_size()
-    steps = written(steps.groupBy("id", "before").agg(F.count(F.lit(1)).alias("n")), "lm-steps")
-    counts = np.zeros(size)
-    for row in steps.groupBy("id").agg(F.sum("n").alias("n")).collect():
-        counts[row["id"]] = row["n"]
-    common = np.argsort(-counts, kind="stable")[:COMMON]
-    group = F.create_map(*[F.lit(int(x)) for k, i in enumerate(common) for x in (i, k)])
-    known = steps.select("id", "n", F.coalesce(group[F.col("before")], F.lit(COMMON) + F.pmod("before", F.lit(RESTS))).alias("g"))
-    followers = np.zeros((size, COMMON + RESTS), np.float32)
-    for row in known.groupBy("id", "g").agg(F.sum("n").alias("n")).collect():
-        followers[row["id"], row["g"]] = row["n"]
-    vocabulary = attention.vocabulary(counts, followers)
-    return Attention(attention.start(vocabulary, counts, block), vocabulary, block)
+    nothing = np.zeros(size, np.int64)
+    counts = [table[:, 0] for table in _followers(packets, (nothing, nothing), 1)]
+    groups = []
+    for n in counts:
+        group = COMMON + np.arange(size) % RESTS
+        group[np.argsort(-n, kind="stable")[:COMMON]] = np.arange(min(COMMON, size))
+        groups.append(group)
+    models = []
+    for n, followers, block in zip(counts, _followers(packets, tuple(groups), COMMON + RESTS), (OUTER, INNER)):
+        vocabulary = attention.vocabulary(n, followers.astype(np.float32))
+        models.append(Attention(attention.start(vocabulary, n, block), vocabulary, block))
+    return models[0], models[1]
 
 
 def _flat(params: dict) -> np.ndarray:
@@ -137,24 +285,22 @@ def _shaped(flat: np.ndarray, like: dict) -> dict:
     return out
 
 
-def _round(windows: DataFrame, outer: Attention, inner: Attention, rate: float) -> list[dict]:
+def _round(packets: DataFrame, outer: Attention, inner: Attention, rate: float) -> list[dict]:
     """Averages over partitions of the weights after each one's own pass; empty partitions do not count."""
-    sent = windows.sparkSession.sparkContext.broadcast((outer, inner))
+    sent = packets.sparkSession.sparkContext.broadcast((outer, inner))
     end = _model().eos_id()
 
     def learn(batches):
         outer, inner = sent.value
         over, within, n = outer.params, inner.params, 0
         over_memory, within_memory = {}, {}
-        for batch in batches:
-            first = [np.array(ids, np.int64) for ids in batch.column(1).to_pylist()]
-            over = attention.train(over, outer.vocabulary, first, batch.column(0).to_numpy().astype(np.int64), OUTER, rate, memory=over_memory)
-            kinds = sorted({tuple(word) for words in batch.column(2).to_pylist() for word in words})
-            rest = [np.array([*word[1:], end], np.int64) for word in kinds]
-            mixed = np.random.default_rng(len(kinds)).permutation(len(kinds))
-            opening = np.array([kinds[k][0] for k in mixed], np.int64)
-            within = attention.train(within, inner.vocabulary, [rest[k] for k in mixed], opening, INNER, rate, memory=within_memory)
-            n += len(first)
+        for w in _opened(batches):
+            over = attention.train(over, outer.vocabulary, w["first"], w["lengths"], w["before"], OUTER, rate, memory=over_memory)
+            lengths = w["kind_lengths"]
+            mixed = np.random.default_rng(len(lengths)).permutation(len(lengths))
+            opening = w["kinds"][_starts(lengths)][mixed]
+            within = attention.train(within, inner.vocabulary, _onward(w, mixed, end), lengths[mixed], opening, INNER, rate, memory=within_memory)
+            n += len(w["lengths"])
         if n:
             flat = np.concatenate([_flat(over), _flat(within)])
             parts = np.array_split(flat, range(PART, flat.size, PART))
@@ -166,7 +312,7 @@ def _round(windows: DataFrame, outer: Attention, inner: Attention, rate: float)
         total = sum(w * np.frombuffer(b, np.float32) for w, b in zip(n / n.sum(), table["weights"].to_pylist()))
         return pa.table({"part": table["part"][:1], "weights": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
-    learnt = windows.mapInArrow(learn, "part int, n bigint, weights binary")
+    learnt = packets.mapInArrow(learn, "part int, n bigint, weights binary")
     rows = learnt.groupBy("part").applyInArrow(mean, "part int, weights binary").collect()  # one set of weights
     if not rows:
         return [outer.params, inner.params]
@@ -177,15 +323,10 @@ def _round(windows: DataFrame, outer: Attention, inner: Attention, rate: float)
 
 def train_model(docs: DataFrame) -> tuple[Attention, Attention]:
     """Outer and inner model from the training documents of ``docs`` (id, text)."""
-    end = _model().eos_id()
-    windows = written(training_windows(docs), "lm-windows")
-    behind = F.concat(F.array("before"), F.slice("first", 1, F.size("first") - 1))
-    outer = _started(windows.where("size(first) > 0").select(_pairs(F.col("first"), behind)), OUTER)
-    word = windows.select(F.explode("words").alias("word"))
-    onward = F.concat(F.slice("word", 2, F.size("word")), F.array(F.lit(end)))
-    inner = _started(word.select(_pairs(onward, F.col("word"))), INNER)
+    packets = written(window_packets(docs), "lm-windows")
+    outer, inner = _started(packets)
     for k in range(ROUNDS):
-        outer.params, inner.params = _round(windows, outer, inner, 0.3 / (1 + k))
+        outer.params, inner.params = _round(packets, outer, inner, 0.3 / (1 + k))
     return outer, inner
 
 
@@ -195,16 +336,17 @@ def _unpacked(batches):
             yield from unpack(packet).to_batches()
 
 
-def _inside(inner: Attention, lists: list[list[int]], end: int) -> np.ndarray:
+def _inside(inner: Attention, ids: np.ndarray, lengths: np.ndarray, end: int) -> np.ndarray:
     """Log probability, for each word, of its ids behind the first and of its end."""
-    out = np.zeros(len(lists))
-    for low in range(0, len(lists), 50_000):
-        part = lists[low : low + 50_000]
-        lengths = np.array([len(x) for x in part], np.int64)  # the ids behind the first, and the end
-        stream = np.concatenate([np.array([*x[1:], end], np.int64) for x in part])
-        read, target, place, starts = attention.framed(stream, lengths, np.array([x[0] for x in part], np.int64), INNER)
-        logs = attention.log_probabilities(inner.params, inner.vocabulary, read, target, starts).ravel()[place]
-        out[low : low + 50_000] = np.add.reduceat(logs.astype(np.float64), np.cumsum(lengths) - lengths)
+    onward = np.concatenate([ids[1:], [end]])
+    onward[np.cumsum(lengths) - 1] = end
+    out = np.zeros(len(lengths))
+    starts = _starts(lengths)
+    for low in range(0, len(lengths), 50_000):
+        some = lengths[low : low + 50_000]
+        stream = onward[starts[low] : starts[low] + int(some.sum())]
+        logs = attention.log_probabilities(inner.params, inner.vocabulary, stream, some, ids[starts[low : low + 50_000]], INNER)
+        out[low : low + 50_000] = np.add.reduceat(logs.astype(np.float64), _starts(some))
     return out
 
 
@@ -241,19 +383,20 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     size, begin, end = _model().get_piece_size(), _model().bos_id(), _model().eos_id()
 
     def split(ids, texts):
-        counts: dict[str, int] = {}
-        for key, text in zip(ids, texts):
-            learnt = not is_held_out(key)
-            for word in [*words_of(text), END]:
-                counts[word] = counts.get(word, 0) + learnt
+        words, lengths = split_words(pa.array(texts, pa.large_string()))
+        learnt = np.array([not is_held_out(key) for key in ids], np.int64)
+        coded = words.dictionary_encode()
+        n = np.bincount(coded.indices.to_numpy(), np.repeat(learnt, lengths), len(coded.dictionary))
+        counts = dict(zip(coded.dictionary.to_pylist(), n.astype(np.int64).tolist()))
+        counts[END] = int(learnt.sum())
         return counts
 
     def answer(counts):
-        lists = [ids if w else [end] for w, ids in zip(counts, _model().encode(list(counts), num_threads=1))]
+        ids, lengths = _joined([ids if w else [end] for w, ids in zip(counts, _model().encode(list(counts), num_threads=1))])
         return {
             "n": pa.array(counts.values(), pa.int64()),
-            "first": pa.array([ids[0] for ids in lists], pa.int32()),
-            "inside": pa.array(_inside(sent_inner.value, lists, end).astype(np.float32), pa.float32()),
+            "first": pa.array(ids[_starts(lengths)], pa.int32()),
+            "inside": pa.array(_inside(sent_inner.value, ids, lengths, end).astype(np.float32), pa.float32()),
         }
 
     def summary(counts, columns):
@@ -274,11 +417,21 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sent_first = context.broadcast((mass, kinds))
 
     def use(ids, texts, found):
+        words, lengths = split_words(pa.array(texts, pa.large_string()))
+        coded = words.dictionary_encode()
+        kinds = [*coded.dictionary.to_pylist(), END]
         place: dict[str, int] = {}
         tables = []
-        for words, table in found.columns(set().union([END], *map(words_of, texts))):
-            place.update(zip(words, range(len(place), len(place) + len(words))))
+        for part, table in found.columns(kinds):
+            place.update(zip(part, range(len(place), len(place) + len(part))))
             tables.append(table)
+        places = np.fromiter((place.get(x, -1) for x in kinds), np.int64, len(kinds))
+        if texts and (places < 0).any():
+            raise RuntimeError("the input changed between two reads: words without counts")
+        lengths = lengths + 1  # the end
+        every = np.full(len(words) + len(texts), places[-1])
+        every[np.arange(len(words)) + np.repeat(np.arange(len(texts)), lengths - 1)] = places[coded.indices.to_numpy()]
+        starts = _starts(lengths)
         of = {n: np.concatenate([t[n].to_numpy() for t in tables]) if tables else np.zeros(0, np.int64) for n in ("n", "first", "inside")}
         count, first, outer = of["n"], of["first"].astype(np.int64), sent_outer.value
         mass, kinds = (x[first] for x in sent_first.value)
@@ -288,22 +441,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         among = np.where(first == end, 1.0, kept + rest * np.exp(np.maximum(of["inside"].astype(np.float64), -600)))
         rows = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
         at = 0
-        while at < len(texts):  # some texts at a time, so that their ids stay a bounded array
-            part, n = [], 0
-            while at < len(texts) and n < 100_000:
-                part.append([*words_of(texts[at]), END])
-                n += len(part[-1])
-                at += 1
-            lengths = np.array([len(p) for p in part], np.int64)
-            w = np.fromiter((place.get(x, -1) for p in part for x in p), np.int64, n)
-            if (w < 0).any():
-                raise RuntimeError("the input changed between two reads: words without counts")
-            read, target, where, starts = attention.framed(first[w], lengths, np.full(len(lengths), begin), OUTER)
-            logs = attention.log_probabilities(outer.params, outer.vocabulary, read, target, starts).ravel()[where]
+        while at < len(texts):  # some texts at a time, so that what is made of their ids stays a bounded array
+            to = max(at + 1, int(np.searchsorted(starts, starts[at] + 100_000)))
+            some = lengths[at:to]
+            w = every[starts[at] : starts[at] + int(some.sum())]
+            at = to
+            logs = attention.log_probabilities(outer.params, outer.vocabulary, first[w], some, np.full(len(some), begin), OUTER)
             likely = np.exp(logs.astype(np.float64)) * among[w]
-            score = np.log10((1 - COPY) * likely + COPY * _copies(w, lengths))
-            begins = np.cumsum(lengths) - lengths
-            rows["n_tokens"] += lengths.tolist()
+            score = np.log10((1 - COPY) * likely + COPY * _copies(w, some))
+            begins = _starts(some)
+            rows["n_tokens"] += some.tolist()
             rows["n_known"] += np.add.reduceat((count[w] > 0).astype(np.int64), begins).tolist()
             rows["base_score"] += np.add.reduceat(base[w], begins).tolist()
             rows["score"] += np.add.reduceat(score, begins).tolist()

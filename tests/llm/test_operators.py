@@ -12,6 +12,7 @@ from urllib.parse import urldefrag, urljoin, urlsplit
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -346,6 +347,93 @@ def test_language_model_trains_on_every_word(docs):
     assert all(share[i] > 0 for i in set(first[:-1]))
 
 
+def _attention(seed, size=50, block=4):
+    draw = np.random.default_rng(seed)
+    counts = draw.integers(0, 9, size).astype(float)
+    words = attention.vocabulary(counts, draw.random((size, 6)).astype(np.float32))
+    params = {n: p + draw.normal(0, 0.4, p.shape).astype(np.float32) for n, p in attention.start(words, counts, block).items()}
+    return draw, words, params
+
+
+def _likely(params, words, ids, begin, block):
+    """Log probabilities of one sequence, an id at a time."""
+    read, out = [begin, *ids[:-1]], []
+    rows = params["embedding"][read].astype(float)
+    q, k, v = (rows @ params[n] for n in ("query", "key", "value"))
+    for i, goal in enumerate(ids):
+        seen = range(max(0, i // block - 1) * block, i + 1)
+        weight = np.exp([q[i] @ k[j] / attention.WIDTH**0.5 + params["distance"][i - j] for j in seen])
+        context = weight @ v[list(seen)] / weight.sum()
+        logits = rows[i] @ params["direct"] + context @ params["context"] + params["bias"]
+        out.append(logits[words.of_class[goal]] - np.log(np.exp(logits).sum()) + words.inside[goal])
+    return out
+
+
+@pytest.mark.parametrize("lengths", [[2, 3, 4, 8, 1, 0, 3], [9, 1, 2, 2, 3, 0, 2, 1, 2, 1, 30, 1, 1, 2], [40, 16, 17, 0, 64]], ids=["short", "mixed", "long"])
+def test_attention_equals_brute_force(lengths):
+    draw, words, params = _attention(7)
+    lengths = np.array(lengths)
+    ids, begins = draw.integers(0, 50, lengths.sum()), draw.integers(0, 50, len(lengths))
+    cuts = np.cumsum(lengths) - lengths
+    want = [x for at, n, b in zip(cuts, lengths, begins) for x in _likely(params, words, ids[at : at + n], b, 4)]
+    for tokens in (8, 20, 1000):
+        assert np.allclose(attention.log_probabilities(params, words, ids, lengths, begins, 4, tokens), want, atol=1e-4)
+    (step,) = attention.steps_of(words.of_class, ids, lengths, begins, 4, 1000)
+    slopes, rows = attention._gradients(params, step, 4)
+    slopes["embedding"] = np.zeros_like(params["embedding"])
+    np.add.at(slopes["embedding"], step.read, rows)
+    for name in attention.NAMES:  # along a random direction
+        way = draw.normal(0, 1, params[name].shape)
+        loss = [-attention.log_probabilities(params | {name: (params[name] + e * way).astype(np.float32)}, words, ids, lengths, begins, 4).sum(dtype=float) for e in (-5e-3, 5e-3)]
+        assert abs((loss[1] - loss[0]) / 1e-2 - (slopes[name] * way).sum()) < 2e-2 * (1 + np.abs(slopes[name]).sum() ** 0.5), name
+
+
+def test_short_words_stand_close():
+    """Places of a step are mostly ids, also where words have fewer ids than a block."""
+    draw, words, _ = _attention(3)
+    lengths = draw.integers(1, 5, 3000)
+    ids = draw.integers(0, 50, lengths.sum())
+    steps = list(attention.steps_of(words.of_class, ids, lengths, np.zeros(3000, int), 8, 1500))
+    assert sum(len(s.read) for s in steps) < 1.25 * len(ids) == 1.25 * sum(s.real.sum() for s in steps)
+    assert [x for s in steps for x in s.goal[s.place] // len(s.read)] == words.of_class[ids].tolist()
+
+
+def test_packets_hold_all_windows(monkeypatch):
+    """Packets that end anywhere hold the words of every training text, whatever the rows of a batch."""
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(language_model.MODEL))
+    texts = {k: " ".join(f"W{j % 11}x{k % 3}" for j in range(k * 7 % 200)) + "\t\x1c " * (k % 2) for k in range(300)} | {300: None}
+    table = pa.table({"doc_id": pa.array(texts, pa.int64()), "text": pa.array(texts.values(), pa.string())})
+    monkeypatch.setattr(language_model, "WINDOWS", 13)
+    before, windows, last = [], [], model.bos_id()
+    for key, text in texts.items():
+        words = [] if language_model.is_held_out(key) else model.encode(language_model.words_of(text))
+        for low in [] if language_model.is_held_out(key) else range(0, max(1, len(words)), language_model.WINDOW_WORDS):
+            before.append(words[low - 1][0] if low else model.bos_id())
+            windows.append((words[low : low + language_model.WINDOW_WORDS], low + language_model.WINDOW_WORDS >= len(words)))
+    packets = list(language_model._windows(iter(table.to_batches(max_chunksize=70))))
+    assert [len(p.sizes) for p in packets[:-1]] == [13] * (len(packets) - 1)
+    found = []
+    for p in packets:
+        kinds = [tuple(x) for x in np.split(p.kinds, np.cumsum(p.kind_lengths)[:-1])] if len(p.codes) else []
+        assert kinds == sorted(set(kinds)) and sorted(set(p.codes)) == list(range(len(kinds)))
+        part = [list(x) for x in np.split(p.codes, np.cumsum(p.sizes)[:-1])]
+        firsts = np.split(p.first, np.cumsum(p.lengths)[:-1])
+        for codes, first in zip(part, firsts):
+            words = [list(kinds[c]) for c in codes]
+            found.append((words, first.tolist() == [*(w[0] for w in words), model.eos_id()]))
+    assert found == windows and np.concatenate([p.before for p in packets]).tolist() == before
+
+
+def test_language_model_of_odd_tables(docs):
+    held = next(k for k in range(100) if language_model.is_held_out(k))
+    rows = language_model.score_texts(docs(*TEXTS)).collect()
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in rows) == sorted((str(i), len(language_model.words_of(t)) + 1) for i, t in TEXTS)
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in rows)
+    (row,) = language_model.score_texts(docs((held, "nothing learnt"))).collect()
+    assert (row["n_tokens"], row["n_known"], row["train_tokens"]) == (3, 0, 0) and math.isfinite(row["score"])
+    assert language_model.score_texts(docs()).count() == 0
+
+
 def test_language_model_beats_word_shares(spark):
     rows = language_model.score_texts(Tables(spark, "/root/testdata/sf0.01").documents).collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
