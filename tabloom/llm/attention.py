@@ -256,7 +256,7 @@ def _gradients(params: dict, step: Step, block: int) -> tuple[dict, np.ndarray]:
     _exponential(d)
     d *= step.real / (np.ones(CLASSES, np.float32) @ d)
     back.ravel()[step.goal] -= step.real
-    slopes = z @ d.T
+    slopes = (d @ z.T).T
     dcontext = np.empty((w + 1, n), np.float32)
     np.multiply(outer[w : 2 * w] @ d, made.total, out=dcontext[:w])  # the one's row takes the sums off
     np.negative((dcontext[:w] * z[w : 2 * w]).sum(0), out=dcontext[w])
